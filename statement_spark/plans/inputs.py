@@ -211,3 +211,62 @@ STORED_SQL = """stored AS (
         sum(CASE WHEN o_orderpriority = '1-URGENT' THEN CAST(floor(o_totalprice) AS BIGINT) END)
       FROM orders GROUP BY 1, 2, 3))
   WHERE value IS NOT NULL)"""
+
+
+# Figures a supplier reports, as expressions over ``facts`` that read the same in both dialects.
+WIDE = [
+    ("gp", "revenue - cost - CAST(floor(returned / 20) AS BIGINT)"),
+    ("oi", "revenue - cost - tax * 5"),
+    ("opsub", "rd + sm + ga"),
+    ("opex", "CASE WHEN n_lines % 2 = 0 THEN revenue - cost - tax * 5 ELSE cost + rd + sm + ga END"),
+    ("ni", "revenue - cost - tax * 6"),
+    ("sh_d", "qty + n_lines"),
+    ("eps_b", "CAST(floor(CAST((revenue - cost - tax * 6) * 100 AS DOUBLE) / qty) AS DOUBLE) / CAST(100 AS DOUBLE)"),
+    ("eps_d", "CAST(floor(CAST((revenue - cost - tax * 6) * 100 AS DOUBLE) / greatest(1, qty + CASE WHEN returned * 3 > revenue "
+              "THEN 0 - n_lines ELSE n_lines END)) AS DOUBLE) / CAST(100 AS DOUBLE)"),
+    ("int_inc", "n_lines * 500"),
+    ("int_exp", "CASE WHEN qty % 2 = 0 THEN n_lines * 1000 END"),
+    ("pretax", "revenue - cost - tax * 5 + CASE WHEN tax % 2 = 0 THEN n_lines * 500 - CASE WHEN qty % 2 = 0 "
+               "THEN n_lines * 1000 ELSE 0 END ELSE 0 END"),
+    ("dup", "CASE WHEN n_lines % 3 = 0 THEN revenue - cost - tax * 6 WHEN n_lines % 3 = 1 THEN revenue END"),
+    ("leak", "CASE WHEN sm > rd THEN revenue END"),
+    ("comp", "CASE WHEN rd > sm THEN n_lines END"),
+    ("debt", "CASE WHEN tax % 2 = 0 THEN (CAST(floor(revenue / 100000000) AS BIGINT) + 1) * 100000000 END"),
+    ("opcf", "CAST(floor(revenue / 3) AS BIGINT)"),
+]
+METRICS = [
+    ("Revenue", "revenue"), ("Cost of revenue", "cost"), ("Gross profit", "gp"), ("Operating income", "oi"),
+    ("Operating expenses", "opsub"), ("Total operating expenses", "opex"), ("Net income", "ni"),
+    ("Basic earnings per share", "eps_b"), ("Diluted earnings per share", "eps_d"),
+    ("Weighted average shares outstanding: diluted", "sh_d"), ("net  income", "dup"),
+    ("Adjusted operating income", "leak"), ("Diluted EPS and more / Diluted net income", "comp"),
+    ("Long-term debt", "debt"), ("Income before taxes", "pretax"), ("Provision for income taxes", "tax"),
+    ("Research and development", "rd"), ("Sales and marketing", "sm"), ("General and administrative", "ga"),
+    ("Interest expense", "int_exp"), ("Free cash flow", "returned"),
+    ("Net cash provided by operating activities", "opcf"), ("Purchases of property and equipment", "rd"),
+    ("Less: purchases of property", "sm"), ("Interest income", "int_inc"),
+]
+
+
+def wide_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return facts(spark, sf_dir).select(
+        F.concat_ws("-", "suppkey", "fy").alias("filing_id"), "*", *[F.expr(e).alias(n) for n, e in WIDE])
+
+
+def metric_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics of supplier filings, one row per key, with the flaws that the checks look for."""
+    rows = F.array(*[
+        F.struct(F.lit(k).alias("key"), F.lit(i).cast("bigint").alias("key_ord"),
+                 F.col(c).cast("double").alias("num_value"))
+        for i, (k, c) in enumerate(METRICS)
+    ])
+    return wide_metrics(spark, sf_dir).select(
+        "filing_id", F.col("suppkey").cast("string").alias("cik"), F.inline(rows)
+    ).filter("num_value is not null").withColumn("str_value", F.lit(None).cast("string"))
+
+
+METRICS_SQL = FACTS_SQL + """, m AS (
+  SELECT suppkey || '-' || fy AS filing_id, *, """ + ", ".join(f"{e} AS {n}" for n, e in WIDE) + """ FROM facts),
+ ml AS (""" + " UNION ALL ".join(
+    f"SELECT filing_id, '{k}' AS key, {i} AS key_ord, CAST({c} AS DOUBLE) AS v FROM m WHERE {c} IS NOT NULL"
+    for i, (k, c) in enumerate(METRICS)) + ")"

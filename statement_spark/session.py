@@ -43,7 +43,7 @@ def small(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
 
     Above the limit the frame is returned as it is, and the join shuffles (AQE splits skew).
     """
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return F.broadcast(df) if size <= limit_bytes else df
 
 
