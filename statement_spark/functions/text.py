@@ -205,9 +205,9 @@ def compact_value(v: Column) -> Column:
     def three_digits(x: Column, suffix: str) -> Column:
         digits = F.when(F.abs(x) >= 100, 0).when(F.abs(x) >= 10, 1).otherwise(2)
         cell = (
-            F.when(digits == 0, F.bround(x, 0))
-            .when(digits == 1, F.bround(x, 1))
-            .otherwise(F.bround(x, 2))
+            F.when(digits == 0, F.rint(x))
+            .when(digits == 1, F.rint(x * 10) / 10)
+            .otherwise(F.rint(x * 100) / 100)
         )
         # 999.6 rounds into a fourth digit, which the compact form writes as 1e+03
         text = F.when(F.abs(cell) >= 1000, F.lit("1e+03")).otherwise(

@@ -56,7 +56,7 @@ def response_rejects(spark, sf_dir):
 @query("snippet_merge", f"""
 WITH l AS (SELECT l_orderkey AS filing_id, {_SECTION_SQL} * 10000000000000 + {_CHUNK} AS o, CAST(floor(l_extendedprice) AS BIGINT) AS price
   FROM lineitem WHERE l_discount <= 0.08)
-SELECT filing_id, 'Revenue' AS key, 'Total revenue ' || arg_min(price, o * 1000000 + price) AS snippet FROM l GROUP BY 1""")
+SELECT filing_id, 'Revenue' AS key, 'Total revenue ' || arg_min(price, o::HUGEINT * 1000000 + price) AS snippet FROM l GROUP BY 1""")
 def snippet_merge(spark, sf_dir):
     rows = RS.snippets(response_texts(spark, sf_dir)).withColumn("is_stale", F.lit(False))
     return M.merge_snippets(rows)

@@ -7,7 +7,7 @@ replaces just those partitions.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
 from ..functions import fiscal
@@ -100,7 +100,8 @@ def delete_periods(spark: SparkSession, periods: DataFrame, path: str, schema: S
         small(p), ["cik", "period_type", "fiscal_year", "qk"], "left").drop("qk")
     staged = work_dir(spark, "stage")
     marked.withColumn("doomed", F.coalesce("doomed", F.lit(False))).write.partitionBy("doomed").parquet(staged)
-    again = spark.read.schema(stored.schema.add("doomed", "boolean")).parquet(staged)
+    again = spark.read.schema(
+        StructType([*stored.schema.fields, StructField("doomed", BooleanType())])).parquet(staged)
     removed = again.filter("doomed").count()
     kept = again.filter("not doomed").drop("doomed")
     emptied = again.groupBy(*VALUE_PARTITIONS).agg(F.bool_and("doomed").alias("all")).filter("all")
