@@ -5,19 +5,22 @@ from pyspark.sql import Column, functions as F
 
 from . import patterns as P
 
+NUMBER_CELL = r"(?U)^[\s$]*-?[\s$]*\(?[\s$]*-?[\s$]*(?:\d[\d,]*(?:\.\d*)?|\.\d+)\s*[BMTKbmtk]?\s*\)?\s*$"
+
 
 def parse_number(cell: Column) -> Column:
-    """Number of a statement cell: ``$``, commas, (negative), and a B/M/T/K suffix."""
-    bare = F.regexp_replace(cell, r"(?U)[\s$,]", "")
-    match = r"(?i)^(-?\(?-?)(\d+(?:\.\d+)?|\.\d+)([BMTK]?)\)?$"
-    digits = F.regexp_extract(bare, match, 2).try_cast("double")
-    suffix = F.upper(F.regexp_extract(bare, match, 3))
+    """Number of a statement cell: ``$``, commas, (negative), and a B/M/T/K suffix.
+
+    One pattern decides whether the cell is a number; the rest is character work.
+    """
+    bare = F.translate(cell, " $,()-\u00a0\u2009\u202f\t\nBbMmTtKk", "")
+    last = F.upper(F.right(F.rtrim(F.translate(cell, ") \u00a0", "")), F.lit(1)))
     factor = (
-        F.when(suffix == "K", 1e3).when(suffix == "M", 1e6).when(suffix == "B", 1e9)
-        .when(suffix == "T", 1e12).otherwise(1.0)
+        F.when(last == "K", 1e3).when(last == "M", 1e6).when(last == "B", 1e9)
+        .when(last == "T", 1e12).otherwise(1.0)
     )
-    sign = F.when(F.regexp_extract(bare, match, 1) == "", 1.0).otherwise(-1.0)
-    return digits * factor * sign
+    sign = F.when(cell.contains("(") | cell.contains("-"), -1.0).otherwise(1.0)
+    return F.when(cell.rlike(NUMBER_CELL), bare.try_cast("double") * factor * sign)
 
 
 def is_ratio(key: Column) -> Column:

@@ -62,16 +62,20 @@ def merge_values(rows: DataFrame, filing: str = "filing_id", carry: tuple[str, .
     )
 
 
+def _revenue_like() -> Column:
+    return F.lower("key").contains("revenue") & ~numbers.is_ratio(F.col("key"))
+
+
 def revenue_reference(merged: DataFrame, filing: str = "filing_id") -> DataFrame:
     """Largest revenue-like value of each filing."""
-    like = F.lower("key").contains("revenue") & ~numbers.is_ratio(F.col("key"))
-    return merged.filter(like).groupBy(filing).agg(F.max("num_value").alias("revenue_ref"))
+    return merged.filter(_revenue_like()).groupBy(filing).agg(F.max("num_value").alias("revenue_ref"))
 
 
 def repair_major_metrics(merged: DataFrame, filing: str = "filing_id") -> DataFrame:
     """Major metrics far below revenue: one scale step up when that is plausible, else dropped.
 
-    Other small values stay as they are.
+    Other small values stay as they are. The reference is a maximum over the merged keys of one
+    filing, so the rows behind them are computed once.
     """
     ref = F.col("revenue_ref")
     floor = ref * P.MIN_REVENUE_FRACTION
@@ -82,9 +86,8 @@ def repair_major_metrics(merged: DataFrame, filing: str = "filing_id") -> DataFr
     )
     lifted = F.when(F.abs(v * 1000).between(floor, ref * P.RESCALE_UPPER), v * 1000)
     fixed = F.when(F.coalesce(suspicious, F.lit(False)), lifted).otherwise(v)
-    return merged.join(revenue_reference(merged, filing), filing, "left").withColumn(
-        "num_value", fixed
-    ).drop("revenue_ref")
+    reference = F.max(F.when(_revenue_like(), F.col("num_value"))).over(Window.partitionBy(filing))
+    return merged.withColumn("revenue_ref", reference).withColumn("num_value", fixed).drop("revenue_ref")
 
 
 def evict_stale_variants(merged: DataFrame, filing: str = "filing_id") -> DataFrame:

@@ -220,12 +220,8 @@ def _dash(cell: Column) -> Column:
     return cell.rlike(r"^[-–—]+$")
 
 
-def _is_value(cell: Column) -> Column:
-    return numbers.parse_number(cell).isNotNull() | _dash(cell)
-
-
 def _is_year(cell: Column) -> Column:
-    return F.trim(cell).rlike(r"^(19|20)\d{2}$")
+    return cell.rlike(r"^\s*(19|20)\d{2}\s*$")
 
 
 def statement_rows(tables: DataFrame, target_end: Column, annual: Column) -> DataFrame:
@@ -238,22 +234,25 @@ def statement_rows(tables: DataFrame, target_end: Column, annual: Column) -> Dat
     line up with the header gives no value.
     """
     keys = [c for c in tables.columns if c != "rows"]
-    shaped = tables.withColumns({
+    blank = r"(?U)^[\s$)%]*$"
+    cells = tables.withColumns({
         "target_end": target_end,
         "annual": annual,
-        "lines": F.transform(
-            "rows",
-            lambda r: F.struct(
-                F.trim(F.coalesce(F.get(r, F.lit(0)), F.lit(""))).alias("label"),
-                F.filter(F.slice(r, 2, F.greatest(F.size(r), F.lit(1))),
-                         lambda c: ~c.rlike(r"(?U)^[\s$)%]*$")).alias("cells"),
-            ),
-        ),
+        "lines": F.transform("rows", lambda r: F.struct(
+            F.trim(F.coalesce(F.get(r, F.lit(0)), F.lit(""))).alias("label"),
+            F.filter(F.slice(r, 2, F.greatest(F.size(r), F.lit(1))), lambda c: ~c.rlike(blank)).alias("cells"),
+        )),
     })
-    is_data = lambda x: (F.size(x["cells"]) > 0) & (x["label"] != "") & F.forall(
-        x["cells"], lambda c: _is_value(c)) & ~F.forall(x["cells"], lambda c: _is_year(c))
-    first = F.array_position(F.transform("lines", lambda x: is_data(x)), F.lit(True)).cast("int")
-    headed = shaped.withColumn("first", first).filter("first > 0").withColumn(
+    parsed = cells.withColumn("lines", F.transform("lines", lambda x: F.struct(
+        x["label"], x["cells"], F.transform(x["cells"], numbers.parse_number).alias("vals"))))
+    judged = parsed.withColumn("lines", F.transform("lines", lambda x: F.struct(
+        x["label"], x["cells"], x["vals"],
+        F.forall(F.zip_with(x["cells"], x["vals"], lambda c, v: v.isNotNull() | _dash(c)), lambda b: b).alias("ok"),
+    )))
+    is_data = lambda x: x["ok"] & (F.size(x["cells"]) > 0) & (x["label"] != "") & ~F.forall(
+        x["cells"], lambda c: _is_year(c))
+    first = F.array_position(F.transform("lines", is_data), F.lit(True)).cast("int")
+    headed = judged.withColumn("first", first).filter("first > 0").withColumn(
         "header",
         F.array_join(
             F.flatten(F.transform(
@@ -307,11 +306,9 @@ def statement_rows(tables: DataFrame, target_end: Column, annual: Column) -> Dat
         *keys, "current_end", "pick", "n_dates",
         F.posexplode(F.slice("lines", F.col("first"), F.size("lines"))).alias("row_idx", "line"),
     )
-    values = F.col("line.cells")
-    cell = F.when(F.size(values) == F.col("n_dates"), F.get(values, F.col("pick"))).when(
-        F.size(values) == 1, F.when(F.coalesce(F.col("n_dates"), F.lit(0)) <= 1, F.get(values, F.lit(0)))
-    )
-    return rows.filter(F.forall(values, _is_value)).select(
-        *keys, "row_idx", F.col("line.label").alias("key"), "current_end",
-        numbers.parse_number(cell).alias("raw_value"), cell.alias("cell"),
-    ).filter("raw_value is not null and key <> ''")
+    values = F.col("line.vals")
+    value = F.when(F.size(values) == F.col("n_dates"), F.get(values, F.col("pick"))).when(
+        (F.size(values) == 1) & (F.coalesce(F.col("n_dates"), F.lit(0)) <= 1), F.get(values, F.lit(0)))
+    return rows.filter("line.ok and line.label <> ''").select(
+        *keys, "row_idx", F.col("line.label").alias("key"), "current_end", value.alias("raw_value"),
+    ).filter("raw_value is not null")

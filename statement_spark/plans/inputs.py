@@ -77,7 +77,9 @@ def statement_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = facts(spark, sf_dir)
     names = [c for _, c in PRINTED]
     before = f.select("suppkey", (F.col("fy") + 1).alias("fy"), *[F.col(c).alias(f"p_{c}") for c in names])
-    both = f.join(before, ["suppkey", "fy"], "left")
+    # pages are few bytes to render from but dear to read, so they are spread before they grow
+    both = f.join(before, ["suppkey", "fy"], "left").repartition(
+        int(spark.conf.get("spark.sql.shuffle.partitions")))
     big = F.col("revenue") >= 1_000_000
     first = F.coalesce(F.col("p_revenue") <= F.col("revenue"), F.lit(True))
 
