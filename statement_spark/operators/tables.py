@@ -30,15 +30,16 @@ def page_tables(pages: DataFrame) -> DataFrame:
         *keys, "segments", captions.alias("captions"),
         T.dominant_scale(full_text(F.col("segments"))).alias("doc_scale"),
     )
-    tables = scaled.select(
-        *keys, "doc_scale", "captions", F.posexplode("segments").alias("table_idx", "seg")
-    ).filter("seg.rows is not null")
-    return tables.select(
-        *keys, "table_idx", "doc_scale",
-        last(F.slice("captions", F.lit(1), F.col("table_idx") + 1)).alias("near_scale"),
-        F.right(F.array_join("seg.nodes", "\n"), F.lit(P.CONTEXT_CHARS)).alias("context"),
-        F.col("seg.rows").alias("rows"),
+    shaped = F.filter(
+        F.transform("segments", lambda s, i: F.struct(
+            i.alias("table_idx"), F.col("doc_scale"),
+            last(F.slice("captions", F.lit(1), i + 1)).alias("near_scale"),
+            F.right(F.array_join(s["nodes"], "\n"), F.lit(P.CONTEXT_CHARS)).alias("context"),
+            s["rows"].alias("rows"),
+        )),
+        lambda t: t["rows"].isNotNull(),
     )
+    return scaled.select(*keys, F.inline(shaped))
 
 
 def markdown(rows: Column) -> Column:
@@ -61,7 +62,9 @@ def footnote_share(rows: Column) -> Column:
 def classify(tables: DataFrame) -> DataFrame:
     """Add ``table_type``: a GAAP statement, segment, non_gaap, drop, or other.
 
-    Each pattern is tested once per probe; one ordered choice over the results decides.
+    Each pattern is tested once per probe; one ordered choice over the results decides. The
+    choice leaves through a one-element explode, so that a filter on the class stays above it
+    and does not test the patterns a second time.
     """
     body = F.array_join(F.flatten("rows"), " ")
     ctx = F.col("context")
@@ -115,7 +118,7 @@ def classify(tables: DataFrame) -> DataFrame:
         .when(footnote_share(f("rows")) >= P.FOOTNOTE_SHARE, "drop")
         .otherwise("other")
     )
-    return flags.withColumn("table_type", kind).select(*tables.columns, "table_type")
+    return flags.select(*tables.columns, F.explode(F.array(kind)).alias("table_type"))
 
 
 def entries(tables: DataFrame) -> DataFrame:
@@ -252,7 +255,7 @@ def statement_rows(tables: DataFrame, target_end: Column, annual: Column) -> Dat
     is_data = lambda x: x["ok"] & (F.size(x["cells"]) > 0) & (x["label"] != "") & ~F.forall(
         x["cells"], lambda c: _is_year(c))
     first = F.array_position(F.transform("lines", is_data), F.lit(True)).cast("int")
-    headed = judged.withColumn("first", first).filter("first > 0").withColumn(
+    headed = judged.withColumn("first", F.when(first > 0, first)).withColumn(
         "header",
         F.array_join(
             F.flatten(F.transform(
@@ -305,7 +308,7 @@ def statement_rows(tables: DataFrame, target_end: Column, annual: Column) -> Dat
     rows = picked.select(
         *keys, "current_end", "pick", "n_dates",
         F.posexplode(F.slice("lines", F.col("first"), F.size("lines"))).alias("row_idx", "line"),
-    )
+    )  # a table without data rows has a null slice and gives none
     values = F.col("line.vals")
     value = F.when(F.size(values) == F.col("n_dates"), F.get(values, F.col("pick"))).when(
         (F.size(values) == 1) & (F.coalesce(F.col("n_dates"), F.lit(0)) <= 1), F.get(values, F.lit(0)))

@@ -3,6 +3,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..session import spread
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -15,7 +17,7 @@ def whole(c: Column) -> Column:
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Income-statement figures per supplier and year of shipment, in whole dollars."""
     price = F.col("l_extendedprice")
-    return table(spark, sf_dir, "lineitem").groupBy(
+    return spread(table(spark, sf_dir, "lineitem").groupBy(
         F.col("l_suppkey").alias("suppkey"), F.year("l_shipdate").alias("fy")
     ).agg(
         F.sum(whole(price)).alias("revenue"),
@@ -27,7 +29,7 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(whole(F.col("l_quantity"))).alias("qty"),
         F.sum(F.when(F.col("l_returnflag") == "R", whole(price)).otherwise(0)).alias("returned"),
         F.count(F.lit(1)).alias("n_lines"),
-    )
+    ))
 
 
 FACTS_SQL = """facts AS (

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 
 from ..operators import merge as M
+from ..session import spread
 from ..sources import responses as RS
 from . import inputs as I
 from .catalogue import query
@@ -16,7 +17,7 @@ _SECTION_SQL = "CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 3 ELSE 1 END"
 
 def _lines(spark, sf_dir):
     section = F.element_at(F.create_map(*[F.lit(x) for kv in _SECTION.items() for x in kv]), F.col("l_returnflag"))
-    return I.table(spark, sf_dir, "lineitem").select(
+    return spread(I.table(spark, sf_dir, "lineitem")).select(
         F.col("l_orderkey").alias("filing_id"), F.expr(_CHUNK).alias("chunk_idx"), section.alias("section"),
         I.whole(F.col("l_extendedprice")).alias("price"), I.whole(F.col("l_quantity")).alias("qty"),
         F.year("l_shipdate").alias("y"), "l_returnflag", "l_linestatus", "l_linenumber", "l_discount", "l_tax", "l_partkey")

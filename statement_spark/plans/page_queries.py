@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import chunks as CH, concepts as C, quality as Q, tables as TB
+from ..session import spread
 from ..sources import html, responses as RS
 from . import extraction as X, inputs as I
 from .catalogue import query
@@ -68,7 +69,7 @@ _HEADS = [
 def _headed_tables(spark, sf_dir):
     n = (F.col("o_orderkey") % len(_HEADS) + 1).cast("int")
     pick = lambda i: F.element_at(F.array(*[F.lit(h[i]) for h in _HEADS]), n)
-    return I.table(spark, sf_dir, "orders").select(
+    return spread(I.table(spark, sf_dir, "orders")).select(
         F.col("o_orderkey").alias("filing_id"), F.lit(0).alias("table_idx"), F.lit(1).alias("exhibit_no"),
         F.when(F.col("o_orderstatus") == "F", "millions").alias("doc_scale"),
         F.when(F.col("o_orderpriority") == "1-URGENT", "thousands").alias("near_scale"), pick(0).alias("context"),
@@ -145,7 +146,7 @@ def envelope_strip(spark, sf_dir):
 
 @query("page_text")
 def page_text(spark, sf_dir):
-    segments = html.page_segments(I.table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    segments = html.page_segments(spread(I.table(spark, sf_dir, "pages")).select("page_id", "url", "html"))
     return segments.select("page_id", "url", html.prose(F.col("segments")).alias("prose"),
                            F.size("segments").alias("n_segments"))
 
@@ -169,7 +170,7 @@ WITH RECURSIVE d AS (SELECT doc_id, text, length(text) AS n FROM documents),
       ELSE greatest(s + 1, e - {_OVER}) END AS s2 FROM c WHERE e < n))
 SELECT doc_id, CAST(chunk_idx AS INTEGER) AS chunk_idx, md5(substr(text, s + 1, e - s)) AS h FROM c""")
 def chunk_documents(spark, sf_dir):
-    docs = I.table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(I.table(spark, sf_dir, "documents")).select("doc_id", "text")
     return CH.chunk(docs, size=_SIZE, overlap=_OVER).select("doc_id", "chunk_idx", F.md5("chunk").alias("h"))
 
 
@@ -202,7 +203,7 @@ def prescan_scale(spark, sf_dir):
 WITH d AS (SELECT doc_id, replace(lower(text), ',', '') AS digits FROM documents)
 SELECT doc_id AS filing_id, 'Invented' AS key FROM d WHERE NOT (contains(digits, '12345678') AND contains(digits, CAST(doc_id AS VARCHAR)))""")
 def grounding(spark, sf_dir):
-    docs = I.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("filing_id"), F.col("text").alias("raw_text"))
+    docs = spread(I.table(spark, sf_dir, "documents")).select(F.col("doc_id").alias("filing_id"), F.col("text").alias("raw_text"))
     k = F.col("filing_id").cast("string")
     rows = F.array(
         F.struct(F.lit("Quoted").alias("key"), F.concat(F.lit("| "), F.upper(F.substring("raw_text", 5, 40))).alias("snippet")),

@@ -38,13 +38,27 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of a frame."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def spread(df: DataFrame, bytes_per_task: int = 128 * 1024 * 1024) -> DataFrame:
+    """Give every core a share of an input too small to fill them all by its scan splits.
+
+    For work that is dear per byte, such as parsing. An input with a full split per core is
+    returned as it is, so large ones are never shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if estimated_bytes(df) < cores * bytes_per_task else df
+
+
 def small(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Mark ``df`` for broadcast when the optimizer's size estimate is under the limit.
 
     Above the limit the frame is returned as it is, and the join shuffles (AQE splits skew).
     """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return F.broadcast(df) if size <= limit_bytes else df
+    return F.broadcast(df) if estimated_bytes(df) <= limit_bytes else df
 
 
 def staged(df: DataFrame, purpose: str) -> DataFrame:

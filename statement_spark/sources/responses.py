@@ -49,24 +49,23 @@ def _number(v: Column) -> Column:
 
 def parse_responses(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows, rejects). Rows keep source order in ``key_ord`` and carry the chunk's own
-    ``scale`` and ``period``; a response that is no JSON object is a reject."""
+    ``scale`` and ``period``; a response that is no JSON object is a reject.
+
+    Entries are typed and filtered inside the array, so each is looked at once.
+    """
     keys = [c for c in responses.columns if c != "text"]
     opened = responses.withColumn("m", _object(F.col("text")))
     rejects = opened.filter("m is null").drop("m")
     scale = F.lower(_string(F.try_element_at("m", F.lit("__scale__"))))
-    good = opened.filter("m is not null").select(
+    typed = F.transform(_entries(F.col("m")), lambda e, i: F.struct(
+        e["key"].alias("key"),
+        (F.col("chunk_idx").cast("bigint") * 100_000 + i).alias("key_ord"),
+        _number(e["value"]).alias("num_value"), _string(e["value"]).alias("str_value")))
+    valued = F.filter(typed, lambda x: x["num_value"].isNotNull() | x["str_value"].isNotNull())
+    rows = opened.select(
         *keys, scale.alias("scale"),
-        _string(F.try_element_at("m", F.lit("__period__"))).alias("period"),
-        F.posexplode(_entries(F.col("m"))).alias("pos", "e"),
-    )
-    rows = good.select(
-        *keys, "scale", "period",
-        F.col("e.key").alias("key"),
-        (F.col("chunk_idx").cast("bigint") * 100_000 + F.col("pos")).alias("key_ord"),
-        _number(F.col("e.value")).alias("num_value"),
-        _string(F.col("e.value")).alias("str_value"),
-    )
-    return rows.filter("num_value is not null or str_value is not null"), rejects
+        _string(F.try_element_at("m", F.lit("__period__"))).alias("period"), F.inline(valued))
+    return rows, rejects
 
 
 def metric_rows(rows: DataFrame) -> DataFrame:

@@ -7,11 +7,11 @@ replaces just those partitions.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import BooleanType, StructField, StructType
+from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
 from ..functions import fiscal
-from ..session import small, work_dir
+from ..session import small, staged
 
 VALUE_KEY = ["concept_id", "end_date", "form_type", "quarter"]
 VALUE_PARTITIONS = ["period_type", "fiscal_year"]
@@ -51,8 +51,10 @@ def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def _replace(spark: SparkSession, staged: str, path: str, partitions: list[str]) -> None:
-    spark.read.parquet(staged).write.mode("overwrite").option(
+def _replace(rows: DataFrame, path: str, partitions: list[str]) -> None:
+    """Overwrite just the partitions of ``rows``. The rebalance gathers small partitions into
+    few files and splits a large one over several tasks."""
+    rows.hint("rebalance", *partitions).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
 
 
@@ -71,14 +73,13 @@ def _touched(current: DataFrame, rows: DataFrame, partitions: list[str]) -> Data
 def upsert(spark: SparkSession, rows: DataFrame, path: str, keys: list[str], partitions: list[str],
            order: str = "created_at") -> None:
     """Insert rows or replace those with the same key. Of equal keys the newest stays."""
+    rows = staged(rows, "incoming")
     current = _touched(_read(spark, path, rows.schema), rows, partitions)
     merged = newest(
         current.withColumn("src", F.lit(0)).unionByName(rows.withColumn("src", F.lit(1))),
         [*keys, *[p for p in partitions if p not in keys]], F.struct("src", order),
     ).drop("src")
-    staged = work_dir(spark, "stage")
-    merged.write.parquet(staged)
-    _replace(spark, staged, path, partitions)
+    _replace(staged(merged, "stage"), path, partitions)
 
 
 def upsert_values(spark: SparkSession, rows: DataFrame, path: str) -> None:
@@ -98,15 +99,11 @@ def delete_periods(spark: SparkSession, periods: DataFrame, path: str, schema: S
         F.lit(True).alias("doomed")).distinct()
     marked = touched.withColumn("qk", F.coalesce("quarter", F.lit(0))).join(
         small(p), ["cik", "period_type", "fiscal_year", "qk"], "left").drop("qk")
-    staged = work_dir(spark, "stage")
-    marked.withColumn("doomed", F.coalesce("doomed", F.lit(False))).write.partitionBy("doomed").parquet(staged)
-    again = spark.read.schema(
-        StructType([*stored.schema.fields, StructField("doomed", BooleanType())])).parquet(staged)
+    again = staged(marked.withColumn("doomed", F.coalesce("doomed", F.lit(False))), "stage")
     removed = again.filter("doomed").count()
     kept = again.filter("not doomed").drop("doomed")
     emptied = again.groupBy(*VALUE_PARTITIONS).agg(F.bool_and("doomed").alias("all")).filter("all")
-    kept.select(*stored.columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        *VALUE_PARTITIONS).parquet(path)
+    _replace(kept.select(*stored.columns), path, VALUE_PARTITIONS)
     _drop_partitions(spark, emptied, path)
     return removed
 
