@@ -275,3 +275,19 @@ def fill_summary(spark, sf_dir):
     derived = D.derive(values, concepts).select("filing_id", "concept_id", F.lit(True).alias("derived"))
     done = values.select("filing_id", "concept_id", F.lit(False).alias("derived")).unionByName(derived)
     return R.fill_summary(concepts, done)
+
+
+@query("insertion_summary", f"""WITH {I.METRICS_SQL},
+ k AS (SELECT filing_id, n_lines % 4 = 0 AS nog, int_exp IS NOT NULL AS ie FROM m)
+SELECT filing_id, label, CASE WHEN label IN ('Revenue', 'Cost of revenue') THEN 0
+  WHEN label = 'Gross profit' THEN 1 WHEN label = 'Operating income' THEN CASE WHEN nog THEN 2 ELSE 1 END
+  ELSE CASE WHEN ie THEN 0 ELSE 2 END END AS grp
+FROM k, (VALUES ('Revenue'), ('Cost of revenue'), ('Gross profit'), ('Operating income'), ('Interest expense')) x(label)
+WHERE NOT (label = 'Gross profit' AND nog)""")
+def insertion_summary(spark, sf_dir):
+    values = _filing_values(spark, sf_dir, _CHAIN_VALUES)
+    concepts = _filing_concepts(spark, sf_dir, _CHAIN, _CHAIN_KEEP)
+    derived = D.derive(values, concepts).select("filing_id", "concept_id", "value", F.lit(True).alias("derived"))
+    done = values.select("filing_id", "concept_id", "value", F.lit(False).alias("derived")).unionByName(derived)
+    return R.insertion_lines(concepts, done).filter(
+        "concept_id in ('c01', 'c02', 'c03', 'c08', 'c15')").select("filing_id", "label", "grp")

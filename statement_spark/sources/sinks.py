@@ -65,9 +65,23 @@ def newest(rows: DataFrame, keys: list[str], order: Column) -> DataFrame:
         *rows.columns)
 
 
+MAX_PARTITIONS = 10_000
+
+
 def _touched(current: DataFrame, rows: DataFrame, partitions: list[str]) -> DataFrame:
-    """Stored rows of the partitions that ``rows`` touches; the partition list prunes the scan."""
-    return current.join(small(rows.select(*partitions).distinct()), partitions, "left_semi")
+    """Stored rows of the partitions that ``rows`` touches.
+
+    The partition values (types by fiscal years, or 64 buckets) are few by design and become
+    literals, so that the scan lists only their folders; more than that is a wrong table.
+    """
+    parts = rows.select(*partitions).distinct().limit(MAX_PARTITIONS + 1).collect()
+    if len(parts) > MAX_PARTITIONS:
+        raise ValueError(f"more than {MAX_PARTITIONS} partitions by {partitions}")
+    wanted = F.lit(True)
+    for i, p in enumerate(partitions):
+        wanted = wanted & F.col(p).isin(*sorted({r[i] for r in parts}))
+    exact = rows.sparkSession.createDataFrame(parts, rows.select(*partitions).schema)
+    return current.filter(wanted).join(F.broadcast(exact), partitions, "left_semi")
 
 
 def upsert(spark: SparkSession, rows: DataFrame, path: str, keys: list[str], partitions: list[str],

@@ -18,11 +18,11 @@ from ..sources import responses as RS, sinks
 
 # ---- sources and sinks ---------------------------------------------------------------------------
 
-def read_table_stream(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Stream the parquet file or folder at ``path``."""
+def read_table_stream(spark: SparkSession, path: str, schema: StructType, files_per_batch: int = 1000) -> DataFrame:
+    """Stream the parquet file or folder at ``path``, so many files to a batch."""
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
     if p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory():
         return reader.parquet(path)
     folder, name = path.rsplit("/", 1)
