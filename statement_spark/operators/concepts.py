@@ -198,9 +198,12 @@ def scan_rows(missing: DataFrame, rows: DataFrame, filing: str = "filing_id") ->
     A label matches a row of the same normalised text. A label "Parent, Child" also matches a
     row below a row named like the parent: by its full text, else by at least half of the child
     words longer than three letters. Words meet by equi join, so rows that share no word never
-    pair. Values outside [1e3, 1e14] do not count.
+    pair. Values outside [1e3, 1e14] do not count, nor does a lone number that reads as a year
+    (``n_values``, where given, tells how many a row has).
     """
-    plausible = rows.filter(F.abs("value").between(1e3, 1e14)).withColumn("nk", T.norm_label(F.col("key")))
+    lone = F.col("n_values") == 1 if "n_values" in rows.columns else F.lit(False)
+    year = lone & F.col("value").between(1900, 2100)
+    plausible = rows.filter(F.abs("value").between(1e3, 1e14) & ~year).withColumn("nk", T.norm_label(F.col("key")))
     want = scan_candidates(missing).select(filing, "concept_id", T.norm_label(F.col("label")).alias("nl"))
     place = F.struct("table_idx", "row_idx")
     direct = want.join(plausible, (want[filing] == plausible[filing]) & (want["nl"] == plausible["nk"])).select(

@@ -90,10 +90,12 @@ def effectiveness(found: DataFrame, filing: str = "filing_id") -> DataFrame:
         F.count_if(~p & c).alias("new"))
 
 
-def extraction_notes(found: DataFrame, missing: DataFrame, filing: str = "filing_id") -> DataFrame:
+def extraction_notes(found: DataFrame, missing: DataFrame, filing: str = "filing_id",
+                     previous: DataFrame | None = None) -> DataFrame:
     """Hint text of the next pass: required, also wanted, and missing concepts (10 and 20 named).
 
-    ``missing``: filing, label, is_segment, concept_ord.
+    ``missing``: filing, label, is_segment, concept_ord; ``previous``: filing, attempt and notes
+    of the pass before, which go in front.
     """
     ev = lambda k: F.try_element_at("evidence", F.lit(k)).try_cast("double")
     implied = F.when((F.col("type") == "identity_violation") & ev("gross_profit").isNotNull(), F.concat(
@@ -121,6 +123,11 @@ def extraction_notes(found: DataFrame, missing: DataFrame, filing: str = "filing
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "line"))), lambda x: x["line"]), "\n")
         .alias("t"))
     title = F.element_at(F.create_map(*[F.lit(x) for kv in heads.items() for x in kv]), F.col("block"))
-    return blocks.withColumn("t", F.concat(title, F.lit("\n"), "t")).groupBy(filing).agg(
+    notes = blocks.withColumn("t", F.concat(title, F.lit("\n"), "t")).groupBy(filing).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "t"))), lambda x: x["t"]), "\n")
         .alias("notes"))
+    if previous is None:
+        return notes
+    before = previous.select(filing, F.concat(
+        F.lit("[Attempt "), F.col("attempt").cast("string"), F.lit(" history] "), F.trim("notes"), F.lit("\n\n")).alias("old"))
+    return notes.join(before, filing, "left").select(filing, F.concat(F.coalesce("old", F.lit("")), "notes").alias("notes"))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import numbers, text as T
 from ..session import staged
 from ..operators import cleanup, concepts as C, derive as D, merge as M, quality as Q, tables as TB
-from ..sources import html
+from ..sources import html, responses as RS
 
 
 def read_tables(pages: DataFrame) -> DataFrame:
@@ -67,12 +67,31 @@ def check(rows: DataFrame, filing: str = "filing_id") -> tuple[DataFrame, DataFr
     return cleanup.drop_flagged(fixed, found, filing), found
 
 
-def fill(metrics: DataFrame, concepts: DataFrame, filing: str = "filing_id") -> DataFrame:
-    """(filing, concept_id, value, derived): mapped metrics, roll-ups and derived values."""
-    mapped = staged(C.map_metrics(metrics, concepts, filing).join(
-        metrics.select(filing, "cik").distinct(), filing), "mapped")
+def fill(metrics: DataFrame, concepts: DataFrame, filing: str = "filing_id",
+         semantic: DataFrame | None = None, role_answers: DataFrame | None = None,
+         scan: DataFrame | None = None) -> DataFrame:
+    """(filing, concept_id, value, derived): mapped metrics, roll-ups and derived values.
+
+    Optional inputs fill more: ``semantic`` answers (filing, resp_ord, concept_id, key),
+    ``role_answers`` (cik, label, role), and ``scan``, the statement rows (filing, table_idx,
+    row_idx, key, value) in which concepts without a metric are looked for.
+    """
+    owner = metrics.select(filing, "cik").distinct()
+    known = C.with_roles(concepts, role_answers).select(
+        "cik", "concept_id", "concept_ord", "path", "label", "taxonomy_key", "role")
+    mapped = C.map_metrics(metrics, concepts, filing).select(filing, "concept_id", "key", "value", "tier", "key_ord")
+    if semantic is not None:
+        asked = C.semantic_candidates(C.unmapped(owner.join(known, "cik"), mapped, filing))
+        mapped = staged(C.apply_semantic_map(mapped, semantic, metrics, asked, filing), "semantic")
+    if scan is not None:
+        missing = C.unmapped(owner.join(known, "cik"), mapped, filing)
+        found = C.scan_rows(missing, C.parent_rows(scan, filing), filing)
+        mapped = mapped.unionByName(found.select(
+            filing, "concept_id", F.lit(None).cast("string").alias("key"), "value",
+            F.lit(4).alias("tier"), F.lit(2**62).alias("key_ord")))
+    mapped = staged(mapped.join(owner, filing), "mapped")
     lists = mapped.select(filing, "cik").distinct().join(
-        C.with_roles(concepts).select("cik", "concept_id", "concept_ord", "path", "role"), "cik")
+        known.select("cik", "concept_id", "concept_ord", "path", "role"), "cik")
     values = mapped.select(filing, "concept_id", "value", "key_ord")
     rolled = D.roll_up(values, lists, filing)
     derived = D.derive(rolled, lists, filing)
@@ -80,6 +99,28 @@ def fill(metrics: DataFrame, concepts: DataFrame, filing: str = "filing_id") ->
         derived.select(filing, "concept_id", "value", F.lit(True).alias("derived")))
 
 
+def response_metrics(responses: DataFrame) -> DataFrame:
+    """Scaled metric rows from model answers instead of table cells.
+
+    ``responses``: filing_id, cik, chunk_idx, section, text, prescan (scale found in the chunk or
+    its document), shares (scale of share counts where it is another one), report_date. The
+    prescanned scale bounds the reported one; a chunk of another year than the report is stale.
+    """
+    rows, _ = RS.parse_responses(responses)
+    dollars = T.scale_factor(F.coalesce("prescan", F.lit("")))
+    shares = F.when(F.col("shares").isNull(), dollars).otherwise(T.scale_factor(F.col("shares")))
+    scaled = RS.apply_scale(RS.metric_rows(rows), dollars, shares)
+    return scaled.withColumn("is_stale", M.stale(F.year("report_date"), F.col("period"))).select(
+        "filing_id", "cik", "chunk_idx", "section", "key", "key_ord", "num_value", "str_value", "is_stale")
+
+
+def extract_from_responses(responses: DataFrame, concepts: DataFrame, **more: DataFrame) -> Extraction:
+    """Model answers through merge, checks, mapping and derivation; ``more`` as in ``fill``."""
+    metrics, found = check(response_metrics(responses))
+    numeric = metrics.filter("key <> '__period__'")
+    return Extraction(metrics, fill(numeric, concepts, **more), found)
+
+
 def extract(pages: DataFrame, concepts: DataFrame, filing: str = "filing_id") -> Extraction:
     """Pages (filing, cik, period_end, annual, html) through the whole pipeline.
 

@@ -92,11 +92,12 @@ def without_redelivery(jobs: DataFrame, key: str, at: str, within: str) -> DataF
     return jobs.withWatermark(at, within).dropDuplicatesWithinWatermark([key])
 
 
-def progress(events: DataFrame, key: str, kind: Column) -> DataFrame:
-    """Step starts and ends, model calls and time spent per run."""
+def progress(events: DataFrame, key: str, kind: Column, elapsed_ms: Column | None = None) -> DataFrame:
+    """Step starts and ends, model calls, time spent in steps, and the last event of a run."""
+    spent = F.sum(F.when(kind == "step_end", elapsed_ms)) if elapsed_ms is not None else F.lit(None).cast("double")
     return events.groupBy(key).agg(
         F.count_if(kind == "step_start").alias("started"), F.count_if(kind == "step_end").alias("ended"),
-        F.count_if(kind == "call_llm").alias("calls"),
+        F.count_if(kind == "call_llm").alias("calls"), spent.alias("elapsed_ms"),
         F.max_by(kind, F.struct("ts", "event_id")).alias("last_kind"))
 
 
