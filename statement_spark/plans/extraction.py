@@ -58,13 +58,13 @@ class Extraction:
 def check(rows: DataFrame, filing: str = "filing_id") -> tuple[DataFrame, DataFrame]:
     """(metrics, findings) from scaled rows: merged, corrected, checked, cleaned.
 
-    The merged metrics are written once: four later steps read them, and the pages behind them
-    must not be read again for each.
+    Merged and cleaned metrics are written once each: several later steps read them, and the
+    pages behind them must not be read again for each.
     """
     merged = staged(M.merge(rows, filing, ("cik",)), "merged")
     fixed = Q.correct_values(merged, Q.operands(merged, filing), filing)
     found = staged(Q.findings(fixed, filing, targeted=True), "findings")
-    return cleanup.drop_flagged(fixed, found, filing), found
+    return staged(cleanup.drop_flagged(fixed, found, filing), "metrics"), found
 
 
 def fill(metrics: DataFrame, concepts: DataFrame, filing: str = "filing_id",
