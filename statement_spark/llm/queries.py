@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from statement_spark.llm import compression_bands, language_id
+from statement_spark.llm import compression_bands, language_id, simhash_pivots
 from statement_spark.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +38,9 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return compression_bands.judge(docs).select("doc_id", "quality.*")
+
+
+@query("op10_simhash_pivots")
+def op10_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_pivots.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
