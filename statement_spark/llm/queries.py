@@ -3,11 +3,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from statement_spark.llm import compression_bands, language_id, quality_net, simhash_pivots
+from statement_spark.llm import compression_bands, language_id, packing, quality_net, simhash_pivots
 from statement_spark.llm.common import fold, table
 
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -34,6 +37,12 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op4_packing")
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, packing.Settings(VOCABULARY), with_ids=False)
+
+
 @query("op6_quality_net")
 def op6_quality_net(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
