@@ -55,30 +55,27 @@ def letters(text: str) -> str:
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", train: Column | None = None,
         settings: Settings = Settings()) -> Model:
-    """Learns from rows with text and language (and `train`). The sample is cut before the shuffle, so that what is
-    sorted and collected is `sample_docs` slices a language whatever the size of the table."""
+    """Learns from rows with text and language (and `train`). Languages are counted first; then about twice the texts
+    needed are picked by their hash, which bounds what is sorted and collected whatever the size of the table."""
     rows = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & (F.lit(True) if train is None else train))
+    counts = {r["lang"]: r["n"] for r in rows.groupBy(F.col(lang).alias("lang")).agg(
+        F.count(F.lit(1)).alias("n")).orderBy(F.desc("n")).limit(MAX_LANGUAGES + 1).collect()}
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"over {MAX_LANGUAGES} languages; so many dictionaries are not held at a time")
     digest = F.xxhash64(F.col(text))
-    room = F.greatest(F.char_length(F.col(text)) - settings.slice_bytes, F.lit(1))
     # three slices' length leaves enough once marks are gone
-    pieces = rows.select(
-        F.col(lang).alias("lang"), digest.alias("digest"),
-        F.substring(F.col(text), (F.pmod(digest, room.cast("long")) + 1).cast("int"), F.lit(3 * settings.slice_bytes)).alias("piece"),
-    )
-    order = Window.partitionBy("lang").orderBy("digest", "piece")
-    sample = (
-        pieces.withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= 2 * settings.sample_docs).drop("place").collect()
-    )
-    counts = {r["lang"]: r["n"] for r in rows.groupBy(F.col(lang).alias("lang")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"{len(counts)} languages; at most {MAX_LANGUAGES} dictionaries are held at a time")
+    room = F.greatest(F.char_length(F.col(text)) - 3 * settings.slice_bytes, F.lit(1))
+    at = (F.pmod(digest, room.cast("long")) + 1).cast("int")
+    picks = F.create_map(*[F.lit(v) for name, n in counts.items() for v in (name, min(1.0, 4 * settings.sample_docs / n))]) \
+        if counts else F.create_map(F.lit(""), F.lit(0.0))
+    wanted = F.pmod(digest, F.lit(1 << 30)) < picks[F.col(lang)] * (1 << 30)
+    pieces = rows.where(wanted).groupBy(F.col(lang).alias("lang"), digest.alias("digest")).agg(
+        F.min(F.substring(F.col(text), at, F.lit(3 * settings.slice_bytes))).alias("piece"))
+    first = Window.partitionBy("lang").orderBy("digest")
+    sample = pieces.withColumn("place", F.row_number().over(first)).where(F.col("place") <= settings.sample_docs).collect()
     cut: dict[str, list[bytes]] = {name: [] for name in counts}
-    seen = set()
     for row in sorted(sample, key=lambda r: (r["lang"], r["digest"])):
-        if (row["lang"], row["digest"]) not in seen and len(cut[row["lang"]]) < settings.sample_docs:
-            seen.add((row["lang"], row["digest"]))
-            cut[row["lang"]].append(letters(row["piece"]).encode()[: settings.slice_bytes])
+        cut[row["lang"]].append(letters(row["piece"]).encode()[: settings.slice_bytes])
     ranked = sorted(counts, key=lambda name: (-counts[name], name))
     return Model(tuple((name, b" ".join(cut[name])) for name in ranked), settings)
 

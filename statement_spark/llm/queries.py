@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from statement_spark.llm import compression_bands, language_id, packing, quality_net, simhash_pivots
 from statement_spark.llm.common import fold, table
 
-VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")  # the ranks of byte_bpe_50k.json
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
