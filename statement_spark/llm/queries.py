@@ -6,7 +6,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from statement_spark.llm import compression_bands, language_id, packing, quality_net, simhash_pivots
+from statement_spark.llm import compression_bands, language_id, license_rules, packing, quality_net, simhash_pivots
 from statement_spark.llm.common import fold, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")  # the ranks of byte_bpe_50k.json
@@ -58,6 +58,16 @@ def op7_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_bands.judge(docs).select("doc_id", "quality.*")
 
 
+@query("op9_license_rules")
+def op9_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_rules.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "licenses.n_words", "licenses.n_base", "licenses.first_word", "licenses.last_word",
+        F.array_join("licenses.base_labels", ",").alias("base_labels"), F.array_join("licenses.labels", ",").alias("labels"),
+        "licenses.score",
+    )
+
+
 @query("op10_simhash_pivots")
 def op10_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_pivots.near_duplicates(table(spark, sf_dir, "documents"))
