@@ -6,7 +6,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from statement_spark.llm import compression_bands, language_id, license_rules, packing, quality_net, simhash_pivots
+from statement_spark.llm import compression_bands, language_id, license_rules, packing, positional_index, quality_net, simhash_pivots
 from statement_spark.llm.common import fold, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")  # the ranks of byte_bpe_50k.json
@@ -37,6 +37,43 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op3_positional_index", """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
+bw AS (
+  SELECT item_id, least(len(w), 13) AS k, array_to_string(w[s : s + least(len(w), 13) - 1], ' ') AS t
+  FROM (SELECT *, unnest(generate_series(1, greatest(len(w) - 12, 1))) AS s FROM b WHERE len(w) > 0)),
+dw AS (
+  SELECT doc_id, s, k, array_to_string(w[s : s + k - 1], ' ') AS t
+  FROM (SELECT doc_id, w, k, unnest(generate_series(1, len(w) - k + 1)) AS s
+        FROM d, (SELECT DISTINCT k FROM bw) WHERE len(w) >= k)),
+hits AS (SELECT doc_id, s, k, item_id FROM dw JOIN bw USING (k, t)),
+spots AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(s, s + k - 1)) AS p FROM hits) GROUP BY 1),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM hits) GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN spots USING (doc_id) LEFT JOIN named USING (doc_id)
+""")
+def op3_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
+    found = positional_index.matches(docs, benchmark)
+    return found.select(
+        "doc_id", "contamination.n_words", "contamination.n_hit", F.size("contamination.items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("contamination.items", ","), 256).alias("items_sha256"),
+        positional_index.contaminated().alias("contaminated"),
+    )
+
+
 @query("op4_packing")
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
