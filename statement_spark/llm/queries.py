@@ -6,11 +6,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from statement_spark.llm import compression_bands, language_id, license_rules, packing, positional_index, quality_net, simhash_pivots
+from statement_spark.llm import compression_bands, language_id, license_rules, packing, positional_index, quality_net, simhash_pivots, surrogates
 from statement_spark.llm.common import fold, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")  # the ranks of byte_bpe_50k.json
 
+SURROGATE_KEY = "statement-spark"  # a caller's own key keeps his surrogates apart from those here
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -37,6 +39,15 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op2_surrogates")
+def op2_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = surrogates.replace(docs, SURROGATE_KEY)
+    return found.select(
+        "doc_id", "text", F.aggregate(F.map_values("replaced"), F.lit(0), lambda a, b: a + b).alias("n_replaced"),
+        F.array_join(F.array_sort(F.map_keys("replaced")), ",").alias("types"))
+
+
 @query("op3_positional_index", """
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
