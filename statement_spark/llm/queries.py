@@ -6,7 +6,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from statement_spark.llm import compression_bands, language_id, license_rules, packing, positional_index, quality_net, simhash_pivots, surrogates
+from statement_spark.llm import compression_bands, language_id, license_rules, packing, positional_index, quality_net, simhash_pivots, surrogates, warc_derivatives, warc_sql
 from statement_spark.llm.common import fold, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")  # the ranks of byte_bpe_50k.json
@@ -106,6 +106,11 @@ def op7_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_bands.judge(docs).select("doc_id", "quality.*")
 
 
+@query("op8_warc_derivatives", warc_sql.pages_sql())
+def op8_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_derivatives.derive(table(spark, sf_dir, "pages"), key="page_id")
+
+
 @query("op9_license_rules")
 def op9_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_rules.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
