@@ -6,7 +6,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from statement_spark.llm import compression_bands, language_id, license_rules, packing, positional_index, quality_net, simhash_pivots, surrogates, warc_derivatives, warc_sql
+from statement_spark.llm import compression_bands, language_id, license_rules, packing, positional_index, quality_net, simhash_pivots, suffix_dedup, surrogates, warc_derivatives, warc_sql
 from statement_spark.llm.common import fold, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")  # the ranks of byte_bpe_50k.json
@@ -91,6 +91,12 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, packing.Settings(VOCABULARY), with_ids=False)
 
 
+@query("op5_suffix_dedup")
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "dedup.n_bytes", "dedup.n_removed", "dedup.n_spans", F.sha2("dedup.kept", 256).alias("kept_sha256"))
+
+
 @query("op6_quality_net")
 def op6_quality_net(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
