@@ -25,3 +25,14 @@ def fold(id_col: str, folds: int) -> Column:
 def octets(text: str) -> Column:
     """A text column as UTF-8 bytes, the form in which texts go to Python."""
     return F.col(text).cast("binary")
+
+
+def boxed(docs: DataFrame, **more: Column) -> DataFrame:
+    """All columns of `docs` in one struct `_row`, with `more` beside it, so that no working name can clash."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *[v.alias(k) for k, v in more.items()])
+
+
+def unboxed(rows: DataFrame, columns: list[str], **results: Column) -> DataFrame:
+    """The columns out of `_row` and the results after them; a result takes the place of a column of its name."""
+    kept = [results.pop(c).alias(c) if c in results else F.col(f"_row.`{c}`") for c in columns]
+    return rows.select(*kept, *[v.alias(k) for k, v in results.items()])

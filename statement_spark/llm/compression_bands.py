@@ -94,7 +94,7 @@ def band_verdict(text: bytes, bands: Bands, packer: zstandard.ZstdCompressor) ->
 
 
 def judge(docs: DataFrame, text: str = "text", out: str = "quality", bands: Bands = Bands()) -> DataFrame:
-    """`docs` with a struct column `out` of counts, ratios and the verdict; one pass, no shuffle."""
+    """`docs` with a struct column `out` (in place of one of that name): counts, ratios and the verdict; no shuffle."""
 
     @F.arrow_udf(returnType=RESULT_DDL)
     def rules(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

@@ -117,7 +117,7 @@ class Scorer:
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text", out: str = "language") -> DataFrame:
-    """`docs` with a struct column `out`; one pass, no shuffle."""
+    """`docs` with a struct column `out` (in place of one of that name); one pass, no shuffle."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: MAX_LANGUAGES dictionaries of a fixed length
 
     @F.arrow_udf(returnType=RESULT_DDL)

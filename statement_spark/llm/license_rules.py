@@ -6,7 +6,8 @@ do without. All matches become spans. Overlaps are settled from left to right: a
 that overlap in part, the one of the stronger priority stays, and both stay if neither is stronger.
 
 Null and empty texts have no words and no spans. Equal spans are settled by priority, then confidence, then label.
-Repeated rows are scanned alike. Nothing is shuffled, and spans stay in their document's row.
+Repeated rows are scanned alike. Nothing is shuffled, and spans stay in their document's row; a column with the result's
+name gives way to it.
 """
 from __future__ import annotations
 
@@ -14,7 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from statement_spark.llm.common import ALNUM_SEPARATORS, lower_ascii
+from statement_spark.llm.common import ALNUM_SEPARATORS, boxed, lower_ascii, unboxed
 from statement_spark.llm.license_signatures import needed_word, signatures
 
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -84,19 +85,18 @@ def scan(docs: DataFrame, text: str = "text", out: str = "licenses",
     and score, the greatest confidence among the kept spans (0 without any)."""
     table = signatures() if table is None else table
     needed = sorted({needed_word(pattern, keyword) for _, _, keyword, _, pattern in table} | {"licen", "cc"})
-    low = f"{out}_low"
-    lowered = docs.withColumn(low, lower_ascii(F.coalesce(F.col(text), F.lit(""))))
-    may = reduce(lambda a, b: a | b, [F.contains(F.col(low), F.lit(word)) for word in needed])
-    joined = lowered.withColumn(f"{out}_words", F.when(may, F.trim(F.regexp_replace(F.col(low), ALNUM_SEPARATORS, " "))))
-    words = F.col(f"{out}_words")
+    lowered = boxed(docs, _low=lower_ascii(F.coalesce(F.col(text), F.lit(""))))
+    may = reduce(lambda a, b: a | b, [F.contains(F.col("_low"), F.lit(word)) for word in needed])
+    joined = lowered.withColumn("_words", F.when(may, F.trim(F.regexp_replace(F.col("_low"), ALNUM_SEPARATORS, " "))))
+    words = F.col("_words")
     tried = F.filter(rules(table), lambda rule: F.contains(words, rule["keyword"]))
     spans = F.when(words.isNotNull(), F.flatten(F.transform(tried, lambda rule: _spans(words, rule))))
     counted = (
-        joined.withColumn(f"{out}_n", F.regexp_count(F.col(low), F.lit(WORD)).cast("bigint"))
-        .withColumn(f"{out}_hits", F.when(words.rlike(BASE), F.regexp_extract_all(words, F.lit(BASE), F.lit(0))))
-        .withColumn(f"{out}_kept", F.when(F.size(spans) > 0, _settled(spans)))
+        joined.withColumn("_n", F.regexp_count(F.col("_low"), F.lit(WORD)).cast("bigint"))
+        .withColumn("_hits", F.when(words.rlike(BASE), F.regexp_extract_all(words, F.lit(BASE), F.lit(0))))
+        .withColumn("_kept", F.when(F.size(spans) > 0, _settled(spans)))
     )
-    hits, kept, n_words = F.col(f"{out}_hits"), F.col(f"{out}_kept"), F.col(f"{out}_n")
+    hits, kept, n_words = F.col("_hits"), F.col("_kept"), F.col("_n")
     gaps = F.split(words, BASE, -1)
 
     def blanks(part: Column) -> Column:
@@ -114,4 +114,4 @@ def scan(docs: DataFrame, text: str = "text", out: str = "licenses",
         F.coalesce(F.array_max(F.transform(kept, lambda s: s["confidence"])), F.lit(0.0)).alias("score"),
         F.coalesce(kept, F.array().cast(KEPT)).alias("spans"), words.alias("normalised"),
     )
-    return counted.withColumn(out, result).drop(low, f"{out}_words", f"{out}_n", f"{out}_hits", f"{out}_kept")
+    return unboxed(counted, docs.columns, **{out: result})

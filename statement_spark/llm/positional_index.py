@@ -11,13 +11,14 @@
 `near_matches` intersects the same kind of postings by distance instead: an item's rarest terms within `span` words.
 
 Null and empty texts have no words; documents without words are never contaminated, items without words or without id
-match nothing. Repeated rows get the same result each; items with the same id count once. Rows of `docs` keep their columns.
+match nothing. Repeated rows get the same result each; items with the same id count once. Rows of `docs` keep their columns, of which
+one with the result's name gives way to it.
 """
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from statement_spark.llm.common import lower_ascii
+from statement_spark.llm.common import boxed, lower_ascii, unboxed
 from statement_spark.session import small, staged
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -30,9 +31,9 @@ def words_of(text: Column) -> Column:
 
 
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """`docs` with `_key`, which names a row by id and text. Two rows with one key only share candidates, and these are
-    compared with each row's own words."""
-    return docs.withColumn("_key", F.xxhash64(F.col(doc_id), F.col(text)))
+    """`docs` as `_row`, `_text` and `_key`, which names a row by id and text. Two rows with one key only share candidates,
+    and these are compared with each row's own words."""
+    return boxed(docs, _key=F.xxhash64(F.col(doc_id), F.col(text)), _text=F.col(text))
 
 
 def _items(items: DataFrame, item_id: str, text: str) -> DataFrame:
@@ -92,8 +93,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
             item_text: str = "text", out: str = "contamination", window: int = WINDOW, rarest: int = RAREST) -> DataFrame:
     """`docs` with a struct column `out`: n_words, n_hit, items (ids as strings, sorted) and hits (item, first word)."""
     keyed = _keyed(docs, doc_id, text)
-    options = candidates(keyed.select("_key", text), _items(benchmark, item_id, item_text), text, window, rarest)
-    joined = keyed.join(small(options), "_key", "left").withColumn("_words", words_of(F.col(text)))
+    options = candidates(keyed.select("_key", "_text"), _items(benchmark, item_id, item_text), "_text", window, rarest)
+    joined = keyed.join(small(options), "_key", "left").withColumn("_words", words_of(F.col("_text")))
 
     def same(option: Column, start: Column) -> Column:
         at = option["origin"] + start
@@ -116,7 +117,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
             o["at"], lambda a: F.struct(o["item"].alias("item"), a.alias("first_word"))))),
             F.array().cast("array<struct<item:string,first_word:int>>")).alias("hits"),
     )
-    return checked.withColumn(out, result).drop("_key", "_words", "_true", "options")
+    return unboxed(checked, docs.columns, **{out: result})
 
 
 def contaminated(out: str = "contamination") -> Column:
@@ -128,15 +129,15 @@ def near_matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
                  item_text: str = "text", terms: int = 4, span: int = 60) -> DataFrame:
     """(doc_id, item_id, first_word): the first place where an item's rarest distinct terms (`terms` of them, or all it
     has) stand within `span` words in any order."""
-    keyed = _keyed(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "doc_id", "text")
+    keyed = _keyed(docs, doc_id, text).select("_key", "_text", F.col(f"_row.`{doc_id}`").alias("doc_id"))
     items = _items(benchmark, item_id, item_text)
-    found = frequencies(keyed, items, "text")
+    found = frequencies(keyed, items, "_text")
     own = items.select("item", "digest", F.explode(F.array_distinct("words")).alias("term")).join(found, "term", "left")
     ranked = own.groupBy("item", "digest").agg(
         F.slice(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "term"))), 1, terms).alias("picks"))
     wanted = ranked.where(F.element_at("picks", 1)["n"] > 0).select(
         "item", "digest", F.size("picks").alias("n_terms"), F.explode("picks.term").alias("term"))
-    index = postings(keyed, wanted.select("term"), "text")
+    index = postings(keyed, wanted.select("term"), "_text")
     ahead = Window.partitionBy("_key", "item", "digest").orderBy("at").rangeBetween(0, span - 1)
     near = index.join(small(staged(wanted, "wanted")), "term").withColumn("held", F.size(F.collect_set("term").over(ahead)))
     first = near.where("held = n_terms").groupBy("_key", "item").agg(F.min("at").alias("first_word"))

@@ -199,7 +199,7 @@ def probability(features: np.ndarray, model: Model) -> np.ndarray:
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
-    """`docs` with the probability of label 1; one pass, no shuffle."""
+    """`docs` with the probability of label 1 as `out` (in place of a column of that name); one pass, no shuffle."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: buckets x dim numbers
 
     @F.arrow_udf(returnType="double")

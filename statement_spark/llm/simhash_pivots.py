@@ -57,7 +57,7 @@ def fingerprint(body: bytes, words_each: int = 3, seed: int = SEED) -> int:
 
 
 def fingerprints(docs: DataFrame, text: str = "text", out: str = "fp", words_each: int = 3) -> DataFrame:
-    """`docs` with the fingerprint as a signed bigint; one pass, no shuffle."""
+    """`docs` with the fingerprint as a signed bigint `out` (in place of a column of that name); one pass, no shuffle."""
 
     @F.arrow_udf(returnType="bigint")
     def simhash(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

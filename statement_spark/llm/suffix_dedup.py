@@ -28,6 +28,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
+from statement_spark.llm.common import unboxed
 from statement_spark.session import small, staged
 
 STEP = 1 << 20  # window starts that are worked on at a time
@@ -360,6 +361,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     stretches = repeats(docs, doc_id, text, settings).groupBy("r1", "r2").agg(
         F.collect_set(F.struct("start", "stop")).alias("_stretches"))
     r1, r2 = _rows_of(doc_id, text)
-    squeezed = docs.withColumns({"_r1": r1, "_r2": r2}).withColumn(text, _squeezed(F.col(text).cast("binary")))
-    joined = squeezed.join(stretches.withColumnsRenamed({"r1": "_r1", "r2": "_r2"}), ["_r1", "_r2"], "left")
-    return joined.withColumn(out, _without(F.col(text), F.col("_stretches"))).drop("_r1", "_r2", "_stretches", text)
+    others = docs.drop(text)
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in others.columns]).alias("_row"), r1, r2,
+        _squeezed(F.col(text).cast("binary")).alias("_squeezed"))
+    joined = rows.join(stretches, ["r1", "r2"], "left")
+    return unboxed(joined, others.columns, **{out: _without(F.col("_squeezed"), F.col("_stretches"))})

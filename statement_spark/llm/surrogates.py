@@ -8,12 +8,13 @@ in all documents; no two entities of a type share one and none equals a real ent
 corpus: of entities that collide one keeps the draw and the others draw again, with longer names at each turn.
 
 Null texts stay null; texts without mentions, empty ones included, stay as they are. Repeated rows are replaced alike.
-All columns of `docs` are kept; `out` holds how many mentions were replaced, by type.
+All columns of `docs` are kept; `out` holds how many mentions were replaced, by type, in place of a column of that name.
 """
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from statement_spark.llm.common import boxed, unboxed
 from statement_spark.session import staged
 
 MAX_TURNS = 40
@@ -189,22 +190,22 @@ def replace(docs: DataFrame, key: str, doc_id: str = "doc_id", text: str = "text
     """`docs` with mentions in `text` replaced, and `out`: map<type, count> (empty if there are none).
 
     Only rows with mentions are shuffled, by a digest of id and text; rows that agree in both have equal results."""
-    row = F.md5(F.concat_ws("\u0001", F.col(doc_id).cast("string"), F.col(text)))
-    none = F.create_map().cast("map<string,int>")
     has = F.coalesce(F.col(text), F.lit("")).rlike(MENTION)
-    touched = docs.where(has)
+    digest = F.md5(F.concat_ws("\u0001", F.col(doc_id).cast("string"), F.col(text)))
+    touched = boxed(docs.where(has), _key=digest, _text=F.col(text))
     places = staged(
-        touched.select(row.alias("_row"), F.posexplode(mentions(F.col(text))).alias("at", "m"))
-        .select("_row", "at", "m.type", "m.mention").withColumn("form", canonical(F.col("type"), F.col("mention"))).distinct(), "mentions")
+        touched.select("_key", F.posexplode(mentions(F.col("_text"))).alias("at", "m"))
+        .select("_key", "at", "m.type", "m.mention").withColumn("form", canonical(F.col("type"), F.col("mention"))).distinct(), "mentions")
     named = assign(places, key)
     by_row = places.join(named, ["type", "form"]).select(
-        "_row", F.struct("at", "type", rendered(F.col("type"), F.col("mention"), F.col("surrogate")).alias("put")).alias("p")
-    ).groupBy("_row").agg(F.array_sort(F.collect_list("p")).alias("_puts"))
-    gaps = F.split(F.col(text), MENTION, -1)
+        "_key", F.struct("at", "type", rendered(F.col("type"), F.col("mention"), F.col("surrogate")).alias("put")).alias("p")
+    ).groupBy("_key").agg(F.array_sort(F.collect_list("p")).alias("_puts"))
+    gaps = F.split(F.col("_text"), MENTION, -1)
     rebuilt = F.array_join(F.zip_with(
         gaps, F.transform("_puts", lambda p: p["put"]), lambda gap, put: F.concat(gap, F.coalesce(put, F.lit("")))), "")
     kinds = F.transform("_puts", lambda p: F.substring_index(p["type"], ":", 1))
     counts = F.map_from_entries(F.transform(
         F.array_sort(F.array_distinct(kinds)), lambda k: F.struct(k, F.size(F.filter(kinds, lambda x: x == k)))))
-    changed = touched.withColumn("_row", row).join(by_row, "_row").withColumns({text: rebuilt, out: counts}).drop("_row", "_puts")
-    return changed.unionByName(docs.where(~has).withColumn(out, none))
+    changed = unboxed(touched.join(by_row, "_key"), docs.columns, **{text: rebuilt, out: counts})
+    none = F.create_map().cast("map<string,int>")
+    return changed.unionByName(unboxed(boxed(docs.where(~has)), docs.columns, **{out: none}))
