@@ -97,7 +97,7 @@ def derive(responses: DataFrame, target: str = "url", body: str = "html", respon
     base = responses.select(
         *([F.col(key).alias("_key")] if key else []), uri.alias("uri"), html.alias("html"),
         (F.col(date).cast("string") if date else F.lit(NO_DATE)).alias("date"),
-        (F.col(headers) if headers else F.create_map().cast("map<string,string>")).alias("headers"),
+        F.coalesce(F.col(headers) if headers else F.lit(None), F.create_map().cast("map<string,string>")).alias("headers"),
         (F.col(response_id) if response_id else F.lit(None)).cast("string").alias("given"),
         (F.col(key).cast("string") if key else F.lit(None).cast("string")).alias("own"),
     ).withColumn("payload", digest(F.col("html")))
