@@ -46,7 +46,7 @@ def _numbered(text: Column) -> Column:
         real = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
         return F.decode(F.unhex(F.lpad(F.hex(F.when(real, number).otherwise(0xFFFD)), 8, "0")), "UTF-32")
 
-    whole = F.array_join(F.zip_with(gaps, found, lambda gap, mark: F.concat(gap, F.coalesce(char(mark), F.lit("")))), "")
+    whole = F.array_join(F.zip_with(gaps, found, lambda gap, mark: F.when(mark.isNull(), gap).otherwise(F.concat(gap, char(mark)))), "")
     return F.when(F.contains(text, F.lit("&#")), whole).otherwise(text)
 
 
