@@ -13,6 +13,18 @@ def _rx(c: Column, pattern: str) -> Column:
     return c.rlike(P.ci(pattern))
 
 
+def near_nodes(nodes: Column) -> Column:
+    """The last nodes before a table: whole ones, until they reach CONTEXT_CHARS together."""
+    start = F.struct(F.lit(0).alias("taken"), F.lit(0).alias("chars"))
+
+    def step(state: Column, node: Column) -> Column:
+        more = (state["chars"] < P.CONTEXT_CHARS).cast("int")
+        return F.struct((state["taken"] + more).alias("taken"), (state["chars"] + more * F.length(node)).alias("chars"))
+
+    taken = F.aggregate(F.reverse(nodes), start, step, lambda state: state["taken"])
+    return F.slice(nodes, F.size(nodes) - taken + 1, taken)
+
+
 def page_tables(pages: DataFrame) -> DataFrame:
     """One row per table of a segmented page, with its heading and nearest scale caption.
 
@@ -34,8 +46,8 @@ def page_tables(pages: DataFrame) -> DataFrame:
         F.transform("segments", lambda s, i: F.struct(
             i.alias("table_idx"), F.col("doc_scale"),
             last(F.slice("captions", F.lit(1), i + 1)).alias("near_scale"),
-            F.right(F.array_join(s["nodes"], "\n"), F.lit(P.CONTEXT_CHARS)).alias("context"),
-            s["rows"].alias("rows"),
+            F.array_join(near_nodes(s["nodes"]), "\n").alias("context"),
+            s["rows"].alias("rows"), s["cols"].alias("cols"),
         )),
         lambda t: t["rows"].isNotNull(),
     )
@@ -227,44 +239,51 @@ def _is_year(cell: Column) -> Column:
     return cell.rlike(r"^\s*(19|20)\d{2}\s*$")
 
 
-def statement_rows(tables: DataFrame, target_end: Column, annual: Column) -> DataFrame:
-    """Label and current-period value of every row of a statement.
+def _names_year(cell: Column) -> Column:
+    return cell.rlike(r"\b(?:19|20)\d{2}\b")
 
-    Cells are lined up by order, after blanks and lone currency signs are left out, with the
-    period columns that the header rows name. The current column is the one that ends at
-    ``target_end`` (the latest when the header does not name it); of several with that end the
-    longest is taken for an annual filing and the shortest otherwise. A row whose values do not
-    line up with the header gives no value.
-    """
-    keys = [c for c in tables.columns if c != "rows"]
+
+def _lines(rows: Column, cols: Column) -> Column:
+    """Each row's label and its filled cells: text, first column, column behind it, and number.
+
+    A percentage counts as its number; lone currency and percent signs are no cells."""
     blank = r"(?U)^[\s$)%]*$"
-    cells = tables.withColumns({
-        "target_end": target_end,
-        "annual": annual,
-        "lines": F.transform("rows", lambda r: F.struct(
-            F.trim(F.coalesce(F.get(r, F.lit(0)), F.lit(""))).alias("label"),
-            F.filter(F.slice(r, 2, F.greatest(F.size(r), F.lit(1))), lambda c: ~c.rlike(blank)).alias("cells"),
-        )),
-    })
-    parsed = cells.withColumn("lines", F.transform("lines", lambda x: F.struct(
-        x["label"], x["cells"], F.transform(x["cells"], numbers.parse_number).alias("vals"))))
-    judged = parsed.withColumn("lines", F.transform("lines", lambda x: F.struct(
-        x["label"], x["cells"], x["vals"],
-        F.forall(F.zip_with(x["cells"], x["vals"], lambda c, v: v.isNotNull() | _dash(c)), lambda b: b).alias("ok"),
-    )))
-    is_data = lambda x: x["ok"] & (F.size(x["cells"]) > 0) & (x["label"] != "") & ~F.forall(
-        x["cells"], lambda c: _is_year(c))
+
+    def cells(row: Column, at: Column) -> Column:
+        placed = F.transform(row, lambda c, i: F.struct(
+            c.alias("text"), F.get(at, i).alias("at"), F.get(at, i + 1).alias("to"), i.alias("i")))
+        filled = F.filter(placed, lambda c: (c["i"] > 0) & ~c["text"].rlike(blank))
+        return F.transform(filled, lambda c: F.struct(
+            c["text"], c["at"], c["to"], numbers.parse_number(F.regexp_replace(c["text"], r"\s*%\s*$", "")).alias("value")))
+
+    return F.zip_with(rows, cols, lambda row, at: F.struct(
+        F.trim(F.coalesce(F.get(row, F.lit(0)), F.lit(""))).alias("label"), cells(row, at).alias("cells")))
+
+
+def read_rows(tables: DataFrame, target_end: Column, annual: Column) -> DataFrame:
+    """Every labelled row below a statement's header: row_idx, key, n_cells, raw_value, current_end, is_stale.
+
+    The header rows name the period columns. The current column is the one that ends at ``target_end`` (the latest
+    when the header does not name it); of several with that end the longest is taken for an annual filing and the
+    shortest otherwise. Where the cells' columns agree with the header's, the value stands below the current
+    period; else values are lined up by order with the periods, or with all header cells when a change or note column
+    stands among them. A row that fits neither has cells but no value; a row without cells is a parent's label.
+    A table whose current period is not that of the filing is stale.
+    """
+    keys = [c for c in tables.columns if c not in ("rows", "cols")]
+    cols = F.col("cols") if "cols" in tables.columns else F.transform(
+        "rows", lambda r: F.sequence(F.lit(0), F.size(r)))
+    cells = tables.withColumns({"target_end": target_end, "annual": annual, "lines": _lines(F.col("rows"), cols)})
+
+    def is_data(x: Column) -> Column:
+        numbered = F.exists(x["cells"], lambda c: (c["value"].isNotNull() & ~_is_year(c["text"])) | _dash(c["text"]))
+        return numbered & (x["label"] != "") & ~F.exists(x["cells"], lambda c: _names_year(c["text"]) & c["value"].isNull())
+
     first = F.array_position(F.transform("lines", is_data), F.lit(True)).cast("int")
-    headed = judged.withColumn("first", F.when(first > 0, first)).withColumn(
-        "header",
-        F.array_join(
-            F.flatten(F.transform(
-                F.slice("lines", F.lit(1), F.col("first") - 1),
-                lambda x: F.concat(F.array(x["label"]), x["cells"]),
-            )),
-            " | ",
-        ),
-    )
+    headed = cells.withColumn("first", F.when(first > 0, first)).withColumn(
+        "heads", F.slice("lines", F.lit(1), F.col("first") - 1)).withColumn(
+        "header", F.array_join(F.flatten(F.transform(
+            "heads", lambda x: F.concat(F.array(x["label"]), F.transform(x["cells"], lambda c: c["text"])))), " | "))
     month = r"(?:January|February|March|April|May|June|July|August|September|October|November|December)"
     dated = headed.withColumns({
         "full": F.regexp_extract_all("header", F.lit(P.ci(f"({month}\\s+\\d{{1,2}},?\\s+\\d{{4}})")), F.lit(1)),
@@ -275,6 +294,9 @@ def statement_rows(tables: DataFrame, target_end: Column, annual: Column) -> Dat
             F.lit(P.ci(r"((?:three|six|nine|twelve|thirteen|twenty-six|thirty-nine|fifty-two"
                        r"|fifty-three|\d{1,2})\s+(?:weeks|months)\s+ended|years?\s+ended)")),
             F.lit(1)),
+        "top": F.array_max(F.transform("heads", lambda x: F.struct(
+            F.size(F.filter(x["cells"], lambda c: _names_year(c["text"]))).alias("n"),
+            F.transform(x["cells"], lambda c: F.struct(c["at"], c["to"], _names_year(c["text"]).alias("dated"))).alias("cells")))),
     })
     n_dates = F.when(F.size("full") > 0, F.size("full")).otherwise(F.size("years"))
 
@@ -292,7 +314,7 @@ def statement_rows(tables: DataFrame, target_end: Column, annual: Column) -> Dat
             F.coalesce(days(span), F.lit(0)).alias("days"), i.cast("int").alias("i"),
         )
 
-    cols = dated.withColumn("n_dates", n_dates).withColumn(
+    timed = dated.withColumn("n_dates", n_dates).withColumn(
         "periods",
         F.when(F.col("n_dates") > 0,
                F.transform(F.sequence(F.lit(0), F.col("n_dates") - 1), column)),
@@ -304,14 +326,42 @@ def statement_rows(tables: DataFrame, target_end: Column, annual: Column) -> Dat
         F.filter("periods", lambda p: p["end"] == F.col("current_end")),
         lambda p: F.struct(F.when(F.col("annual"), -p["days"]).otherwise(p["days"]), p["i"].alias("i")),
     ))
-    picked = cols.withColumn("current_end", wanted_end).withColumn("pick", best["i"])
+    off = F.abs(F.datediff("current_end", "target_end")) > P.PERIOD_END_TOLERANCE
+    told = (F.size("full") > 0) | (F.col("day") != "")
+    body = F.slice("lines", F.col("first"), F.size("lines"))
+    heads, in_order = F.col("top.cells"), F.filter("top.cells", lambda h: h["dated"])
+    aligned = (F.size(in_order) == F.col("n_dates")) & F.forall(body, lambda x: F.forall(
+        F.filter(x["cells"], lambda c: c["value"].isNotNull()),
+        lambda c: F.exists(heads, lambda h: (h["at"] <= c["at"]) & (c["at"] < h["to"]))))
+    places = F.filter(F.transform(heads, lambda h, i: F.when(h["dated"], i)), lambda i: i.isNotNull())
+    picked = timed.withColumn("current_end", wanted_end).withColumn("pick", best["i"]).withColumns({
+        "aligned": aligned, "below": F.get(in_order, F.col("pick")), "place": F.get(places, F.col("pick")),
+        "n_heads": F.size(heads), "n_dated": F.size(in_order), "n_dates": F.coalesce("n_dates", F.lit(0)),
+        "is_stale": F.coalesce(off & (told | (F.year("current_end") != F.year("target_end"))), F.lit(False)),
+    })
     rows = picked.select(
-        *keys, "current_end", "pick", "n_dates",
-        F.posexplode(F.slice("lines", F.col("first"), F.size("lines"))).alias("row_idx", "line"),
+        *keys, "current_end", "is_stale", "pick", "n_dates", "aligned", "below", "place", "n_heads", "n_dated",
+        F.posexplode(body).alias("row_idx", "line"),
     )  # a table without data rows has a null slice and gives none
-    values = F.col("line.vals")
-    value = F.when(F.size(values) == F.col("n_dates"), F.get(values, F.col("pick"))).when(
-        (F.size(values) == 1) & (F.coalesce(F.col("n_dates"), F.lit(0)) <= 1), F.get(values, F.lit(0)))
-    return rows.filter("line.ok and line.label <> ''").select(
-        *keys, "row_idx", F.col("line.label").alias("key"), "current_end", value.alias("raw_value"),
-    ).filter("raw_value is not null")
+    values = F.transform("line.cells", lambda c: c["value"])
+    under = F.filter("line.cells", lambda c: c["value"].isNotNull() & (c["at"] >= F.col("below.at")) & (c["at"] < F.col("below.to")))
+    value = (
+        F.when(F.col("aligned") & F.col("below").isNotNull(), F.get(under, F.lit(0))["value"])
+        .when(F.size(values) == F.col("n_dates"), F.get(values, F.col("pick")))
+        .when((F.size(values) == F.col("n_heads")) & (F.col("n_dated") == F.col("n_dates")), F.get(values, F.col("place")))
+        .when((F.size(values) == 1) & (F.col("n_dates") <= 1), F.get(values, F.lit(0)))
+    )
+    return rows.filter("line.label <> ''").select(
+        *keys, "row_idx", F.col("line.label").alias("key"), F.size("line.cells").alias("n_cells"), "current_end", "is_stale",
+        value.alias("raw_value"),
+    )
+
+
+def statement_rows(tables: DataFrame, target_end: Column, annual: Column) -> DataFrame:
+    """Label and current-period value of every row of a statement that has one."""
+    return read_rows(tables, target_end, annual).filter("raw_value is not null").drop("n_cells")
+
+
+def statement_rejects(tables: DataFrame, target_end: Column, annual: Column) -> DataFrame:
+    """Rows with cells from which no value was read."""
+    return read_rows(tables, target_end, annual).filter("raw_value is null and n_cells > 0").drop("raw_value")

@@ -21,20 +21,24 @@ def read_tables(pages: DataFrame) -> DataFrame:
     return TB.classify(TB.page_tables(html.page_segments(pages)))
 
 
-def statement_metrics(tables: DataFrame, filing: str = "filing_id") -> DataFrame:
-    """Scaled metric rows read from the tables that go to extraction.
+def shaped_tables(tables: DataFrame) -> DataFrame:
+    """Tables that go to extraction, with their scale and section.
 
     ``tables`` carry ``period_end`` and ``annual`` of their filing. A table's own caption comes
     first, then the nearest one before it, then the page's.
     """
     wanted = tables.filter(F.col("table_type").isin("income_statement", "segment", "other"))
     own = T.dominant_scale(F.concat_ws("\n", "context", F.array_join(F.flatten("rows"), " ")))
-    shaped = wanted.withColumns({
+    return wanted.withColumns({
         "scale": F.coalesce(own, F.col("near_scale"), F.col("doc_scale"), F.lit("")),
         "shares": T.shares_scale(F.col("context")),
         "section": F.when(F.col("table_type") == "segment", "other").otherwise(F.col("table_type")),
     }).drop("context", "near_scale", "doc_scale", "table_type")
-    rows = TB.statement_rows(shaped, F.col("period_end"), F.col("annual"))
+
+
+def statement_metrics(tables: DataFrame, filing: str = "filing_id") -> DataFrame:
+    """Scaled metric rows read from the tables that go to extraction; those of another period are stale."""
+    rows = TB.statement_rows(shaped_tables(tables), F.col("period_end"), F.col("annual"))
     dollars = T.scale_factor(F.col("scale"))
     value = numbers.scaled(F.col("key"), F.col("raw_value"), dollars,
                            F.when(F.col("shares").isNull(), dollars).otherwise(T.scale_factor(F.col("shares"))))
@@ -42,10 +46,16 @@ def statement_metrics(tables: DataFrame, filing: str = "filing_id") -> DataFrame
         filing, "cik", F.col("table_idx").alias("chunk_idx"), "section", "key",
         (F.col("table_idx").cast("bigint") * 100_000 + F.col("row_idx")).alias("key_ord"),
         value.alias("num_value"), F.lit(None).cast("string").alias("str_value"),
-        F.lit(False).alias("is_stale"),
+        "is_stale",
     )
 
 
+def statement_rejects(tables: DataFrame, filing: str = "filing_id") -> DataFrame:
+    """Rows of the tables that go to extraction which hold numbers but gave no value."""
+    rows = TB.statement_rejects(shaped_tables(tables), F.col("period_end"), F.col("annual"))
+    return rows.select(filing, "cik", "table_idx", "row_idx", "key", "n_cells", "current_end")
+
+
 @dataclass
 class Extraction:
     """Results of one pass."""

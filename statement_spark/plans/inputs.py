@@ -70,6 +70,53 @@ CONCEPTS = [
 ]
 
 
+def shaped_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Annual statements in eight table shapes, by supplier: (filing_id, cik, period_end, annual, html).
+
+    0 a change column (and in even years a row that fits no header), 1 a percentage row, 2 negatives in brackets,
+    3 three- and twelve-month columns, 4 three dated columns, 5 no scale, 6 years before the filing's, 7 a long heading.
+    """
+    f = facts(spark, sf_dir)
+    k, y = F.pmod("suppkey", F.lit(8)), F.col("fy")
+    unit = F.when(k == 5, 1).otherwise(1000)
+    td = lambda x: F.concat(F.lit("<td>"), x, F.lit("</td>"))
+    number = lambda x: F.format_number(F.floor(x / unit), 0)
+    text = lambda *xs: F.concat(*[x if isinstance(x, Column) else F.lit(x) for x in xs])
+
+    def row(label: str, x: Column) -> Column:
+        now, half = number(x), number(x / 2)
+        cells = (
+            F.when(k == 0, text(td(now), td(half), "<td>100%</td>"))
+            .when((k == 2) & F.lit(label != "Revenue"), text("<td>$</td>", td(text("(", now, ")")), "<td>$</td>", td(text("(", half, ")"))))
+            .when(k == 3, text(td(number(x / 4)), td(number(x / 8)), td(now), td(half)))
+            .when(k == 4, text(td(now), td(number(x / 3)), td(half)))
+            .otherwise(text("<td>$</td>", td(now), "<td>$</td>", td(half)))
+        )
+        return text(f"<tr><td>{label}</td>", cells, "</tr>")
+
+    th = lambda x, n=1: text(f'<th colspan="{n}">', x, "</th>")
+    year = lambda back: (y - back).cast("string")
+    dated = lambda day, back: text(day, ", ", year(back))
+    head = (
+        F.when(k == 0, text(th(year(0)), th(year(1)), th("Change")))
+        .when(k == 3, text(th("Three Months Ended December 31,", 2), th("Year Ended December 31,", 2), "</tr><tr><td></td>",
+                           th(year(0)), th(year(1)), th(year(0)), th(year(1))))
+        .when(k == 4, text(th(dated("December 31", 0)), th(dated("September 30", 0)), th(dated("December 31", 1))))
+        .when(k == 6, text(th(year(3), 2), th(year(4), 2))).otherwise(text(th(year(0), 2), th(year(1), 2)))
+    )
+    title = F.when(k == 7, text("<p>CONSOLIDATED STATEMENTS OF OPERATIONS", F.repeat(F.lit(" of the company and its holdings"), 20), "</p>")).otherwise(
+        F.lit("<p><b>CONSOLIDATED STATEMENTS OF OPERATIONS</b></p>"))
+    page = text(
+        "<html><body>", title, F.when(k == 5, "").otherwise("<p>(in thousands)</p>"), "<table><tr><td></td>", head, "</tr>",
+        row("Revenue", F.col("revenue")), row("Income tax expense", F.col("tax") + 5000),
+        F.when(k == 1, "<tr><td>Effective tax rate</td><td></td><td>21%</td><td></td><td>20%</td></tr>").otherwise(""),
+        F.when((k == 0) & (y % 2 == 0), "<tr><td>Store count</td><td>5</td><td>6</td><td>7</td><td>8</td></tr>").otherwise(""),
+        "</table></body></html>")
+    return f.select(
+        F.concat_ws("-", "suppkey", "fy").alias("filing_id"), F.col("suppkey").cast("string").alias("cik"),
+        F.make_date("fy", F.lit(12), F.lit(31)).alias("period_end"), F.lit(True).alias("annual"), page.alias("html"))
+
+
 def statement_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Annual statements of suppliers as HTML: (filing_id, cik, period_end, annual, html).
 

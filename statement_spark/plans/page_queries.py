@@ -41,6 +41,23 @@ def statement_rows(spark, sf_dir):
         "filing_id", "key", F.col("num_value").alias("value"))
 
 
+@query("statement_shapes", f"""
+WITH {I.FACTS_SQL}, s AS (SELECT *, suppkey % 8 AS k, CASE WHEN suppkey % 8 = 5 THEN 1 ELSE 1000 END AS u FROM facts)
+SELECT suppkey || '-' || fy AS filing_id, 'Revenue' AS key, CAST(revenue // u * u AS DOUBLE) AS value, k = 6 AS is_stale FROM s
+UNION ALL SELECT suppkey || '-' || fy, 'Income tax expense', CAST((tax + 5000) // u * u * CASE WHEN k = 2 THEN -1 ELSE 1 END AS DOUBLE), k = 6 FROM s
+UNION ALL SELECT suppkey || '-' || fy, 'Effective tax rate', 21.0, false FROM s WHERE k = 1""")
+def statement_shapes(spark, sf_dir):
+    return X.statement_metrics(X.read_tables(I.shaped_pages(spark, sf_dir))).select(
+        "filing_id", "key", F.col("num_value").alias("value"), "is_stale")
+
+
+@query("statement_rejects", f"""
+WITH {I.FACTS_SQL} SELECT suppkey || '-' || fy AS filing_id, 'Store count' AS key, CAST(4 AS INTEGER) AS n_cells
+FROM facts WHERE suppkey % 8 = 0 AND fy % 2 = 0""")
+def statement_rejects(spark, sf_dir):
+    return X.statement_rejects(X.read_tables(I.shaped_pages(spark, sf_dir))).select("filing_id", "key", "n_cells")
+
+
 @query("section_counts", f"""
 WITH {I.FACTS_SQL} SELECT suppkey || '-' || fy AS filing_id, t AS table_type, CAST(1 AS BIGINT) AS n_tables
 FROM facts, (VALUES ('income_statement'), ('non_gaap'), ('balance_sheet')) x(t)""")

@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import patterns as P, text as T
 
-SEGMENT_TYPE = "array<struct<nodes:array<string>,rows:array<array<string>>,links:array<array<string>>>>"
+SEGMENT_TYPE = ("array<struct<nodes:array<string>,rows:array<array<string>>,links:array<array<string>>,"
+                "cols:array<array<int>>>>")
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
@@ -23,20 +24,24 @@ _TAG = re.compile(
     re.S,
 )
 _HREF = re.compile(r"""href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_COLSPAN = re.compile(r"""colspan\s*=\s*["']?(\d{1,3})""", re.I)
 _SPACE = re.compile(r"\s+")
 _NOISE = frozenset(P.NOISE_TAGS)
+_NOISE_TAG = re.compile(rf"<(/?)({'|'.join(sorted(_NOISE))})\b[^<>]*>", re.I)
 
 
-def _end_of(html: str, tag: str, start: int) -> int:
-    """Position after the close tag that matches ``tag``, or -1 when it is never closed."""
-    depth = 1
-    for m in re.finditer(rf"<(/?){tag}\b[^>]*>", html[start:], re.I):
-        if m.group(0).endswith("/>"):
-            continue
-        depth += -1 if m.group(1) else 1
-        if depth == 0:
-            return start + m.end()
-    return -1
+def _noise_ends(html: str) -> dict[int, int]:
+    """Where each closed noise element ends, by the place where it opens; one pass for all tags."""
+    ends: dict[int, int] = {}
+    opened: dict[str, list[int]] = {}
+    for m in _NOISE_TAG.finditer(html):
+        stack = opened.setdefault(m.group(2).lower(), [])
+        if m.group(1):
+            if stack:
+                ends[stack.pop()] = m.end()
+        elif not m.group(0).endswith("/>"):
+            stack.append(m.start())
+    return ends
 
 
 def scan(html: str | None) -> list[dict]:
@@ -45,18 +50,20 @@ def scan(html: str | None) -> list[dict]:
     nodes: list[str] = []
     rows: list[list[list[str]]] = []
     links: list[list[str]] = []
+    cols: list[list[int]] = []  # first column of each cell, and behind the last one the end
     depth = 0
     in_cell = False
 
     def flush(with_table: bool) -> None:
-        nonlocal nodes, rows, links, in_cell
+        nonlocal nodes, rows, links, cols, in_cell
         if with_table or nodes:
             segments.append({
                 "nodes": nodes,
                 "rows": [[" ".join(c) for c in r] for r in rows if r] if with_table else None,
                 "links": [ln for r, ln in zip(rows, links) if r] if with_table else None,
+                "cols": [c for r, c in zip(rows, cols) if r] if with_table else None,
             })
-        nodes, rows, links, in_cell = [], [], [], False
+        nodes, rows, links, cols, in_cell = [], [], [], [], False
 
     def text(raw: str) -> None:
         clean = _SPACE.sub(" ", unescape(raw)).strip()
@@ -68,16 +75,17 @@ def scan(html: str | None) -> list[dict]:
             nodes.append(clean)
 
     html = html or ""
+    ends = _noise_ends(html)
+    last = html.rfind(">") + 1  # no tag ends behind it
     at = 0
-    while (m := _TAG.search(html, at)) is not None:
+    while (m := _TAG.search(html, at, last)) is not None:
         if m.start() > at:
             text(html[at:m.start()])
         at = m.end()
         name = (m.group(2) or "").lower()
         closing = bool(m.group(1))
         if name in _NOISE and not closing and not m.group(0).endswith("/>"):
-            end = _end_of(html, name, at)
-            at = end if end > 0 else at
+            at = max(at, ends.get(m.start(), at))
         elif name == "table":
             if not closing:
                 depth += 1
@@ -92,14 +100,18 @@ def scan(html: str | None) -> list[dict]:
             if not closing:
                 rows.append([])
                 links.append([])
+                cols.append([0])
         elif name in ("td", "th"):
             in_cell = not closing
             if not closing:
                 if not rows:
                     rows.append([])
                     links.append([])
+                    cols.append([0])
                 rows[-1].append([])
                 links[-1].append("")
+                span = _COLSPAN.search(m.group(3) or "")
+                cols[-1].append(cols[-1][-1] + (max(int(span.group(1)), 1) if span else 1))
         elif name == "a" and not closing and in_cell:
             h = _HREF.search(m.group(3) or "")
             if h and not links[-1][-1]:
@@ -118,6 +130,7 @@ def page_segments(pages: DataFrame, html: str = "html") -> DataFrame:
         ("nodes", pa.list_(pa.string())),
         ("rows", pa.list_(pa.list_(pa.string()))),
         ("links", pa.list_(pa.list_(pa.string()))),
+        ("cols", pa.list_(pa.list_(pa.int32()))),
     ]))
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -85,3 +85,24 @@ def test_supplement_selection(spark):
     got = TB.selected_entries(TB.classify(t), "filing_id").select("exhibit_no", "table_idx", "entry").collect()
     assert {(r.exhibit_no, r.table_idx) for r in got} == {(1, 0), (2, 0)}
     assert [r.entry for r in got if r.exhibit_no == 2][0].startswith("[SUPPLEMENTAL EXHIBIT (2)] ")
+
+
+def test_unclosed_noise_tags_are_scanned_in_one_pass():
+    import time
+
+    began = time.perf_counter()
+    assert html.scan("<p>x</p>" + "<svg a=1>" * 8000)[0]["nodes"] == ["x"]
+    assert html.scan("<svg " * 50_000) and time.perf_counter() - began < 1
+
+
+def test_noise_ends_at_its_own_close_tag_and_cells_know_their_columns():
+    found = html.scan("<svg><svg>a</svg>b</svg>c<table><tr><th colspan=2>2024</th><td>1</table><style>d")
+    assert found[0]["nodes"] == ["c"] and found[0]["cols"] == [[0, 2, 3]] and found[1]["nodes"] == ["d"]
+
+
+def test_heading_keeps_whole_nodes(spark):
+    title = "CONSOLIDATED STATEMENTS OF OPERATIONS " + "and so on " * 60
+    page = f"<p>far {'away ' * 100}</p><p>{title}</p><table><tr><td>Sundry</td><td>1</td></tr></table>"
+    pages = spark.createDataFrame([("f", page)], "filing_id string, html string")
+    table = X.read_tables(pages).first()
+    assert table["context"].startswith("CONSOLIDATED") and table["table_type"] == "income_statement"
