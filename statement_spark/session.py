@@ -28,11 +28,13 @@ def local_session(cores: int | str = "*", name: str = "statement-spark") -> Spar
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the shared folder the cluster names in spark.checkpoint.dir.
 
-    Only where that setting is absent (tests, a laptop) a temporary folder is used and recorded
-    in the session, so that all jobs of the session share it.
+    Only in a local session without that setting (tests, a laptop) a temporary folder is used and recorded
+    in the session, so that all jobs of the session share it; on a cluster its absence is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="statement-spark-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"

@@ -1,20 +1,22 @@
 """Value, run and status tables on partitioned parquet: upsert, delete, save gate.
 
-Parquet has no MERGE, so a change rewrites the partitions it touches: the new content is
-written to a staging folder, which ends the lineage, and dynamic partition overwrite then
-replaces just those partitions.
+Parquet has no MERGE, so a change rewrites the partitions it touches, which are buckets of a year or of the run
+table. A load is written twice: as it comes, which ends its lineage, and merged, by dynamic partition overwrite, which
+puts new files in place once all are written. A table has one writer at a time. Rows that lack a partition value can't
+be found again by it; they go to the table's rejects, next to it.
 """
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions import fiscal
 from ..session import small, staged
 
 VALUE_KEY = ["concept_id", "end_date", "form_type", "quarter"]
-VALUE_PARTITIONS = ["period_type", "fiscal_year"]
+VALUE_PARTITIONS = ["period_type", "fiscal_year", "bucket"]
+VALUE_BUCKETS = 16
+RUN_BUCKETS = 64
 
 
 def value_rows(values: DataFrame, filings: DataFrame, filing: str = "filing_id") -> DataFrame:
@@ -44,11 +46,20 @@ def value_rows(values: DataFrame, filings: DataFrame, filing: str = "filing_id")
     )
 
 
+def bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
 def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
+    """The stored rows; none before the first load."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+def rejects_path(path: str) -> str:
+    return f"{path.rstrip('/')}_rejects"
 
 
 def _replace(rows: DataFrame, path: str, partitions: list[str]) -> None:
@@ -65,68 +76,68 @@ def newest(rows: DataFrame, keys: list[str], order: Column) -> DataFrame:
         *rows.columns)
 
 
-MAX_PARTITIONS = 10_000
-
-
 def _touched(current: DataFrame, rows: DataFrame, partitions: list[str]) -> DataFrame:
-    """Stored rows of the partitions that ``rows`` touches.
-
-    The partition values (types by fiscal years, or 64 buckets) are few by design and become
-    literals, so that the scan lists only their folders; more than that is a wrong table.
-    """
-    parts = rows.select(*partitions).distinct().limit(MAX_PARTITIONS + 1).collect()
-    if len(parts) > MAX_PARTITIONS:
-        raise ValueError(f"more than {MAX_PARTITIONS} partitions by {partitions}")
-    wanted = F.lit(True)
-    for i, p in enumerate(partitions):
-        wanted = wanted & F.col(p).isin(*sorted({r[i] for r in parts}))
-    exact = rows.sparkSession.createDataFrame(parts, rows.select(*partitions).schema)
-    return current.filter(wanted).join(F.broadcast(exact), partitions, "left_semi")
+    """Stored rows of the partitions that ``rows`` touches. The partition values are written first: with their size
+    known they are broadcast, and the scan of ``current`` opens their folders only."""
+    parts = staged(rows.select(*partitions).distinct(), "touched")
+    return current.join(small(parts.filter(F.col(partitions[-1]) >= 0)), partitions, "left_semi")
 
 
 def upsert(spark: SparkSession, rows: DataFrame, path: str, keys: list[str], partitions: list[str],
            order: str = "created_at") -> None:
     """Insert rows or replace those with the same key. Of equal keys the newest stays."""
     rows = staged(rows, "incoming")
+    lacking = F.lit(False)
+    for p in partitions:
+        lacking = lacking | F.col(p).isNull()
+    refused = rows.filter(lacking)
+    if not refused.isEmpty():
+        refused.write.mode("append").parquet(rejects_path(path))
+    rows = rows.filter(~lacking)
     current = _touched(_read(spark, path, rows.schema), rows, partitions)
     merged = newest(
         current.withColumn("src", F.lit(0)).unionByName(rows.withColumn("src", F.lit(1))),
         [*keys, *[p for p in partitions if p not in keys]], F.struct("src", order),
     ).drop("src")
-    _replace(staged(merged, "stage"), path, partitions)
+    _replace(merged, path, partitions)
 
 
 def upsert_values(spark: SparkSession, rows: DataFrame, path: str) -> None:
-    upsert(spark, rows, path, VALUE_KEY, VALUE_PARTITIONS)
+    upsert(spark, rows.withColumn("bucket", bucket("concept_id", VALUE_BUCKETS)), path, VALUE_KEY, VALUE_PARTITIONS)
 
 
 def delete_periods(spark: SparkSession, periods: DataFrame, path: str, schema: StructType) -> int:
     """Delete the values of (cik, period_type, fiscal_year, quarter) periods; returns how many.
 
-    Every touched partition is rewritten, so one that ends up empty keeps an empty row group
-    only: its rows are marked, counted in one pass, and left out.
+    Every touched partition is rewritten; its rows are marked, counted in one pass, and left out. A partition that
+    lost all rows loses its folder, as the rows' files name it.
     """
-    stored = _read(spark, path, schema)
-    touched = _touched(stored, periods, VALUE_PARTITIONS)
-    p = periods.select(
-        "cik", "period_type", "fiscal_year", F.coalesce("quarter", F.lit(0)).alias("qk"),
-        F.lit(True).alias("doomed")).distinct()
-    marked = touched.withColumn("qk", F.coalesce("quarter", F.lit(0))).join(
-        small(p), ["cik", "period_type", "fiscal_year", "qk"], "left").drop("qk")
-    again = staged(marked.withColumn("doomed", F.coalesce("doomed", F.lit(False))), "stage")
+    whole = schema if "bucket" in schema.names else StructType([*schema.fields, StructField("bucket", IntegerType())])
+    stored = _read(spark, path, whole)
+    by = ["period_type", "fiscal_year"]
+    known = periods.filter("period_type is not null and fiscal_year is not null")
+    placed = stored.withColumn("folder", F.regexp_extract(F.input_file_name(), "^(.*)/[^/]*$", 1))
+    touched = _touched(placed, known, by)
+    p = known.select("cik", *by, "quarter", F.lit(True).alias("doomed")).distinct().alias("p")
+    t = touched.alias("t")
+    same = F.col("t.cik").eqNullSafe(F.col("p.cik")) & F.col("t.quarter").eqNullSafe(F.col("p.quarter"))
+    for c in by:
+        same = same & (F.col(f"t.{c}") == F.col(f"p.{c}"))
+    marked = t.join(small(p), same, "left").select("t.*", F.coalesce("p.doomed", F.lit(False)).alias("doomed"))
+    again = staged(marked, "stage")
     removed = again.filter("doomed").count()
-    kept = again.filter("not doomed").drop("doomed")
-    emptied = again.groupBy(*VALUE_PARTITIONS).agg(F.bool_and("doomed").alias("all")).filter("all")
-    _replace(kept.select(*stored.columns), path, VALUE_PARTITIONS)
-    _drop_partitions(spark, emptied, path)
+    if removed:
+        emptied = again.groupBy("folder").agg(F.bool_and("doomed").alias("all")).filter("all")
+        _replace(again.filter("not doomed").select(*stored.columns), path, VALUE_PARTITIONS)
+        _drop_folders(spark, emptied)
     return removed
 
 
-def _drop_partitions(spark: SparkSession, parts: DataFrame, path: str) -> None:
-    """Remove partition folders that lost all rows: at most one row per type and fiscal year."""
+def _drop_folders(spark: SparkSession, folders: DataFrame) -> None:
+    """Remove the folders of partitions without rows, one by one."""
     jvm = spark._jvm
-    for r in parts.select(*VALUE_PARTITIONS).toLocalIterator():
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/period_type={r[0]}/fiscal_year={r[1]}")
+    for r in folders.select("folder").toLocalIterator():
+        folder = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(r[0]))
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
@@ -134,7 +145,7 @@ def upsert_runs(spark: SparkSession, runs: DataFrame, path: str) -> None:
     """Insert or replace run documents by ``_id`` with the time of writing; a missing id fails."""
     checked = runs.withColumn("_id", F.when(F.col("_id").isNull(), F.raise_error(
         F.lit("run document without _id"))).otherwise(F.col("_id")))
-    stamped = checked.withColumn("scraped_at", F.current_timestamp()).withColumn("bucket", F.pmod(F.hash("_id"), F.lit(64)))
+    stamped = checked.withColumn("scraped_at", F.current_timestamp()).withColumn("bucket", bucket("_id", RUN_BUCKETS))
     upsert(spark, stamped, path, ["_id"], ["bucket"], "scraped_at")
 
 
