@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import patterns as P
-from .concepts import children
+from .concepts import children, parent_path
 
 
 def role_values(values: DataFrame, concepts: DataFrame, filing: str, order: str) -> DataFrame:
@@ -121,7 +121,11 @@ def solve(known: DataFrame, missing: DataFrame, filing: str = "filing_id") -> Da
     asked = missing.groupBy(filing).agg(*[
         F.coalesce(F.bool_or(F.col("role") == r), F.lit(False)).alias(f"t_{r}") for r in DERIVED_ROLES
     ])
-    wide = known.join(asked, filing, "left")
+    return _applied(known.join(asked, filing, "left"))
+
+
+def _applied(wide: DataFrame) -> DataFrame:
+    """The rules in order on rows with ``v_<role>`` (value) and ``t_<role>`` (wanted)."""
     for role, formula in rules():
         name = f"v_{role}"
         valid = F.when(F.col(f"t_{role}") & ~F.isnan(formula), formula)
@@ -162,3 +166,94 @@ def gaps(values: DataFrame, concepts: DataFrame, filing: str = "filing_id",
     return missing.select(filing, "concept_id", "role").join(
         by_role.select(filing, "role", "missing"), [filing, "role"]
     )
+
+
+ROLLED_UP = ("cost_of_revenue", "gross_profit", "total_opex")
+
+
+def company_trees(concepts: DataFrame) -> DataFrame:
+    """One row per company: ``list``, its concepts in order, and ``tree``, per rolled-up role the first parent with the
+    ids of its children. A company's dictionary is one filing's worth of rows, whatever the number of filings."""
+    item = F.struct("concept_ord", "concept_id", "path", "role")
+    lists = concepts.groupBy("cik").agg(F.array_sort(F.collect_list(item)).alias("list"))
+    placed = lists.withColumn("ups", F.transform("list", lambda x: F.struct(
+        x["concept_id"].alias("id"), parent_path(x["path"]).alias("up"))))
+
+    def first_parent(role: str) -> Column:
+        parents = F.transform(
+            F.filter("list", lambda x: (x["role"] == role) & (x["path"] != "")),
+            lambda x: F.struct(x["concept_id"].alias("id"), F.transform(
+                F.filter("ups", lambda k: k["up"] == x["path"]), lambda k: k["id"]).alias("kids")))
+        return F.get(F.filter(parents, lambda p: F.size(p["kids"]) > 0), F.lit(0))
+
+    return placed.select("cik", "list", F.struct(*[first_parent(r).alias(r) for r in ROLLED_UP]).alias("tree"))
+
+
+def resolve(values: DataFrame, trees: DataFrame, filing: str = "filing_id") -> DataFrame:
+    """(filing, concept_id, value, derived): mapped values, roll-ups and values by the rules, as ``roll_up`` and ``derive``
+    give them, on one row per filing: the values are gathered once, meet their company's tree once, and leave once.
+
+    ``values``: filing, cik, concept_id, value, key_ord, a concept at most once a filing; ``trees``: ``company_trees``.
+    """
+    filed = values.groupBy(filing, "cik").agg(F.collect_list(F.struct("concept_id", "value", "key_ord")).alias("vals"))
+    row = filed.join(trees, "cik", "left")
+
+    def of(concept: Column) -> Column:
+        return F.get(F.filter("vals", lambda v: v["concept_id"] == concept), F.lit(0))["value"]
+
+    def first_valued(role: str) -> Column:
+        found = F.transform(F.filter("list", lambda x: x["role"] == role), lambda x: of(x["concept_id"]))
+        return F.get(F.filter(found, lambda v: v.isNotNull()), F.lit(0))
+
+    row = row.withColumns({
+        **{f"own_{r}": of(F.col(f"tree.{r}.id")) for r in ROLLED_UP},
+        **{f"kids_{r}": F.transform(F.col(f"tree.{r}.kids"), of) for r in ROLLED_UP},
+        "in_revenue": first_valued("revenue"), "in_operating": first_valued("operating_income"),
+    })
+    total = {r: F.when(F.forall(f"kids_{r}", lambda v: v.isNotNull()),
+                       F.aggregate(f"kids_{r}", F.lit(0.0), lambda a, v: a + v)) for r in ROLLED_UP}
+    there = {r: F.col(f"tree.{r}").isNotNull() for r in ROLLED_UP}
+    row = row.withColumn("new_cost_of_revenue", F.coalesce(total["cost_of_revenue"], F.col("own_cost_of_revenue")))
+    row = row.withColumn("new_gross_profit", F.coalesce("own_gross_profit", F.when(
+        there["gross_profit"], F.col("in_revenue") - F.col("new_cost_of_revenue"))))
+    row = row.withColumn("new_total_opex", F.coalesce(total["total_opex"], F.col("own_total_opex"), F.when(
+        there["total_opex"], F.col("new_gross_profit") - F.col("in_operating"))))
+    new = F.filter(F.array(*[F.struct(F.col(f"tree.{r}.id").alias("id"), F.col(f"new_{r}").cast("double").alias("value")) for r in ROLLED_UP]),
+                   lambda n: n["id"].isNotNull() & n["value"].isNotNull())
+    row = row.withColumn("new", new)
+
+    def renewed(concept: Column) -> Column:
+        return F.get(F.filter("new", lambda n: n["id"] == concept), F.lit(0))["value"]
+
+    kept = F.transform("vals", lambda v: F.struct(
+        v["concept_id"].alias("concept_id"), F.coalesce(renewed(v["concept_id"]), v["value"]).alias("value"),
+        v["key_ord"].alias("key_ord"), v["value"].isNull().alias("derived")))
+    added = F.transform(
+        F.filter("new", lambda n: ~F.exists("vals", lambda v: v["concept_id"] == n["id"])),
+        lambda n: F.struct(n["id"].alias("concept_id"), n["value"].alias("value"),
+                           F.lit(None).cast(values.schema["key_ord"].dataType).alias("key_ord"), F.lit(True).alias("derived")))
+    row = row.withColumn("rolled", F.concat(kept, added))
+    row = row.withColumns({
+        "roles": F.transform("rolled", lambda v: F.get(F.filter("list", lambda x: x["concept_id"] == v["concept_id"]), F.lit(0))["role"]),
+        "missing": F.filter("list", lambda x: ~F.exists("rolled", lambda v: v["concept_id"] == x["concept_id"])),
+    })
+    ordered = F.array_sort(F.zip_with("rolled", "roles", lambda v, role: F.struct(
+        v["key_ord"].alias("key_ord"), v["concept_id"].alias("concept_id"), v["value"].alias("value"), role.alias("role"))))
+    row = row.withColumn("ordered", ordered)
+
+    def known_value(role: str) -> Column:
+        return F.get(F.filter("ordered", lambda v: v["role"] == role), F.lit(0))["value"]
+
+    def wanted(role: str) -> Column:
+        return F.coalesce(F.exists("missing", lambda x: x["role"] == role), F.lit(False))
+
+    known = {f"v_{r}": known_value(r) for r in P.ROLES}
+    asked = {f"t_{r}": wanted(r) for r in DERIVED_ROLES}
+    solved = _applied(row.select(filing, "rolled", "missing", *[v.alias(k) for k, v in (known | asked).items()]))
+    by_role = F.create_map(*[x for r in DERIVED_ROLES for x in (F.lit(r), F.col(f"v_{r}").cast("double"))])
+    found = solved.select(filing, "rolled", "missing", by_role.alias("by_role"))
+    follows = F.filter(F.transform("missing", lambda x: F.struct(
+        x["concept_id"].alias("concept_id"), F.col("by_role")[x["role"]].alias("value"), F.lit(True).alias("derived"))),
+        lambda x: x["value"].isNotNull())
+    plain = F.transform("rolled", lambda v: F.struct(v["concept_id"], v["value"], v["derived"]))
+    return found.select(filing, F.inline(F.concat(plain, F.coalesce(follows, F.slice(plain, 1, 0)))))

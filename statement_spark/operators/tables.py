@@ -243,21 +243,34 @@ def _names_year(cell: Column) -> Column:
     return cell.rlike(r"\b(?:19|20)\d{2}\b")
 
 
-def _lines(rows: Column, cols: Column) -> Column:
-    """Each row's label and its filled cells: text, first column, column behind it, and number.
+def _lines(tables: DataFrame, rows: str, cols: Column) -> DataFrame:
+    """Add ``lines``: each row's label, its filled cells (text, first column, column behind it, whether it names a year,
+    number) and their numbers alone.
 
-    A percentage counts as its number; lone currency and percent signs are no cells."""
+    A percentage counts as its number; lone currency and percent signs are no cells. Each step is a column of its own,
+    so that no pattern runs twice on a cell.
+    """
     blank = r"(?U)^[\s$)%]*$"
 
-    def cells(row: Column, at: Column) -> Column:
+    def filled(row: Column, at: Column) -> Column:
         placed = F.transform(row, lambda c, i: F.struct(
             c.alias("text"), F.get(at, i).alias("at"), F.get(at, i + 1).alias("to"), i.alias("i")))
-        filled = F.filter(placed, lambda c: (c["i"] > 0) & ~c["text"].rlike(blank))
-        return F.transform(filled, lambda c: F.struct(
-            c["text"], c["at"], c["to"], numbers.parse_number(F.regexp_replace(c["text"], r"\s*%\s*$", "")).alias("value")))
+        return F.filter(placed, lambda c: (c["i"] > 0) & ~c["text"].rlike(blank))
+
+    def parsed(c: Column) -> Column:
+        percent = F.when(c["text"].contains("%"), F.regexp_replace(c["text"], r"\s*%\s*$", "")).otherwise(c["text"])
+        return F.struct(c["text"], c["at"], c["to"], _names_year(c["text"]).alias("dated"), numbers.parse_number(percent).alias("value"))
+
+    def judged(c: Column) -> Column:
+        counts = F.when(c["value"].isNotNull(), ~c["dated"] | ~_is_year(c["text"])).otherwise(_dash(c["text"]))
+        return F.struct(c["text"], c["at"], c["to"], c["dated"], c["value"], counts.alias("counts"))
 
-    return F.zip_with(rows, cols, lambda row, at: F.struct(
-        F.trim(F.coalesce(F.get(row, F.lit(0)), F.lit(""))).alias("label"), cells(row, at).alias("cells")))
+    out = tables.withColumn("lines", F.zip_with(rows, cols, lambda row, at: F.struct(
+        F.trim(F.coalesce(F.get(row, F.lit(0)), F.lit(""))).alias("label"), filled(row, at).alias("cells"))))
+    for step in (parsed, judged):
+        out = out.withColumn("lines", F.transform("lines", lambda x: F.struct(x["label"], F.transform(x["cells"], step).alias("cells"))))
+    return out.withColumn("lines", F.transform("lines", lambda x: F.struct(
+        x["label"], x["cells"], F.transform(x["cells"], lambda c: c["value"]).alias("vals"))))
 
 
 def read_rows(tables: DataFrame, target_end: Column, annual: Column) -> DataFrame:
@@ -273,11 +286,11 @@ def read_rows(tables: DataFrame, target_end: Column, annual: Column) -> DataFram
     keys = [c for c in tables.columns if c not in ("rows", "cols")]
     cols = F.col("cols") if "cols" in tables.columns else F.transform(
         "rows", lambda r: F.sequence(F.lit(0), F.size(r)))
-    cells = tables.withColumns({"target_end": target_end, "annual": annual, "lines": _lines(F.col("rows"), cols)})
+    cells = _lines(tables.withColumns({"target_end": target_end, "annual": annual}), "rows", cols)
 
     def is_data(x: Column) -> Column:
-        numbered = F.exists(x["cells"], lambda c: (c["value"].isNotNull() & ~_is_year(c["text"])) | _dash(c["text"]))
-        return numbered & (x["label"] != "") & ~F.exists(x["cells"], lambda c: _names_year(c["text"]) & c["value"].isNull())
+        return (x["label"] != "") & F.exists(x["cells"], lambda c: c["counts"]) & ~F.exists(
+            x["cells"], lambda c: c["dated"] & c["value"].isNull())
 
     first = F.array_position(F.transform("lines", is_data), F.lit(True)).cast("int")
     headed = cells.withColumn("first", F.when(first > 0, first)).withColumn(
@@ -295,8 +308,8 @@ def read_rows(tables: DataFrame, target_end: Column, annual: Column) -> DataFram
                        r"|fifty-three|\d{1,2})\s+(?:weeks|months)\s+ended|years?\s+ended)")),
             F.lit(1)),
         "top": F.array_max(F.transform("heads", lambda x: F.struct(
-            F.size(F.filter(x["cells"], lambda c: _names_year(c["text"]))).alias("n"),
-            F.transform(x["cells"], lambda c: F.struct(c["at"], c["to"], _names_year(c["text"]).alias("dated"))).alias("cells")))),
+            F.size(F.filter(x["cells"], lambda c: c["dated"])).alias("n"),
+            F.transform(x["cells"], lambda c: F.struct(c["at"], c["to"], c["dated"])).alias("cells")))),
     })
     n_dates = F.when(F.size("full") > 0, F.size("full")).otherwise(F.size("years"))
 
@@ -343,7 +356,7 @@ def read_rows(tables: DataFrame, target_end: Column, annual: Column) -> DataFram
         *keys, "current_end", "is_stale", "pick", "n_dates", "aligned", "below", "place", "n_heads", "n_dated",
         F.posexplode(body).alias("row_idx", "line"),
     )  # a table without data rows has a null slice and gives none
-    values = F.transform("line.cells", lambda c: c["value"])
+    values = F.col("line.vals")
     under = F.filter("line.cells", lambda c: c["value"].isNotNull() & (c["at"] >= F.col("below.at")) & (c["at"] < F.col("below.to")))
     value = (
         F.when(F.col("aligned") & F.col("below").isNotNull(), F.get(under, F.lit(0))["value"])
@@ -353,7 +366,7 @@ def read_rows(tables: DataFrame, target_end: Column, annual: Column) -> DataFram
     )
     return rows.filter("line.label <> ''").select(
         *keys, "row_idx", F.col("line.label").alias("key"), F.size("line.cells").alias("n_cells"), "current_end", "is_stale",
-        value.alias("raw_value"),
+        F.explode(F.array(value)).alias("raw_value"),  # once, whatever is filtered on it
     )
 
 

@@ -99,14 +99,8 @@ def fill(metrics: DataFrame, concepts: DataFrame, filing: str = "filing_id",
         mapped = mapped.unionByName(found.select(
             filing, "concept_id", F.lit(None).cast("string").alias("key"), "value",
             F.lit(4).alias("tier"), F.lit(2**62).alias("key_ord")))
-    mapped = staged(mapped.join(owner, filing), "mapped")
-    lists = mapped.select(filing, "cik").distinct().join(
-        known.select("cik", "concept_id", "concept_ord", "path", "role"), "cik")
-    values = mapped.select(filing, "concept_id", "value", "key_ord")
-    rolled = D.roll_up(values, lists, filing)
-    derived = D.derive(rolled, lists, filing)
-    return rolled.select(filing, "concept_id", "value", F.col("rolled_up").alias("derived")).unionByName(
-        derived.select(filing, "concept_id", "value", F.lit(True).alias("derived")))
+    values = mapped.select(filing, "concept_id", F.col("value").cast("double").alias("value"), "key_ord").join(owner, filing)
+    return D.resolve(values, D.company_trees(known), filing)
 
 
 def response_metrics(responses: DataFrame) -> DataFrame:

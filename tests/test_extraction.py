@@ -80,3 +80,36 @@ def test_notes_carry_history(spark):
     text = RT.extraction_notes(found, missing, previous=old).first().notes
     assert text.startswith("[Attempt 1 history] before\n\nPrioritise") and "Revenue - Gross profit = 60" in text
     assert "L9" in text and "L10" not in text
+
+
+def test_resolve_gives_what_roll_up_and_rules_give_apart(spark):
+    import random
+
+    from statement_spark.operators import derive as D
+
+    rng = random.Random(3)
+    roles = ["revenue", "cost_of_revenue", "gross_profit", "total_opex", "operating_income", "rd_expense", "tax_expense", "net_income",
+             "eps_basic", "shares_basic", None, None]
+    concepts = []
+    for cik in ("a", "b"):
+        for i, role in enumerate(roles):
+            path = f"00{i + 1}"
+            concepts.append((cik, f"{cik}{i}", path, path, role))
+            for k in range(rng.randint(0, 2)):
+                concepts.append((cik, f"{cik}{i}.{k}", f"{path}.{k}", f"{path}.{k}", rng.choice([None, "rd_expense", "cost_of_revenue"])))
+    values = []
+    for f in range(40):
+        cik = "ab"[f % 2]
+        for n, c in enumerate(c for c in concepts if c[0] == cik):
+            if rng.random() < 0.5:
+                values.append((f"f{f}", cik, c[1], float(rng.randint(1, 900)), rng.randint(0, 50)))
+    lists = spark.createDataFrame(concepts, "cik string, concept_id string, concept_ord string, path string, role string")
+    v = spark.createDataFrame(values, "filing_id string, cik string, concept_id string, value double, key_ord long")
+    per_filing = v.select("filing_id", "cik").distinct().join(lists, "cik")
+    rolled = D.roll_up(v.drop("cik"), per_filing)
+    derived = D.derive(rolled, per_filing)
+    apart = rolled.selectExpr("filing_id", "concept_id", "value", "rolled_up AS derived").unionByName(
+        derived.selectExpr("filing_id", "concept_id", "value", "true AS derived"))
+    rows = lambda df: sorted((r["filing_id"], r["concept_id"], round(r["value"], 6), r["derived"]) for r in df.collect())
+    together = rows(D.resolve(v, D.company_trees(lists)))
+    assert together == rows(apart) and any(r[3] for r in together)
