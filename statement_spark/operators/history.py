@@ -88,20 +88,21 @@ def cadence(filings: DataFrame, values: DataFrame) -> DataFrame:
 
 
 def prior_values(current: DataFrame, values: DataFrame) -> DataFrame:
-    """Value of each (cik, concept_id) at the company's last period strictly before ``end_date``.
+    """Value of each (cik, period_type, concept_id) at the company's last period of that type strictly before ``end_date``.
 
-    The prior period is found once per company and day; of several values of a concept in it
-    the largest by magnitude counts.
+    Quarters meet quarters and years meet years. The prior period is found once per company, type and day; of several
+    values of a concept in it the largest by magnitude counts.
     """
-    ends = values.select("cik", F.col("end_date").alias("prior_end")).distinct()
+    by = ["cik", "period_type"]
+    ends = values.select(*by, F.col("end_date").alias("prior_end")).distinct()
     placed = asof_previous(
-        current, ends, ["cik"], "end_date", "prior_end", F.struct("prior_end"),
+        current, ends, by, "end_date", "prior_end", F.struct("prior_end"),
         F.lit(0), "prior",
     ).withColumn("prior_end", F.col("prior.prior_end")).drop("prior")
-    best = values.groupBy("cik", "concept_id", F.col("end_date").alias("prior_end")).agg(
+    best = values.groupBy(*by, "concept_id", F.col("end_date").alias("prior_end")).agg(
         F.max_by("value", F.abs("value")).alias("prior_value")
     )
-    return placed.join(best, ["cik", "concept_id", "prior_end"], "left")
+    return placed.join(best, [*by, "concept_id", "prior_end"], "left")
 
 
 def prior_reference(prior: DataFrame, by: list[str], top: int = 30) -> DataFrame:
@@ -141,11 +142,13 @@ def related_keys(metrics: DataFrame, concepts: DataFrame, filing: str, pattern:
     k = metrics.filter(F.col("key").rlike(P.ci(pattern))).select(
         filing, "key", T.norm_label(F.col("key")).alias("nk")
     )
-    c = concepts.select(filing, "concept_id", T.norm_label(F.col("label")).alias("nl"))
+    # a label that holds one of the keys holds the pattern too, so no other label's phrases are needed
+    c = concepts.select(filing, "concept_id", "label", T.norm_label(F.col("label")).alias("nl"))
     inner = k.select(filing, "key", F.explode(contained_phrases(F.col("nk"))).alias("nl")).join(
         c, [filing, "nl"]
     )
-    outer = c.select(filing, "concept_id", F.explode(contained_phrases(F.col("nl"))).alias("nk")).join(
+    holds = c.filter(F.col("label").rlike(P.ci(pattern)) | F.col("nl").rlike(P.ci(pattern)))
+    outer = holds.select(filing, "concept_id", F.explode(contained_phrases(F.col("nl"))).alias("nk")).join(
         k, [filing, "nk"]
     )
     return inner.select(filing, "key", "concept_id").unionByName(

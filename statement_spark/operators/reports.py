@@ -37,8 +37,9 @@ def failed_runs(runs: DataFrame, status: str | None = None, tickers: list[str] |
     return out.filter(F.col("scraped_at") >= since) if since is not None else out
 
 
-def failure_report(runs: DataFrame) -> DataFrame:
-    """One row per run: ``type×n`` list of high and medium findings, first three warnings."""
+def failure_report(runs: DataFrame, warnings: int = 3) -> DataFrame:
+    """One row per run: ``type×n`` list of high and medium findings, and the first ``warnings`` warnings as text; the
+    runs hold them all."""
     worth = F.filter("findings", lambda f: f["severity"].isin("high", "medium"))
     names = F.array_sort(F.transform(worth, lambda f: f["type"]))
     summary = F.transform(F.array_distinct(names), lambda t: F.concat(
@@ -46,7 +47,7 @@ def failure_report(runs: DataFrame) -> DataFrame:
     return runs.select(
         "_id", "ticker", "status", "scraped_at",
         F.when(F.size(summary) > 0, F.array_join(summary, "  ")).otherwise("—").alias("findings_text"),
-        F.array_join(F.slice("identity_warnings", 1, 3), "  ").alias("warnings_text"),
+        F.array_join(F.slice("identity_warnings", 1, warnings), "  ").alias("warnings_text"),
         F.array_join(F.transform(worth, lambda f: F.concat(F.lit("  • "), f["message"])), "\n").alias("messages"),
     )
 

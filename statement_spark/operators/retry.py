@@ -91,8 +91,9 @@ def effectiveness(found: DataFrame, filing: str = "filing_id") -> DataFrame:
 
 
 def extraction_notes(found: DataFrame, missing: DataFrame, filing: str = "filing_id",
-                     previous: DataFrame | None = None) -> DataFrame:
-    """Hint text of the next pass: required, also wanted, and missing concepts (10 and 20 named).
+                     previous: DataFrame | None = None, top_level: int = 10, segments: int = 20) -> DataFrame:
+    """Hint text of the next pass: required, also wanted, and missing concepts. The text names the first ``top_level``
+    and ``segments`` of these; ``missing`` itself is the uncut result.
 
     ``missing``: filing, label, is_segment, concept_ord; ``previous``: filing, attempt and notes
     of the pass before, which go in front.
@@ -118,7 +119,7 @@ def extraction_notes(found: DataFrame, missing: DataFrame, filing: str = "filing
 
     heads = {0: "Prioritise these metrics:", 1: "Also locate these if reported:",
              2: "MISSING top-level concepts:", 3: "MISSING segment concepts:"}
-    every = lines.unionByName(top(False, 2, 10)).unionByName(top(True, 3, 20))
+    every = lines.unionByName(top(False, 2, top_level)).unionByName(top(True, 3, segments))
     blocks = every.groupBy(filing, "block").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "line"))), lambda x: x["line"]), "\n")
         .alias("t"))

@@ -44,7 +44,7 @@ def statement_metrics(tables: DataFrame, filing: str = "filing_id") -> DataFrame
                            F.when(F.col("shares").isNull(), dollars).otherwise(T.scale_factor(F.col("shares"))))
     return rows.select(
         filing, "cik", F.col("table_idx").alias("chunk_idx"), "section", "key",
-        (F.col("table_idx").cast("bigint") * 100_000 + F.col("row_idx")).alias("key_ord"),
+        (F.shiftleft(F.col("table_idx").cast("bigint"), 32) + F.col("row_idx")).alias("key_ord"),
         value.alias("num_value"), F.lit(None).cast("string").alias("str_value"),
         "is_stale",
     )

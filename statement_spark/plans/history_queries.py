@@ -24,37 +24,38 @@ def period_counts(spark, sf_dir):
     return H.period_counts(I.stored_values(spark, sf_dir)).withColumn("quarter", F.coalesce("quarter", F.lit(0)))
 
 
-_PRIOR = """q AS (SELECT cik, concept_id, end_date, value FROM stored WHERE period_type = 'quarterly'),
- ends AS (SELECT cik, end_date, lag(end_date) OVER (PARTITION BY cik ORDER BY end_date) AS prior_end FROM (SELECT DISTINCT cik, end_date FROM q)),
- pv AS (SELECT q.cik, q.concept_id, q.end_date, q.value, p.value AS prior_value FROM q JOIN ends e ON q.cik = e.cik AND q.end_date = e.end_date
-  LEFT JOIN q p ON p.cik = q.cik AND p.concept_id = q.concept_id AND p.end_date = e.prior_end)"""
+_PRIOR = """q AS (SELECT cik, period_type, concept_id, end_date, value FROM stored),
+ ends AS (SELECT cik, period_type, end_date, lag(end_date) OVER (PARTITION BY cik, period_type ORDER BY end_date) AS prior_end
+  FROM (SELECT DISTINCT cik, period_type, end_date FROM q)),
+ pv AS (SELECT q.cik, q.period_type, q.concept_id, q.end_date, q.value, p.value AS prior_value
+  FROM q JOIN ends e ON q.cik = e.cik AND q.period_type = e.period_type AND q.end_date = e.end_date
+  LEFT JOIN q p ON p.cik = q.cik AND p.period_type = q.period_type AND p.concept_id = q.concept_id AND p.end_date = e.prior_end)"""
 
 
-def _quarters(spark, sf_dir):
-    return I.stored_values(spark, sf_dir).filter("period_type = 'quarterly'").select(
-        "cik", "concept_id", "end_date", "value")
+def _stored(spark, sf_dir):
+    return I.stored_values(spark, sf_dir).select("cik", "period_type", "concept_id", "end_date", "value")
 
 
 @query("prior_values", f"""WITH {I.STORED_SQL}, {_PRIOR}
-SELECT cik, concept_id, CAST(end_date AS DATE)::VARCHAR AS end_date, coalesce(prior_value, -1) AS prior_value FROM pv""")
+SELECT cik, period_type, concept_id, CAST(end_date AS DATE)::VARCHAR AS end_date, coalesce(prior_value, -1) AS prior_value FROM pv""")
 def prior_values(spark, sf_dir):
-    q = _quarters(spark, sf_dir)
+    q = _stored(spark, sf_dir)
     return H.prior_values(q, q).select(
-        "cik", "concept_id", F.col("end_date").cast("string").alias("end_date"),
+        "cik", "period_type", "concept_id", F.col("end_date").cast("string").alias("end_date"),
         F.coalesce("prior_value", F.lit(-1.0)).alias("prior_value"))
 
 
 @query("momentum", f"""WITH {I.STORED_SQL}, {_PRIOR}
-SELECT cik, CAST(end_date AS DATE)::VARCHAR AS end_date, value, prior_value FROM pv
+SELECT cik, period_type, CAST(end_date AS DATE)::VARCHAR AS end_date, value, prior_value FROM pv
 WHERE concept_id = 'net interest' AND value <> 0 AND prior_value <> 0 AND (value / prior_value < 0.5 OR value / prior_value > 1.5)""")
 def momentum(spark, sf_dir):
-    q = _quarters(spark, sf_dir)
+    q = _stored(spark, sf_dir)
     keys = q.filter("concept_id = 'net interest'").select(
         F.col("cik"), F.lit("Net  interest income").alias("key")).distinct()
     labels = q.select("cik", "concept_id").distinct().withColumn("label", F.col("concept_id"))
     related = H.related_keys(keys, labels, "cik", r"net\s+interest").select("cik", "concept_id")
     return H.momentum(H.prior_values(q, q).join(related, ["cik", "concept_id"], "left_semi")).select(
-        "cik", F.col("end_date").cast("string").alias("end_date"), "value", "prior_value")
+        "cik", "period_type", F.col("end_date").cast("string").alias("end_date"), "value", "prior_value")
 
 
 @query("top_prior_values", """

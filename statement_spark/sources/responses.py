@@ -59,7 +59,7 @@ def parse_responses(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
     scale = F.lower(_string(F.try_element_at("m", F.lit("__scale__"))))
     typed = F.transform(_entries(F.col("m")), lambda e, i: F.struct(
         e["key"].alias("key"),
-        (F.col("chunk_idx").cast("bigint") * 100_000 + i).alias("key_ord"),
+        (F.shiftleft(F.col("chunk_idx").cast("bigint"), 32) + i).alias("key_ord"),
         _number(e["value"]).alias("num_value"), _string(e["value"]).alias("str_value")))
     valued = F.filter(typed, lambda x: x["num_value"].isNotNull() | x["str_value"].isNotNull())
     rows = opened.select(
