@@ -59,12 +59,15 @@ def stream_redelivery(spark, sf_dir):
 
 @query("stream_progress", """
 SELECT user_id, count(*) FILTER (WHERE event_type = 'view') AS started, count(*) FILTER (WHERE event_type = 'click') AS ended,
-  count(*) FILTER (WHERE event_type = 'signup') AS calls FROM events GROUP BY 1""")
+  count(*) FILTER (WHERE event_type = 'signup') AS calls,
+  CAST(sum(CAST(round(value * 100) AS BIGINT)) FILTER (WHERE event_type = 'click') AS BIGINT) AS elapsed_ms,
+  last(CASE event_type WHEN 'view' THEN 'step_start' WHEN 'click' THEN 'step_end' WHEN 'signup' THEN 'call_llm' WHEN 'purchase' THEN 'summary'
+    ELSE 'skip' END ORDER BY ts, event_id) AS last_kind FROM events GROUP BY 1""")
 def stream_progress(spark, sf_dir):
     kind = F.element_at(F.create_map(*[F.lit(x) for x in (
         "view", "step_start", "click", "step_end", "signup", "call_llm", "purchase", "summary", "error", "skip")]), F.col("event_type"))
-    feed = ST.progress(_events(spark, sf_dir), "user_id", kind)
-    return ST.run_to_table(spark, feed, "update", ["user_id"]).select("user_id", "started", "ended", "calls")
+    feed = ST.progress(_events(spark, sf_dir), "user_id", kind, F.round(F.col("value") * 100).cast("bigint"))
+    return ST.run_to_table(spark, feed, "update", ["user_id"]).select("user_id", "started", "ended", "calls", "elapsed_ms", "last_kind")
 
 
 @query("stream_sessions_stalled", """

@@ -138,21 +138,22 @@ def running_max_before(rows: DataFrame, by: str, order: str, value: str, name: s
 def cadence_writer(spark: SparkSession, path: str, by: str, order: str, value: str,
                    width: int = 100_000) -> Callable[[DataFrame, int], None]:
     """Batch writer for filings in arrival order: ``advance`` is false for one that is not newer
-    than all before it. The highest date per company is kept as one small table per batch."""
+    than all before it. A batch reads the highest date per company from its predecessor's state and leaves its own,
+    so its work does not grow with the number of batches, and one that is run again finds the same state."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         seen = running_max_before(batch, by, order, value, "inside", width)
+        tops = batch.groupBy(by).agg(F.max(value).alias("top"))
         if batch_id > 0:
-            old = spark.read.option("basePath", f"{path}/state").parquet(f"{path}/state/batch=*").filter(
-                F.col("batch") < batch_id).groupBy(by).agg(F.max("top").alias("stored"))
-            seen = seen.join(old, by, "left")
+            old = spark.read.parquet(f"{path}/state/batch={batch_id - 1}")
+            seen = seen.join(old.withColumnRenamed("top", "stored"), by, "left")
+            tops = tops.unionByName(old).groupBy(by).agg(F.max("top").alias("top"))
         else:
             seen = seen.withColumn("stored", F.lit(None).cast(batch.schema[value].dataType))
         before = F.greatest("inside", "stored")
         out = seen.withColumn("advance", before.isNull() | (F.col(value) > before)).drop("inside", "stored")
         out.write.mode("overwrite").parquet(f"{path}/out/batch={batch_id}")
-        batch.groupBy(by).agg(F.max(value).alias("top")).write.mode("overwrite").parquet(
-            f"{path}/state/batch={batch_id}")
+        tops.write.mode("overwrite").parquet(f"{path}/state/batch={batch_id}")
 
     return write
 
