@@ -19,20 +19,24 @@ from statement_spark.session import staged
 
 MAX_TURNS = 40
 NAME = r"[\p{Lu}][\p{Ll}'’]{1,30}"
-MALE = r"(?:Mr|Herrn?|Monsieur|Señor|Sr|Г-н)"
+MALE = r"(?:Mr|Herrn|Herr|Monsieur|Señor|Sr|Г-н)"
 FEMALE = r"(?:Mrs|Ms|Miss|Frau|Madame|Mme|Mlle|Señora|Sra|Г-жа)"
-TITLE = rf"(?<![\p{{L}}])(?:{MALE[3:-1]}|{FEMALE[3:-1]}|Dr|Prof)"
+TITLE_WORDS = f"{MALE[3:-1]}|{FEMALE[3:-1]}|Dr|Prof"
+TITLE = rf"(?<![\p{{L}}])(?:{TITLE_WORDS})"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
+KEY_WORDS = r"(?i:token|secret|passwo?r?d|api[_-]?key|access[_-]?key|auth[_-]?key)"
+# Every alternative begins with a test of one character or two, so that the dear look-behinds run at few places.
 PATTERNS = {
-    "secret": r"(?<=(?i:token|secret|passwo?r?d|api[_-]?key|access[_-]?key|auth[_-]?key)[\"']?\s{0,2}[:=]\s{0,2}[\"']?)[A-Za-z0-9_/+.=~-]{8,512}"
-              r"|\bAKIA[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36}\b|\bsk-[A-Za-z0-9]{20,64}\b|\bxox[abp]-[A-Za-z0-9-]{10,80}\b",
-    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
-    "ip": rf"(?<!\d|\d\.)(?:{OCTET}\.){{3}}{OCTET}(?!\d|\.\d)",
-    "iban": r"\b[A-Z]{2}\d{2}(?: ?\d{4}){3,6}(?: ?\d{1,3})?\b",
-    "card": r"(?<![\d-])(?:\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{4}|3[47]\d{2}[ -]?\d{6}[ -]?\d{5})(?![\d-])",
-    "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|(?<!\d)\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)|\+\d{1,3}(?:[ .-]?\(?\d{2,4}\)?){2,5}(?!\d)",
-    "name": rf"(?<={TITLE}\.? ){NAME}|(?<={TITLE}\.? {NAME} ){NAME}",
+    "secret": rf"(?<=[\"'=:\s])(?<=[:=]\s{{0,2}}[\"']?)(?<={KEY_WORDS}[\"']?\s{{0,2}}[:=]\s{{0,2}}[\"']?)[A-Za-z0-9_/+.=~-]{{8,512}}"
+              r"|(?=[Agsx])\b(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64}|xox[abp]-[A-Za-z0-9-]{10,80})\b",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
+    "ip": rf"(?=\d)(?<!\d|\d\.)(?:{OCTET}\.){{3}}{OCTET}(?!\d|\.\d)",
+    "iban": r"(?=[A-Z]{2}\d)\b[A-Z]{2}\d{2}(?: ?\d{4}){3,6}(?: ?\d{1,3})?\b",
+    "card": r"(?=\d)(?<![\d-])(?:\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{4}|3[47]\d{2}[ -]?\d{6}[ -]?\d{5})(?![\d-])",
+    "ssn": r"(?=\d)(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
+    "phone": r"(?=[+(\d])(?:(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|(?<!\d)\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)"
+             r"|\+\d{1,3}(?:[ .-]?\(?\d{2,4}\)?){2,5}(?!\d))",
+    "name": rf"(?=\p{{Lu}})(?<= )(?:(?<={TITLE}\.? ){NAME}|(?<={TITLE}\.? {NAME} ){NAME})",
 }
 MENTION = "|".join(PATTERNS.values())
 # what a mention is, told by its own characters; the first that fits
@@ -68,9 +72,18 @@ def _type(mention: Column, before: Column, after: Column) -> Column:
     return F.when(plain != "name", plain).when(titled, name).otherwise(F.lit("secret"))
 
 
-def mentions(text: Column) -> Column:
-    """array<struct<type, mention>> in reading order."""
-    found, gaps = F.regexp_extract_all(text, F.lit(MENTION), F.lit(0)), F.split(text, MENTION, -1)
+def may_hold(text: Column) -> Column:
+    """Cheap test that any text with a mention passes: its marks, or the words that go before names and keys."""
+    firsts = "".join(sorted({word[0] for word in TITLE_WORDS.split("|")}))
+    return text.rlike(rf"[0-9@:=]|(?=[{firsts}])(?:{TITLE_WORDS})[. ]|(?=[Agsx])(?:AKIA|gh[pousr]_|sk-|xox)")
+
+
+def mentions(texts: DataFrame, text: str) -> DataFrame:
+    """(_key, at, type, mention) of every mention, by its place among those of the text; `texts` has `_key`."""
+    # columns of their own, so that the pattern runs twice a text and not for every mention
+    split = texts.select(
+        "_key", F.regexp_extract_all(F.col(text), F.lit(MENTION), F.lit(0)).alias("found"), F.split(F.col(text), MENTION, -1).alias("gaps"))
+    found, gaps = F.col("found"), F.col("gaps")
 
     def tail(i: Column) -> Column:
         """The end of what stands before mention i, with the mention before it, if close by."""
@@ -81,7 +94,9 @@ def mentions(text: Column) -> Column:
     def head(i: Column) -> Column:
         return F.concat(F.left(F.get(gaps, i + 1), F.lit(2)), F.coalesce(F.left(F.get(found, i + 1), F.lit(32)), F.lit("")))
 
-    return F.transform(found, lambda m, i: F.struct(_type(m, tail(i), head(i)).alias("type"), m.alias("mention")))
+    around = F.transform(found, lambda m, i: F.struct(i.alias("at"), m.alias("mention"), tail(i).alias("before"), head(i).alias("after")))
+    return split.select("_key", F.inline(around)).select(
+        "_key", "at", _type(F.col("mention"), F.col("before"), F.col("after")).alias("type"), "mention")
 
 
 def canonical(kind: Column, mention: Column) -> Column:
@@ -125,11 +140,15 @@ def _check_digit(body: Column) -> Column:
     return ((10 - total % 10) % 10).cast("string")
 
 
-def draw(kind: Column, form: Column, key: str, turn: int) -> Column:
-    """The surrogate of a canonical form at a turn."""
+def digest_of(kind: Column, form: Column, key: str, turn: int) -> Column:
+    """The keyed hash of an entity at a turn, four hex digits for every character of its form and more."""
     parts = F.sequence(F.lit(0), F.floor(F.char_length(form) / 16).cast("int"))
-    digest = F.array_join(F.transform(parts, lambda p: F.sha2(F.concat_ws(
+    return F.array_join(F.transform(parts, lambda p: F.sha2(F.concat_ws(
         "\u0001", F.lit(key), kind, form, F.lit(str(turn)), p.cast("string")), 256)), "")
+
+
+def draw(kind: Column, form: Column, digest: Column, key: str, turn: int) -> Column:
+    """The surrogate of a canonical form at a turn."""
     digits = _same_shape(form, digest)
     body = F.substring(digits, F.lit(1), F.char_length(digits) - 1)
     octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.when(
@@ -157,7 +176,9 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
     while settled is None or not waiting.isEmpty():
         if turn >= MAX_TURNS:
             raise ValueError("entities left without a distinct surrogate")
-        drawn = waiting.withColumn("surrogate", draw(F.col("type"), F.col("form"), key, turn)).withColumn("drawn", F.lower("surrogate"))
+        hashed = waiting.withColumn("digest", digest_of(F.col("type"), F.col("form"), key, turn))
+        drawn = hashed.withColumn("surrogate", draw(F.col("type"), F.col("form"), F.col("digest"), key, turn)).select(
+            "type", "form", "surrogate", F.lower("surrogate").alias("drawn"))
         free = drawn.join(real, ["type", "drawn"], "left_anti")
         if settled is not None:
             free = free.join(settled.select("type", "drawn"), ["type", "drawn"], "left_anti")
@@ -171,15 +192,14 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
 
 def rendered(kind: Column, mention: Column, surrogate: Column) -> Column:
     """The surrogate in the mention's format: separators, leading digits outside the canonical form, and capitals."""
-    extra = F.char_length(F.regexp_replace(mention, r"\D", "")) - F.char_length(surrogate)
 
     def step(state: Column, c: Column) -> Column:
         digit = c.between("0", "9")
-        at = state["seen"] - extra
-        put = F.when(digit & (at >= 0), F.substring(surrogate, at + 1, F.lit(1))).otherwise(c)
-        return F.struct(F.concat(state["out"], put).alias("out"), (state["seen"] + digit.cast("int")).alias("seen"))
+        put = F.when(digit & (state["at"] >= 0), F.substring(surrogate, state["at"] + 1, F.lit(1))).otherwise(c)
+        return F.struct(F.concat(state["out"], put).alias("out"), (state["at"] + digit.cast("int")).alias("at"))
 
-    filled = F.aggregate(F.split(mention, ""), F.struct(F.lit("").alias("out"), F.lit(0).alias("seen")), step, lambda s: s["out"])
+    before = F.char_length(surrogate) - F.char_length(F.regexp_replace(mention, r"\D", ""))
+    filled = F.aggregate(F.split(mention, ""), F.struct(F.lit("").alias("out"), before.alias("at")), step, lambda s: s["out"])
     return (
         F.when(kind.isin(*DIGIT_TYPES), filled)
         .when((kind == "email") & (mention == F.upper(mention)), F.upper(surrogate)).otherwise(surrogate)
@@ -190,12 +210,12 @@ def replace(docs: DataFrame, key: str, doc_id: str = "doc_id", text: str = "text
     """`docs` with mentions in `text` replaced, and `out`: map<type, count> (empty if there are none).
 
     Only rows with mentions are shuffled, by a digest of id and text; rows that agree in both have equal results."""
-    has = F.coalesce(F.col(text), F.lit("")).rlike(MENTION)
+    body = F.coalesce(F.col(text), F.lit(""))
+    has = may_hold(body) & body.rlike(MENTION)
     digest = F.md5(F.concat_ws("\u0001", F.col(doc_id).cast("string"), F.col(text)))
     touched = boxed(docs.where(has), _key=digest, _text=F.col(text))
     places = staged(
-        touched.select("_key", F.posexplode(mentions(F.col("_text"))).alias("at", "m"))
-        .select("_key", "at", "m.type", "m.mention").withColumn("form", canonical(F.col("type"), F.col("mention"))).distinct(), "mentions")
+        mentions(touched, "_text").withColumn("form", canonical(F.col("type"), F.col("mention"))).distinct(), "mentions")
     named = assign(places, key)
     by_row = places.join(named, ["type", "form"]).select(
         "_key", F.struct("at", "type", rendered(F.col("type"), F.col("mention"), F.col("surrogate")).alias("put")).alias("p")

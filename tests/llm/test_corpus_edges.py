@@ -237,7 +237,7 @@ def test_surrogates_keep_format_gender_and_reference(spark, odd, empty):
 
 
 def test_surrogates_that_collide_draw_again(spark, monkeypatch):
-    def narrow(kind, form, key, turn):
+    def narrow(kind, form, digest, key, turn):
         return F.concat(F.lit("v"), (F.crc32(F.concat(form, F.lit(str(turn)))) % (3 + 4 * turn)).cast("string"))
 
     monkeypatch.setattr(surrogates, "draw", narrow)
