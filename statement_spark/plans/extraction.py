@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import numbers, text as T
 from ..session import staged
 from ..operators import cleanup, concepts as C, derive as D, merge as M, quality as Q, tables as TB
-from ..sources import html, responses as RS
+from ..sources import html, responses as RS, sinks
 
 
 def read_tables(pages: DataFrame) -> DataFrame:
@@ -72,8 +72,9 @@ def check(rows: DataFrame, filing: str = "filing_id") -> tuple[DataFrame, DataFr
     pages behind them must not be read again for each.
     """
     merged = staged(M.merge(rows, filing, ("cik",)), "merged")
-    fixed = Q.correct_values(merged, Q.operands(merged, filing), filing)
-    found = staged(Q.findings(fixed, filing, targeted=True), "findings")
+    ops = Q.operands(merged, filing)
+    fixed, notes = Q.correct_opex(Q.correct_values(merged, ops, filing), ops, filing)
+    found = staged(Q.findings(fixed, filing, targeted=True).unionByName(notes), "findings")
     return staged(cleanup.drop_flagged(fixed, found, filing), "metrics"), found
 
 
@@ -132,3 +133,19 @@ def extract(pages: DataFrame, concepts: DataFrame, filing: str = "filing_id") ->
     """
     metrics, found = check(statement_metrics(read_tables(pages), filing), filing)
     return Extraction(metrics, fill(metrics, concepts, filing), found)
+
+
+def save(spark: SparkSession, out: Extraction, filings: DataFrame, path: str, strict: bool = True,
+         filing: str = "filing_id") -> DataFrame:
+    """Upsert the values of filings that pass the save gate into the value table at ``path``; returns the gate's rows.
+
+    ``filings`` as in ``sinks.value_rows``. A filing without a metric or value meets the gate too, and is refused.
+    """
+    warned = Q.operands(out.metrics, filing).select(filing, Q.blocking_warnings().alias("identity_warnings"))
+    valued = out.values.groupBy(filing).agg(F.count("value").alias("n_values"))
+    gated = staged(sinks.save_gate(
+        filings.join(warned, filing, "left").join(valued, filing, "left").withColumn(
+            "identity_warnings", F.coalesce("identity_warnings", F.array().cast("array<string>"))), strict), "gate")
+    passed = filings.join(gated.filter("saved").select(filing), filing, "left_semi")
+    sinks.upsert_values(spark, sinks.value_rows(out.values, passed, filing), path)
+    return gated

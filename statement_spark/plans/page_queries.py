@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import chunks as CH, concepts as C, quality as Q, tables as TB
-from ..session import spread
+from ..session import spread, work_dir
 from ..sources import html, responses as RS
 from . import extraction as X, inputs as I
 from .catalogue import query
@@ -29,6 +29,34 @@ def render_extract(spark, sf_dir):
         "filing_id", "concept_id", (F.floor(F.col("value") * 10000) / 10000).alias("value"), "derived")
 
 
+_VALUES_SQL = f"""{I.FACTS_SQL},
+ s AS (SELECT suppkey, fy, CASE WHEN revenue >= 1000000 THEN 1000 ELSE 1 END AS u, * EXCLUDE (suppkey, fy) FROM facts),
+ p AS (SELECT suppkey, fy, CAST(revenue // u * u AS DOUBLE) AS c01, CAST(cost // u * u AS DOUBLE) AS c02, CAST(rd // u * u AS DOUBLE) AS c04,
+   CAST(sm // u * u AS DOUBLE) AS c05, CAST(ga // u * u AS DOUBLE) AS c06, CAST(tax // u * u AS DOUBLE) AS c10 FROM s),
+ d AS (SELECT *, c01 - c02 AS c03, c01 - c02 - (c04 + c05 + c06) AS c08 FROM p)"""
+
+
+@query("run_end_to_end", f"""
+WITH {_VALUES_SQL}, v AS (UNPIVOT (SELECT suppkey, fy, c01, c02, c03, c04, c05, c06, c08, c10 FROM d WHERE c01 >= 100000)
+  ON c01, c02, c03, c04, c05, c06, c08, c10 INTO NAME c VALUE value)
+SELECT suppkey || '-' || c AS concept_id, CAST(fy AS INTEGER) AS fiscal_year, value FROM v
+UNION ALL SELECT CAST(suppkey AS VARCHAR), CAST(fy AS INTEGER), -1 FROM d WHERE NOT c01 >= 100000""")
+def run_end_to_end(spark, sf_dir):
+    """Stored values of saved filings, and a row with -1 for each filing that the gate refused."""
+    pages = I.statement_pages(spark, sf_dir)
+    concepts = I.supplier_concepts(spark, sf_dir).withColumn("concept_id", F.concat_ws("-", "cik", "concept_id")).withColumn(
+        "concept_ord", F.struct("path", "concept_id"))
+    filings = pages.select(
+        "filing_id", "cik", F.lit("Co").alias("company_name"), F.lit(12).alias("fye_month"), F.lit("1231").alias("fye_code"),
+        F.lit("").alias("period_text"), F.col("period_end").alias("report_date"), F.lit("annual").alias("period_override"),
+        F.lit("2024-01-01").cast("timestamp").alias("loaded_at"))
+    path = work_dir(spark, "values")
+    gated = X.save(spark, X.extract(pages, concepts), filings, path)
+    stored = spark.read.parquet(path).filter(F.col("concept_id").rlike("-c(01|02|03|04|05|06|08|10)$"))
+    refused = gated.filter("not saved").select(F.col("cik").alias("concept_id"), F.year("report_date").alias("fiscal_year"), F.lit(-1.0).alias("value"))
+    return stored.select("concept_id", F.col("fiscal_year").cast("int").alias("fiscal_year"), "value").unionByName(refused)
+
+
 @query("statement_rows", f"""
 WITH {I.FACTS_SQL}, x(k, c, i) AS (VALUES ('Revenue', 1, 0), ('Cost of Revenue', 2, 1), ('Research and development', 3, 2),
   ('Sales and marketing', 4, 3), ('General and administrative', 5, 4), ('Income tax expense', 6, 5), ('Weighted average shares outstanding, basic', 7, 6)),

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..operators import cleanup as CL, quality as Q
-from . import inputs as I
+from . import extraction as X, inputs as I
 from .catalogue import query
 
 _M = f"WITH {I.METRICS_SQL}\n"
@@ -57,6 +57,17 @@ def opex_correction(spark, sf_dir):
     return fixed.filter("key = 'Total operating expenses'").select("filing_id", F.col("num_value").alias("value"))
 
 
+@query("opex_in_run", _M + f"""
+SELECT filing_id, CAST(CASE WHEN {_OI} OR {_REV} THEN cost + opsub ELSE opex END AS DOUBLE) AS value, coalesce({_OI} OR {_REV}, false) AS noted FROM m""")
+def opex_in_run(spark, sf_dir):
+    rows = I.metric_rows(spark, sf_dir).withColumns({
+        "chunk_idx": F.lit(0), "section": F.lit("income_statement"), "is_stale": F.lit(False)})
+    metrics, found = X.check(rows)
+    noted = found.filter("type = 'auto_corrected'").select("filing_id", F.lit(True).alias("noted"))
+    return metrics.filter("key = 'Total operating expenses'").select("filing_id", F.col("num_value").alias("value")).join(
+        noted, "filing_id", "left").withColumn("noted", F.coalesce("noted", F.lit(False)))
+
+
 @query("suspect_round", _M + """
 SELECT filing_id, key, v AS value FROM ml WHERE abs(v) >= 1e8 AND abs(v) < 1e11 AND v % 100000000 = 0
   AND NOT regexp_matches(key, '(?i)per share|eps|margin|ratio|rate|shares|weighted|%|percent')""")
