@@ -295,7 +295,9 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", setting
     named = docs.where(F.octet_length(F.col(text)) >= settings.length).select(*_rows_of(doc_id, text), F.col(text).cast("binary").alias("body"))
     found = staged(anchor_table(named, settings), "anchors")
     grams = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("context").alias("low"), F.max("context").alias("high"))
-    again = staged(found.join(grams.where("n > 1").selectExpr("gram", "low <> high AS mixed"), "gram"), "repeated")
+    # written first, so that the join reads both sides from shuffles of its own and Spark can split a hot gram
+    many = staged(grams.where("n > 1").selectExpr("gram", "low <> high AS mixed"), "grams")
+    again = staged(found.join(many, "gram"), "repeated")
     whole = again.where("not mixed").select("r1", "r2", F.col("first").alias("start"), (F.col("last") + settings.length).alias("stop"))
     unequal = again.where("mixed")
     kinds = staged(
@@ -304,7 +306,8 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", setting
     some = unequal.join(kinds.where("copies > 1").select("gram", "context"), ["gram", "context"]).select(
         "r1", "r2", F.col("first").alias("start"), (F.col("last") + settings.length).alias("stop"))
     sizes = kinds.groupBy("gram").agg(F.count(F.lit(1)).alias("size"), F.sum(F.expr("cast(copies = 1 AS int)")).alias("single"))
-    open_groups = sizes.where("size > 1 and single > 0").select("gram", (F.col("size") <= settings.group_limit).alias("gathered"))
+    open_groups = staged(
+        sizes.where("size > 1 and single > 0").select("gram", (F.col("size") <= settings.group_limit).alias("gathered")), "groups")
     wanted = staged(
         kinds.join(open_groups, "gram").groupBy("one.r1", "one.r2").agg(F.collect_list(F.struct(
             "gram", "copies", "one.first", "one.last", "one.anchor", "gathered")).alias("places")), "edges")
