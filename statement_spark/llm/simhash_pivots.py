@@ -130,7 +130,7 @@ def classes(prints: DataFrame, doc_id: str = "doc_id", fp: str = "fp") -> DataFr
     firsts = staged(prints.groupBy(F.col(fp).alias("fp")).agg(F.min(doc_id).alias("first")), "fingerprints")
     roots = connected(links(firsts.select("fp")))
     named = firsts.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = named.groupBy("root").agg(F.min("first").alias("component_id"))
+    least = staged(named.groupBy("root").agg(F.min("first").alias("component_id")), "least")
     return named.join(least, "root").select("fp", "component_id")
 
 
