@@ -94,7 +94,8 @@ def scan(docs: DataFrame, text: str = "text", out: str = "licenses",
     counted = (
         joined.withColumn("_n", F.regexp_count(F.col("_low"), F.lit(WORD)).cast("bigint"))
         .withColumn("_hits", F.when(words.rlike(BASE), F.regexp_extract_all(words, F.lit(BASE), F.lit(0))))
-        .withColumn("_kept", F.when(F.size(spans) > 0, _settled(spans)))
+        .withColumn("_spans", spans)
+        .withColumn("_kept", F.when(F.size("_spans") > 0, _settled(F.col("_spans"))))
     )
     hits, kept, n_words = F.col("_hits"), F.col("_kept"), F.col("_n")
     gaps = F.split(words, BASE, -1)

@@ -211,13 +211,20 @@ IDENTIFIERS = [
 ]
 
 
+OPEN, CLOSE = "(?<![^ ])(?:", ")(?![^ ])"  # word boundaries of normalised text
+SHARED_STEMS = ("licen", "gpl", "bsd", "commons", "apache", "public", "reserved", "warrant", "permi", "software", "copyright", "perl", "ruby", "mpl", "cc")
+
+
 def needed_word(pattern: str, keyword: str) -> str:
-    """A stretch of letters without which the pattern can't match: what all licenses share, else the keyword's first word."""
-    fixed, before = pattern, ""
-    while fixed != before:
-        fixed, before = re.sub(r"\((?:\?:)?[^()]*\)(?:\?|\{0,\d*\})", "", fixed), fixed
-    alternatives = re.sub(r"\([^()]*\)", "", fixed)
-    return "licen" if "licen" in alternatives else keyword.split()[0]
+    """A stretch of letters without which the pattern can't match: one that many patterns share, else its longest."""
+    inner = pattern.removeprefix(OPEN).removesuffix(CLOSE).replace("licen[sc]e", "licen")
+    fixed, before = re.sub(r"\[[^\]]*\]|\\.", " ", inner), ""
+    while fixed != before:  # groups from the inside out: optional ones and alternatives don't count
+        fixed, before = re.sub(r"\((?:\?:)?[^()]*\)(?:\?|\{[^}]*\})?", " ", fixed), fixed
+    letters = re.findall("[a-z]+", re.sub(r"[a-z0-9]\?|\{[^}]*\}", " ", fixed))
+    longest = max(letters, key=len, default="")
+    shared = next((stem for stem in SHARED_STEMS if any(stem in run for run in letters)), None)
+    return shared or (longest if len(longest) > 2 else max(keyword.split(), key=len))
 
 
 def signatures() -> list[tuple[str, int, str, float, str]]:
@@ -226,4 +233,4 @@ def signatures() -> list[tuple[str, int, str, float, str]]:
              for label, priority, keyword, confidence, patterns in FAMILIES for pattern in patterns]
     tagged = [(name.lower(), 1, "spdx license identifier", 1.0,
                "spdx license identifier " + name.lower().replace("-", " ").replace(".", " ")) for name in IDENTIFIERS]
-    return [(*rule[:4], rf"(?<![^ ])(?:{rule[4]})(?![^ ])") for rule in sorted(tagged + named, key=lambda r: r[1])]
+    return [(*rule[:4], OPEN + rule[4] + CLOSE) for rule in sorted(tagged + named, key=lambda r: r[1])]
