@@ -66,13 +66,17 @@ def plain_text(html: Column) -> Column:
     return tidy(decoded(bare))
 
 
-def digest(body: Column) -> Column:
-    """sha1 in base32, labelled. Five hex digits make four base32 digits."""
-    hexes = F.sha1(F.encode(body, "UTF-8"))
-    groups = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.conv(F.substring(hexes, 5 * i + 1, F.lit(5)), 16, 10).cast("int"))
-    chars = F.flatten(F.transform(groups, lambda g: F.array(*[
-        F.substring(F.lit(BASE32), F.shiftright(g, shift).bitwiseAND(31) + 1, F.lit(1)) for shift in (15, 10, 5, 0)])))
-    return F.concat(F.lit("sha1:"), F.array_join(chars, ""))
+def sha1_hex(body: Column) -> Column:
+    return F.sha1(F.encode(body, "UTF-8"))
+
+
+def labelled(hexes: str) -> Column:
+    """A column of sha1 hex digits as labelled base32; five hex digits make four base32 digits."""
+    chars = []
+    for group in range(8):
+        number = F.conv(F.substring(F.col(hexes), 5 * group + 1, 5), 16, 10).cast("int")
+        chars += [F.substring(F.lit(BASE32), F.shiftright(number, shift).bitwiseAND(31) + 1, F.lit(1)) for shift in (15, 10, 5, 0)]
+    return F.concat(F.lit("sha1:"), *chars)
 
 
 def record_id(*parts: Column) -> Column:
@@ -100,7 +104,7 @@ def derive(responses: DataFrame, target: str = "url", body: str = "html", respon
         F.coalesce(F.col(headers) if headers else F.lit(None), F.create_map().cast("map<string,string>")).alias("headers"),
         (F.col(response_id) if response_id else F.lit(None)).cast("string").alias("given"),
         (F.col(key).cast("string") if key else F.lit(None).cast("string")).alias("own"),
-    ).withColumn("payload", digest(F.col("html")))
+    ).withColumn("payload_sha", sha1_hex(F.col("html"))).withColumn("payload", labelled("payload_sha"))
     source = base.withColumn("source", F.coalesce("given", record_id(F.lit("response"), F.col("own"), F.col("uri"), F.col("payload"))))
     title = F.nullif(tidy(decoded(F.regexp_replace(F.regexp_extract("html", TITLE, 1), "[\r\n]+", " "))), F.lit(""))
     links = F.transform(F.regexp_extract_all("html", F.lit(LINK), F.lit(1)), lambda u: F.regexp_replace(decoded(u), "[ \t\r\n]+", ""))
@@ -117,10 +121,11 @@ def derive(responses: DataFrame, target: str = "url", body: str = "html", respon
 
     both = source.withColumn("r", F.explode(F.array(
         record("metadata", "application/warc-fields", fields), record("conversion", "text/plain; charset=utf-8", plain_text(F.col("html"))))))
-    sized = both.select(
+    hashed = both.withColumn("block_sha", sha1_hex(F.col("r.block")))  # a column of its own: hashed once
+    sized = hashed.select(
         *(["_key"] if key else []), "r.*", "uri", "date", "payload", "source",
         record_id(F.col("r.warc_type"), F.col("source")).alias("record_id"),
-        F.octet_length("r.block").cast("bigint").alias("content_length"), digest(F.col("r.block")).alias("block_digest"))
+        F.octet_length("r.block").cast("bigint").alias("content_length"), labelled("block_sha").alias("block_digest"))
     header = F.concat(
         F.lit("WARC/1.1\r\n"), _line("WARC-Type", F.col("warc_type")), _line("WARC-Record-ID", F.col("record_id")),
         _line("WARC-Refers-To", F.col("source")), _line("WARC-Target-URI", F.col("uri")), _line("WARC-Date", F.col("date")),
