@@ -34,11 +34,9 @@ PAIR_LIMIT = 64
 SEED = 42
 
 
-def fingerprint(body: bytes, words_each: int = 3, seed: int = SEED) -> int:
-    """Signed 64-bit SimHash of the text's lower-cased words in shingles of `words_each`."""
+def shingle_hashes(body: bytes, words_each: int, seed: int = SEED) -> np.ndarray:
+    """Signed 64-bit hashes of the lower-cased words in shingles of `words_each`, with repeats; a shorter text is one shingle."""
     words = body.lower().split()
-    if not words:
-        return 0
     line = b" ".join(words)
     hashed = xxhash.xxh64_intdigest
     if len(words) <= words_each:
@@ -49,8 +47,16 @@ def fingerprint(body: bytes, words_each: int = 3, seed: int = SEED) -> int:
         starts = (ends - lengths).tolist()
         stops = (ends - 1)[words_each - 1:].tolist()
         hashes = [hashed(line[start:stop], seed) for start, stop in zip(starts, stops)]
+    return np.array(hashes, "<u8").view("<i8")
+
+
+def fingerprint(body: bytes, words_each: int = 3, seed: int = SEED) -> int:
+    """Signed 64-bit SimHash of the text's lower-cased words in shingles of `words_each`."""
+    if not body.strip():
+        return 0
+    hashes = shingle_hashes(body, words_each, seed)
     votes = np.zeros(64, np.int64)
-    values = np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8)
+    values = hashes.view(np.uint8).reshape(-1, 8)
     for at in range(0, len(values), 1 << 16):  # very long texts in steps, for memory
         votes += np.unpackbits(values[at:at + (1 << 16)], axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * votes > len(hashes), bitorder="little").view("<i8")[0])
