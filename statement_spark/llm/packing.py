@@ -16,6 +16,7 @@ as they come; an empty table gives no rows.
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -44,17 +45,19 @@ class Settings:
 class Encoder:
     """Token ids of a byte-level vocabulary as little-endian bytes, with the end id 0 behind them.
 
-    The ranks file of a vocabulary gives the same ids as its merges file, several times as fast; special tokens'
-    strings in a text are ordinary text.
+    The ranks file of a vocabulary gives the same ids as its merges file, several times as fast. Added tokens stand in the
+    merges file alone, which lies beside it under the same name; their strings in a text get their ids.
     """
 
     def __init__(self, ranks_file: str):
         with open(ranks_file, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        self.model = tiktoken.Encoding("own", pat_str=PARTS, mergeable_ranks=ranks, special_tokens={})
+        with open(ranks_file.removesuffix(".tiktoken") + ".json", encoding="utf-8") as merges:
+            added = {token["content"]: token["id"] for token in json.load(merges)["added_tokens"]}
+        self.model = tiktoken.Encoding("own", pat_str=PARTS, mergeable_ranks=ranks, special_tokens=added)
 
     def __call__(self, text: str | None) -> bytes:
-        return self.model.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes() + END if text else END
+        return self.model.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes() + END if text else END
 
 
 @lru_cache(maxsize=1)
