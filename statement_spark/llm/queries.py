@@ -109,7 +109,7 @@ def op6_quality_net(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_compression_bands")
 def op7_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return compression_bands.judge(docs).select("doc_id", "quality.*")
+    return compression_bands.judge(docs, bands=compression_bands.fit(docs)).select("doc_id", "quality.*")
 
 
 @query("op8_warc_derivatives", warc_sql.pages_sql())
