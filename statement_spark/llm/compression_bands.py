@@ -3,8 +3,9 @@
 Repetitive text compresses far better than prose and random text hardly at all. How far prose compresses depends
 on its length, so limits are a curve over it: `fit` takes the ratios of a table's distinct texts that pass the base rules by
 length class, and sets limits around their medians. A document is rejected if its whole-text ratio leaves the limits of its
-length, or if chunks outside the limits of theirs hold more than `max_bad_share` of the chunked bytes; the chunks see a document
-that is half prose and half filler, which the whole-text ratio averages out.
+length, or if chunks outside the limits of theirs hold more than `max_bad_share` of its bytes; the chunks see a document
+that is half prose and half filler, which the whole-text ratio averages out. Chunks cover the whole text: what is left
+behind the last full one is judged too, by its own length, and counts with its bytes. Texts under `chunked_from` have none.
 
 Null and empty texts have no words and fail the base rules; texts under `least_bytes` have no whole-text
 band, since a frame's header outweighs them. Repeated rows are judged alike, each on its own text.
@@ -59,6 +60,8 @@ class Bands:
     )
     least_bytes: int = 256
     chunk_bytes: int = 4096
+    short_chunk_bytes: int = 512  # of texts too short for two chunks
+    chunked_from: int = 1024
     chunk_slack: float = 0.93  # chunks of clean text go lower than whole texts of their length
     max_bad_share: float = 0.30
     level: int = 3
@@ -97,14 +100,16 @@ def band_verdict(text: bytes, bands: Bands, packer: zstandard.ZstdCompressor) ->
     if not text:
         return None, 0.0, "ok"
     ratio = len(packer.compress(text)) / len(text)
-    bad = chunked = 0
-    low, high = bands.of(bands.chunk_bytes)
-    if len(text) >= 2 * bands.chunk_bytes:  # a text of one chunk is judged as a whole
-        for start in range(0, len(text) - bands.chunk_bytes + 1, bands.chunk_bytes):
-            share = len(packer.compress(text[start:start + bands.chunk_bytes])) / bands.chunk_bytes
-            chunked += 1
-            bad += not bands.chunk_slack * low <= share <= high
-    bad_share = bad / chunked if chunked else 0.0
+    bad = 0
+    if len(text) >= bands.chunked_from:
+        step = bands.chunk_bytes if len(text) >= 2 * bands.chunk_bytes else bands.short_chunk_bytes
+        limits_of_full = bands.of(step)
+        for start in range(0, len(text), step):
+            n = min(step, len(text) - start)
+            part = text[start:start + n] if n >= bands.least_bytes else text[-bands.least_bytes:]
+            low, high = limits_of_full if n == step else bands.of(len(part))
+            bad += n * (not bands.chunk_slack * low <= len(packer.compress(part)) / len(part) <= high)
+    bad_share = bad / len(text)
     band = bands.of(len(text))
     if bands.max_bad_share < bad_share < 1:  # part of the text; a text bad throughout is named by its whole ratio
         return ratio, bad_share, "bad_chunks"

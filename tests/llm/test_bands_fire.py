@@ -1,4 +1,4 @@
-"""The compression bands reject what they are for: random tokens of every length class."""
+"""The compression bands reject what they are for: random tokens of every length class, filler anywhere in the text."""
 import random
 import string
 
@@ -43,6 +43,15 @@ def test_clean_text_stays(bands, clean):
         assert sum(compression_bands.band_verdict(t, b, PACKER)[2] != "ok" for t in clean) <= len(clean) / 1000
 
 
+def test_filler_behind_the_last_full_chunk_and_in_short_texts(bands, clean):
+    prose = b" ".join(t for t in clean if len(t) > 6000)[:40_000]
+    for b in bands:
+        for n, filler in [(12287, 4095), (8190, 3190), (8191, 2700), (4000, 1600), (1500, 700), (20_000, 7500)]:
+            text = prose[:n - filler] + (b"buy now cheap " * 800)[:filler]
+            assert compression_bands.band_verdict(text, b, PACKER)[2] != "ok", (n, filler)
+            assert compression_bands.band_verdict(prose[:n], b, PACKER)[2] == "ok"
+
+
 def test_limits_follow_the_table(spark):
     words = ["".join(random.Random(i).choices("abcdefgh", k=6)) for i in range(500)]
     rows = [(i, " ".join(random.Random(i).choices(words, k=200))) for i in range(60)] + [(99, None), (98, "")]
