@@ -18,7 +18,12 @@ from statement_spark.llm.common import boxed, unboxed
 from statement_spark.session import staged
 
 MAX_TURNS = 40
-NAME = r"[\p{Lu}][\p{Ll}'’]{1,30}"
+# A name's part ends in a letter, without a possessive s; in look-behinds its length has to be bounded.
+NAME = r"\p{Lu}[\p{L}\p{M}'’-]*[\p{L}\p{M}](?<!['’]s)"
+NEAR_NAME = NAME.replace("*", "{0,40}")
+IBAN = (r"[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: ?(?:(?=[A-Z]{0,3}\d)[A-Z0-9]{4}|[A-Z]{4}(?= ?[A-Z]{0,3}\d))){2,7}(?: ?(?=[A-Z]{0,2}\d)[A-Z0-9]{1,3})?)")
+MORE_PARTS = 4  # of a name, after its first
+NEAR_PARTS = f"(?:{NEAR_NAME} " * MORE_PARTS + ")?" * MORE_PARTS  # a look-behind takes no repeated groups
 MALE = r"(?:Mr|Herrn|Herr|Monsieur|Señor|Sr|Г-н)"
 FEMALE = r"(?:Mrs|Ms|Miss|Frau|Madame|Mme|Mlle|Señora|Sra|Г-жа)"
 TITLE_WORDS = f"{MALE[3:-1]}|{FEMALE[3:-1]}|Dr|Prof"
@@ -27,24 +32,24 @@ OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 KEY_WORDS = r"(?i:token|secret|passwo?r?d|api[_-]?key|access[_-]?key|auth[_-]?key)"
 # Every alternative begins with a test of one character or two, so that the dear look-behinds run at few places.
 PATTERNS = {
-    "secret": rf"(?<=[\"'=:\s])(?<=[:=]\s{{0,2}}[\"']?)(?<={KEY_WORDS}[\"']?\s{{0,2}}[:=]\s{{0,2}}[\"']?)[A-Za-z0-9_/+.=~-]{{8,512}}"
-              r"|(?=[Agsx])\b(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64}|xox[abp]-[A-Za-z0-9-]{10,80})\b",
+    "secret": rf"(?<=[\"'=:\s])(?<=[:=]\s{{0,2}}[\"']?)(?<={KEY_WORDS}[\"']?\s{{0,2}}[:=]\s{{0,2}}[\"']?)[A-Za-z0-9_/+.=~-]{{8,}}+"
+              r"|(?=[Agsx])\b(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,}|xox[abp]-[A-Za-z0-9-]{10,})\b",
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
     "ip": rf"(?=\d)(?<!\d|\d\.)(?:{OCTET}\.){{3}}{OCTET}(?!\d|\.\d)",
-    "iban": r"(?=[A-Z]{2}\d)\b[A-Z]{2}\d{2}(?: ?\d{4}){3,6}(?: ?\d{1,3})?\b",
+    "iban": rf"(?=[A-Z]{{2}}\d)\b{IBAN}\b",
     "card": r"(?=\d)(?<![\d-])(?:\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{4}|3[47]\d{2}[ -]?\d{6}[ -]?\d{5})(?![\d-])",
     "ssn": r"(?=\d)(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"(?=[+(\d])(?:(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|(?<!\d)\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)"
              r"|\+\d{1,3}(?:[ .-]?\(?\d{2,4}\)?){2,5}(?!\d))",
-    "name": rf"(?=\p{{Lu}})(?<= )(?:(?<={TITLE}\.? ){NAME}|(?<={TITLE}\.? {NAME} ){NAME})",
+    "name": rf"(?=\p{{Lu}})(?<= )(?<={TITLE}\.? {NEAR_PARTS}){NAME}",
 }
 MENTION = "|".join(PATTERNS.values())
 # what a mention is, told by its own characters; the first that fits
 SHAPES = {
-    "email": r"^[^@]+@[^@]+$", "ip": rf"^(?:{OCTET}\.){{3}}{OCTET}$", "iban": r"^[A-Z]{2}\d{2}[ \d]+$", "ssn": r"^\d{3}-\d{2}-\d{4}$",
+    "email": r"^[^@]+@[^@]+$", "ip": rf"^(?:{OCTET}\.){{3}}{OCTET}$", "iban": f"^{IBAN}$", "ssn": r"^\d{3}-\d{2}-\d{4}$",
     "card": r"^\d[\d -]{13,18}$", "phone": r"^[+(\d][\d ().-]{6,}$", "name": rf"^{NAME}$",
 }
-DIGIT_TYPES = ("card", "ssn", "phone", "iban")
+DIGIT_TYPES = ("card", "ssn", "phone")
 # Syllables that generated names are made of, by script.
 SYLLABLES = {
     "latin": ["ba", "de", "fi", "go", "lu", "ma", "ne", "ri", "so", "tu", "va", "ke", "li", "mo", "pa", "ze"],
@@ -63,10 +68,11 @@ def _type(mention: Column, before: Column, after: Column) -> Column:
     for kind, shape in reversed(SHAPES.items()):
         plain = F.when(mention.rlike(shape), F.lit(kind)).otherwise(plain)
     script = F.when(mention.rlike(r"^\p{IsCyrillic}"), "cyrillic").when(mention.rlike(r"^\p{IsGreek}"), "greek").otherwise("latin")
-    gender = (F.when(before.rlike(rf"{FEMALE}\.? (?:{NAME} )?$"), "female").when(before.rlike(rf"{MALE}\.? (?:{NAME} )?$"), "male")
+    parts = rf"\.? (?:{NAME} ){{0,{MORE_PARTS}}}$"
+    gender = (F.when(before.rlike(FEMALE + parts), "female").when(before.rlike(MALE + parts), "male")
               .otherwise(""))
-    titled = before.rlike(rf"{TITLE}\.? (?:{NAME} )?$")
-    given = before.rlike(rf"{TITLE}\.? $") & after.rlike(rf"^ {NAME}")
+    titled = before.rlike(TITLE + parts)
+    given = titled & after.rlike(rf"^ {NAME}")
     name = F.when(given, F.concat(F.lit("given:"), gender, F.lit(":"), script)).otherwise(F.concat(F.lit("surname::"), script))
     # a value after "password =" may look like a name; only a title makes it one
     return F.when(plain != "name", plain).when(titled, name).otherwise(F.lit("secret"))
@@ -86,10 +92,13 @@ def mentions(texts: DataFrame, text: str) -> DataFrame:
     found, gaps = F.col("found"), F.col("gaps")
 
     def tail(i: Column) -> Column:
-        """The end of what stands before mention i, with the mention before it, if close by."""
-        near = F.concat(F.when(i > 0, F.right(F.get(found, i - 1), F.lit(32))).otherwise(F.lit("")), F.right(F.get(gaps, i), F.lit(48)))
-        far = F.when((i > 0) & (F.get(gaps, i) == " "), F.right(F.get(gaps, i - 1), F.lit(48))).otherwise(F.lit(""))
-        return F.concat(far, near)
+        """The end of what stands before mention i, with the mention before it and those that only blanks part from it."""
+        out, close = F.right(F.get(gaps, i), F.lit(48)), F.lit(True)
+        for k in range(1, MORE_PARTS + 1):
+            out = F.concat(F.when(close & (i >= k), F.right(F.get(found, i - k), F.lit(64))).otherwise(F.lit("")), out)
+            close = close & (i >= k) & (F.get(gaps, i - (k - 1)) == " ")
+            out = F.concat(F.when(close, F.right(F.get(gaps, i - k), F.lit(48))).otherwise(F.lit("")), out)
+        return out
 
     def head(i: Column) -> Column:
         return F.concat(F.left(F.get(gaps, i + 1), F.lit(2)), F.coalesce(F.left(F.get(found, i + 1), F.lit(32)), F.lit("")))
@@ -103,7 +112,7 @@ def canonical(kind: Column, mention: Column) -> Column:
     digits = F.regexp_replace(mention, r"\D", "")
     return (
         F.when(kind == "phone", F.when(F.char_length(digits) > 10, F.right(digits, F.lit(10))).otherwise(digits))
-        .when(kind.isin(*DIGIT_TYPES), digits).when((kind == "email") | kind.contains(":"), F.lower(mention)).otherwise(mention)
+        .when(kind.isin(*DIGIT_TYPES), digits).when(kind == "iban", F.replace(mention, F.lit(" "), F.lit(""))).when((kind == "email") | kind.contains(":"), F.lower(mention)).otherwise(mention)
     )
 
 
@@ -164,6 +173,7 @@ def draw(kind: Column, form: Column, digest: Column, key: str, turn: int) -> Col
             names = F.when(kind.endswith(f":{gender}:{script}"), F.initcap(F.concat(stem, F.lit(ending)))).otherwise(names)
     return (
         F.when(kind == "ip", octets).when(kind == "email", mail).when(kind.contains(":"), names)
+        .when(kind == "iban", F.concat(F.left(form, F.lit(2)), F.substring(digits, F.lit(3), F.char_length(digits))))
         .when(kind == "card", F.concat(body, _check_digit(body))).otherwise(digits)
     )
 
@@ -194,14 +204,14 @@ def rendered(kind: Column, mention: Column, surrogate: Column) -> Column:
     """The surrogate in the mention's format: separators, leading digits outside the canonical form, and capitals."""
 
     def step(state: Column, c: Column) -> Column:
-        digit = c.between("0", "9")
+        digit = c.between("0", "9") | ((kind == "iban") & c.between("A", "Z"))
         put = F.when(digit & (state["at"] >= 0), F.substring(surrogate, state["at"] + 1, F.lit(1))).otherwise(c)
         return F.struct(F.concat(state["out"], put).alias("out"), (state["at"] + digit.cast("int")).alias("at"))
 
-    before = F.char_length(surrogate) - F.char_length(F.regexp_replace(mention, r"\D", ""))
+    before = F.char_length(surrogate) - F.char_length(F.when(kind == "iban", surrogate).otherwise(F.regexp_replace(mention, r"\D", "")))
     filled = F.aggregate(F.split(mention, ""), F.struct(F.lit("").alias("out"), before.alias("at")), step, lambda s: s["out"])
     return (
-        F.when(kind.isin(*DIGIT_TYPES), filled)
+        F.when(kind.isin(*DIGIT_TYPES, "iban"), filled)
         .when((kind == "email") & (mention == F.upper(mention)), F.upper(surrogate)).otherwise(surrogate)
     )
 
@@ -218,14 +228,25 @@ def replace(docs: DataFrame, key: str, doc_id: str = "doc_id", text: str = "text
         mentions(touched, "_text").withColumn("form", canonical(F.col("type"), F.col("mention"))).distinct(), "mentions")
     named = assign(places, key)
     by_row = places.join(named, ["type", "form"]).select(
-        "_key", F.struct("at", "type", rendered(F.col("type"), F.col("mention"), F.col("surrogate")).alias("put")).alias("p")
+        "_key", F.struct("at", "type", rendered(F.col("type"), F.col("mention"), F.col("surrogate")).alias("put"), "mention").alias("p")
     ).groupBy("_key").agg(F.array_sort(F.collect_list("p")).alias("_puts"))
-    gaps = F.split(F.col("_text"), MENTION, -1)
+    split = touched.join(by_row, "_key").withColumn("_gaps", F.split(F.col("_text"), MENTION, -1))
+    # a found name stands for the same person where it recurs without a title; longer names go first
+    names = F.array_sort(F.array_distinct(F.transform(F.filter("_puts", lambda p: p["type"].contains(":")), lambda p: F.struct(
+        (-F.char_length(p["mention"])).alias("by"), p["mention"].alias("mention"), p["put"].alias("put"),
+        F.substring_index(p["type"], ":", 1).alias("kind")))))
+    alone = split.withColumn("_names", F.transform(names, lambda n: F.struct(
+        n["put"].alias("put"), n["kind"].alias("kind"),
+        F.concat(F.lit(r"(?<![\p{L}\p{M}])"), n["mention"], F.lit(r"(?![\p{L}\p{M}])")).alias("pattern"))))
+    gaps = F.when(F.size("_names") == 0, F.col("_gaps")).otherwise(F.transform("_gaps", lambda gap: F.aggregate(
+        F.col("_names"), gap, lambda text, n: F.regexp_replace(text, n["pattern"], n["put"]))))
+    recurring = F.flatten(F.transform("_names", lambda n: F.array_repeat(
+        n["kind"], F.aggregate(F.col("_gaps"), F.lit(0), lambda total, gap: total + F.regexp_count(gap, n["pattern"])))))
     rebuilt = F.array_join(F.zip_with(
         gaps, F.transform("_puts", lambda p: p["put"]), lambda gap, put: F.concat(gap, F.coalesce(put, F.lit("")))), "")
-    kinds = F.transform("_puts", lambda p: F.substring_index(p["type"], ":", 1))
+    kinds = F.concat(F.transform("_puts", lambda p: F.substring_index(p["type"], ":", 1)), recurring)
     counts = F.map_from_entries(F.transform(
         F.array_sort(F.array_distinct(kinds)), lambda k: F.struct(k, F.size(F.filter(kinds, lambda x: x == k)))))
-    changed = unboxed(touched.join(by_row, "_key"), docs.columns, **{text: rebuilt, out: counts})
+    changed = unboxed(alone, docs.columns, **{text: rebuilt, out: counts})
     none = F.create_map().cast("map<string,int>")
     return changed.unionByName(unboxed(boxed(docs.where(~has)), docs.columns, **{out: none}))
