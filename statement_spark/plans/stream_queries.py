@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..session import work_dir
 from ..sources import sinks
-from ..streaming import streams as ST
+from ..streaming import keyed, streams as ST
 from . import inputs as I
 from .catalogue import query
 
@@ -35,9 +35,48 @@ def stream_dead_letters(spark, sf_dir):
     return ST.dead_letters(ST.run_to_table(spark, states, "update", ["run_id"])).select("run_id")
 
 
+@query("stream_dlq_rows", f"""WITH {_EV}
+SELECT run_id, 3 AS attempts, list(event_id ORDER BY event_id)[3] AS last_failure FROM ev WHERE event_type = 'error'
+  AND run_id NOT IN (SELECT run_id FROM ev WHERE event_type = 'purchase') GROUP BY 1 HAVING count(*) >= 3""")
+def stream_dlq_rows(spark, sf_dir):
+    states = ST.job_states(_events(spark, sf_dir), "run_id", F.col("event_type") == "error", F.col("event_type") == "purchase")
+    path = work_dir(spark, "outcomes")
+    ST.run_available(states, ST.outcome_writer(path, "run_id"), f"{path}/checkpoint", "update")
+    return ST.outcome_table(spark, path, "dead_letters").select("run_id", F.least("attempts", F.lit(3)).alias("attempts"), "last_failure")
+
+
+@query("stream_step_durations", """
+WITH e AS (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) % 10 AS step FROM events),
+ w AS (SELECT least(max(ts) FILTER (WHERE event_type = 'view'), max(ts) FILTER (WHERE event_type = 'click')) - INTERVAL 1 DAY AS w FROM e),
+ s AS (SELECT user_id, step, event_id AS start_id, ts FROM e WHERE event_type = 'view'),
+ j AS (SELECT s.user_id, s.step, start_id, s.ts AS started, min(c.ts) AS ended FROM s
+  LEFT JOIN e c ON c.event_type = 'click' AND c.user_id = s.user_id AND c.step = s.step AND c.ts BETWEEN s.ts AND s.ts + INTERVAL 3 DAY GROUP BY ALL)
+SELECT user_id, step, start_id, epoch_us(ended) - epoch_us(started) AS micros, ended IS NULL AS open
+FROM j, w WHERE ended IS NOT NULL OR started < w - INTERVAL 3 DAY""")
+def stream_step_durations(spark, sf_dir):
+    e = _events(spark, sf_dir).withColumn("step", F.get_json_object("props", "$.k").cast("int") % 10)
+    starts = e.filter("event_type = 'view'").select("user_id", "step", F.col("event_id").alias("start_id"), F.col("ts").alias("started"))
+    ends = e.filter("event_type = 'click'").select("user_id", "step", F.col("ts").alias("ended"))
+    met = ST.run_to_table(spark, ST.step_durations(starts, ends, ["user_id", "step"], "3 DAYS", "1 day"))
+    return ST.first_ends(met, ["user_id", "step"]).select("user_id", "step", "start_id", "micros", "open")
+
+
+@query("stream_liveness", """
+WITH r AS (SELECT *, coalesce(sum(CASE event_type WHEN 'purchase' THEN 1 ELSE 0 END) OVER (
+    PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS run FROM events)
+SELECT user_id, CASE WHEN bool_or(event_type = 'purchase') THEN 'finished' ELSE 'stalled' END AS state,
+  epoch_us(min(ts)) AS start, epoch_us(max(ts)) AS last_beat, count(*) AS events FROM r GROUP BY user_id, run""")
+def stream_liveness(spark, sf_dir):
+    runs = keyed.liveness(_events(spark, sf_dir), "user_id", "ts", "event_id", F.col("event_type") == "purchase", 1500)
+    path = work_dir(spark, "liveness")
+    ST.run_until_quiet(runs, ST.to_table(f"{path}/out"), f"{path}/checkpoint", 3000)
+    out = spark.read.option("basePath", f"{path}/out").parquet(f"{path}/out/batch=*")
+    return out.select("user_id", "state", F.unix_micros("start").alias("start"), F.unix_micros("last_beat").alias("last_beat"), "events")
+
+
 @query("stream_status_latest", "SELECT user_id, arg_max(event_type, event_id) AS status FROM events GROUP BY 1")
 def stream_status_latest(spark, sf_dir):
-    feed = ST.status_feed(_events(spark, sf_dir), "user_id", F.col("event_type"), F.col("event_id"))
+    feed = ST.status_feed(_events(spark, sf_dir), "user_id", F.col("event_type"))
     return ST.run_to_table(spark, feed, "update", ["user_id"])
 
 
@@ -102,9 +141,7 @@ FROM (SELECT *, {_END} AS e FROM events)""")
 def stream_cadence_late(spark, sf_dir):
     end = F.date_add(F.lit("2024-01-01").cast("date"), (F.floor(F.col("value") * 100) % 400).cast("int"))
     filings = _events(spark, sf_dir).select("event_id", "user_id", end.alias("end_date"))
-    path = work_dir(spark, "cadence")
-    ST.run_available(filings, ST.cadence_writer(spark, path, "user_id", "event_id", "end_date", 1000), f"{path}/checkpoint")
-    return spark.read.option("basePath", f"{path}/out").parquet(f"{path}/out/batch=*").select("event_id", "advance")
+    return ST.run_to_table(spark, keyed.cadence(filings, "user_id", "event_id", "end_date")).select("event_id", "advance")
 
 
 @query("stream_enrich", """
@@ -113,7 +150,11 @@ def stream_enrich(spark, sf_dir):
     companies = I.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("cik"), F.col("c_name").alias("name"))
     history = I.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("cik"))
     jobs = _events(spark, sf_dir).select("event_id", F.col("user_id").alias("cik"))
-    return ST.run_to_table(spark, ST.enrich(jobs, companies, history).select("event_id", "name", "has_history"))
+    path = work_dir(spark, "enrich")
+    sinks.remember_keys(spark, history, f"{path}/known", "cik")
+    ST.run_available(jobs, ST.enrich_writer(spark, companies, f"{path}/known", f"{path}/out"), f"{path}/checkpoint")
+    out = spark.read.option("basePath", f"{path}/out").parquet(f"{path}/out/batch=*")
+    return out.select("event_id", "name", "has_history")
 
 
 @query("stream_upsert", """

@@ -8,7 +8,7 @@ be found again by it; they go to the table's rejects, next to it.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import IntegerType, StructField, StructType, TimestampType
 
 from ..functions import fiscal
 from ..session import small, staged
@@ -17,6 +17,7 @@ VALUE_KEY = ["concept_id", "end_date", "form_type", "quarter"]
 VALUE_PARTITIONS = ["period_type", "fiscal_year", "bucket"]
 VALUE_BUCKETS = 16
 RUN_BUCKETS = 64
+KEY_BUCKETS = 64
 
 
 def value_rows(values: DataFrame, filings: DataFrame, filing: str = "filing_id") -> DataFrame:
@@ -149,6 +150,18 @@ def upsert_runs(spark: SparkSession, runs: DataFrame, path: str) -> None:
     upsert(spark, stamped, path, ["_id"], ["bucket"], "scraped_at")
 
 
+def remember_keys(spark: SparkSession, keys: DataFrame, path: str, key: str) -> None:
+    """Note the keys in a slim table of one row per key."""
+    rows = keys.select(key).filter(F.col(key).isNotNull()).distinct()
+    upsert(spark, rows.withColumn("created_at", F.current_timestamp()).withColumn("bucket", bucket(key, KEY_BUCKETS)), path, [key], ["bucket"])
+
+
+def known_keys(spark: SparkSession, wanted: DataFrame, path: str, key: str) -> DataFrame:
+    """The noted rows in the buckets of the ``wanted`` keys."""
+    schema = StructType([wanted.schema[key], StructField("created_at", TimestampType()), StructField("bucket", IntegerType())])
+    return _touched(_read(spark, path, schema), wanted.select(bucket(key, KEY_BUCKETS).alias("bucket")), ["bucket"])
+
+
 def find_run(runs: DataFrame, ticker: Column, fiscal_year: Column, quarter: Column) -> DataFrame:
     return runs.filter(F.col("_id") == F.concat_ws("_", ticker, fiscal_year.cast("string"), quarter))
 

@@ -1,19 +1,20 @@
 """Filing intake, job states, status, progress and continuous load as streaming jobs.
 
-Aggregates keep one small row of state per key and are combined before the shuffle. Results go
+What is kept per key is in ``keyed``; windows and sessions are aggregates, combined before the shuffle. Results go
 out through ``foreachBatch`` into a table folder per batch, so a batch that runs twice after a
 failure writes the same folder again.
 """
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from ..functions import patterns as P
 from ..session import small, work_dir
 from ..sources import responses as RS, sinks
+from . import keyed
 
 
 # ---- sources and sinks ---------------------------------------------------------------------------
@@ -36,6 +37,30 @@ def run_available(stream: DataFrame, write: Callable[[DataFrame, int], None], ch
         "checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+def run_until_quiet(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, quiet_ms: int,
+                    mode: str = "append") -> None:
+    """Run a stream whose timers follow the clock, until ``quiet_ms`` after its last input a batch has ended.
+
+    Such a stream never runs out of batches, so ``availableNow`` would not stop.
+    """
+    query = stream.writeStream.foreachBatch(write).outputMode(mode).option(
+        "checkpointLocation", checkpoint).trigger(processingTime="200 milliseconds").start()
+    try:
+        seen, last_input = -1, None
+        while query.isActive:
+            for p in query.recentProgress:
+                if p.batchId > seen or p.numInputRows:
+                    begun = datetime.fromisoformat(p.timestamp.replace("Z", "+00:00")).timestamp() * 1000
+                    if p.numInputRows:
+                        last_input = max(last_input or 0, begun + p.batchDuration)
+                    elif last_input is not None and begun > last_input + quiet_ms:
+                        return
+                    seen = p.batchId
+            query.awaitTermination(0.1)
+    finally:
+        query.stop()
+
+
 def to_table(path: str) -> Callable[[DataFrame, int], None]:
     """Batch writer: one folder per batch, replaced when a batch is repeated."""
 
@@ -68,23 +93,49 @@ def intake(messages: DataFrame) -> DataFrame:
         RS.valid_message(F.col("m"))).select(*messages.columns, "m.*")
 
 
-def job_states(outcomes: DataFrame, key: str, failed: Column, succeeded: Column) -> DataFrame:
+def job_states(outcomes: DataFrame, key: str, failed: Column, succeeded: Column, at: str = "ts", order: str = "event_id") -> DataFrame:
     """Attempts and action per job: completed after a success, dead_letter at the third failure,
-    retry below that."""
-    state = outcomes.groupBy(key).agg(
-        F.count_if(failed).alias("attempts"), F.max(F.coalesce(succeeded, F.lit(False))).alias("done"))
-    action = F.when(F.col("done"), "completed").when(
-        F.col("attempts") >= P.MAX_JOB_ATTEMPTS, "dead_letter").when(F.col("attempts") > 0, "retry").otherwise("queued")
-    return state.withColumn("action", action)
+    retry below that; ``entered`` when the action is a new one."""
+    jobs = keyed.track_jobs(outcomes, key, at, order, failed=failed, succeeded=succeeded)
+    return jobs.select(key, "attempts", "done", "action", "entered", "last_failure")
 
 
 def dead_letters(states: DataFrame) -> DataFrame:
     return states.filter("action = 'dead_letter'")
 
 
-def status_feed(updates: DataFrame, key: str, status: Column, at: Column) -> DataFrame:
+def outcome_writer(path: str, key: str) -> Callable[[DataFrame, int], None]:
+    """Batch writer of three tables out of one batch of job states: the retry queue, the dead letters and the status.
+
+    All three lie in folders of the batch's number, which a repeated batch replaces, so a batch that failed between
+    two of them leaves no row twice. A job enters a table when its action changes.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        states = batch.persist()
+        try:
+            new = states.filter("entered")
+            status = F.when(F.col("action") == "completed", "completed").when(F.col("action") == "dead_letter", "failed").otherwise("processing")
+            tables = {
+                "retries": new.filter("action = 'retry'").select(key, "attempts", "last_failure"),
+                "dead_letters": dead_letters(new).select(key, "attempts", "last_failure"),
+                "status": new.select(key, status.alias("status"), "attempts"),
+            }
+            for name, rows in tables.items():
+                rows.write.mode("overwrite").parquet(f"{path}/{name}/batch={batch_id}")
+        finally:
+            states.unpersist()
+
+    return write
+
+
+def outcome_table(spark: SparkSession, path: str, name: str) -> DataFrame:
+    return spark.read.option("basePath", f"{path}/{name}").parquet(f"{path}/{name}/batch=*")
+
+
+def status_feed(updates: DataFrame, key: str, status: Column, order: str = "event_id", at: str = "ts") -> DataFrame:
     """Newest status per load request."""
-    return updates.groupBy(key).agg(F.max_by(status, at).alias("status"))
+    return keyed.track_jobs(updates, key, at, order, status=status).select(key, "status")
 
 
 def without_redelivery(jobs: DataFrame, key: str, at: str, within: str) -> DataFrame:
@@ -92,13 +143,31 @@ def without_redelivery(jobs: DataFrame, key: str, at: str, within: str) -> DataF
     return jobs.withWatermark(at, within).dropDuplicatesWithinWatermark([key])
 
 
-def progress(events: DataFrame, key: str, kind: Column, elapsed_ms: Column | None = None) -> DataFrame:
-    """Step starts and ends, model calls, time spent in steps, and the last event of a run."""
-    spent = F.sum(F.when(kind == "step_end", elapsed_ms)) if elapsed_ms is not None else F.lit(None).cast("double")
-    return events.groupBy(key).agg(
-        F.count_if(kind == "step_start").alias("started"), F.count_if(kind == "step_end").alias("ended"),
-        F.count_if(kind == "call_llm").alias("calls"), spent.alias("elapsed_ms"),
-        F.max_by(kind, F.struct("ts", "event_id")).alias("last_kind"))
+def progress(events: DataFrame, key: str, kind: Column, elapsed_ms: Column | None = None, stage: Column | None = None,
+             at: str = "ts", order: str = "event_id") -> DataFrame:
+    """Step starts and ends, model calls, time spent in steps, the open stage and the last event of a run."""
+    jobs = keyed.track_jobs(events, key, at, order, kind=kind, elapsed_ms=elapsed_ms, stage=stage)
+    return jobs.select(key, "started", "ended", "calls", "elapsed_ms", "stage", "last_kind")
+
+
+def step_durations(starts: DataFrame, ends: DataFrame, on: list[str], within: str, delay: str) -> DataFrame:
+    """``starts`` (on, start_id, started) with ``ended`` of the ends (on, ended) of the same step up to ``within`` later.
+
+    Both sides are kept as long as a partner may come. A start without an end leaves with a null once the watermark has
+    passed it by ``within``: its step is open. A start meets every end in reach; ``first_ends`` takes the first.
+    """
+    s = starts.withWatermark("started", delay).select(*[F.col(c).alias(f"s_{c}") for c in on], "start_id", "started")
+    e = ends.withWatermark("ended", delay).select(*[F.col(c).alias(f"e_{c}") for c in on], "ended")
+    met = F.expr(f"ended >= started AND ended <= started + INTERVAL {within}")
+    for c in on:
+        met = met & (F.col(f"s_{c}") == F.col(f"e_{c}"))
+    return s.join(e, met, "left_outer").select(*[F.col(f"s_{c}").alias(c) for c in on], "start_id", "started", "ended")
+
+
+def first_ends(durations: DataFrame, on: list[str]) -> DataFrame:
+    """One row per start: its first end, the time between in microseconds, and whether the step is open."""
+    rows = durations.groupBy(*on, "start_id", "started").agg(F.min("ended").alias("ended"))
+    return rows.withColumn("micros", F.unix_micros("ended") - F.unix_micros("started")).withColumn("open", F.col("ended").isNull())
 
 
 def sessions(events: DataFrame, key: str, at: str, gap: str, delay: str, summary: Column) -> DataFrame:
@@ -120,55 +189,32 @@ def usage(calls: DataFrame, at: str, delay: str, window: str, slide: str, tokens
         ((F.col("calls") > max_calls) | (F.col("tokens") > max_tokens)).alias("over_budget"))
 
 
-def running_max_before(rows: DataFrame, by: str, order: str, value: str, name: str, width: int) -> DataFrame:
-    """Add ``name``: the largest ``value`` of earlier rows of the key, in two levels.
-
-    Rows are cut into ranges of ``width`` along ``order``. Range maxima are aggregates, the pass
-    over them sees one row per range, and the pass over rows stays within a range, so a hot key
-    is spread over its ranges.
-    """
-    cut = rows.withColumn("rng", F.floor(F.col(order) / width))
-    carry = cut.groupBy(by, "rng").agg(F.max(value).alias("top")).withColumn(
-        "carry", F.max("top").over(Window.partitionBy(by).orderBy("rng").rowsBetween(Window.unboundedPreceding, -1)))
-    inside = Window.partitionBy(by, "rng").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return cut.join(carry.drop("top"), [by, "rng"]).withColumn(
-        name, F.greatest(F.max(value).over(inside), "carry")).drop("rng", "carry")
+def enrich(jobs: DataFrame, companies: DataFrame, known: DataFrame) -> DataFrame:
+    """Jobs with their company and whether it is among the ``known`` (cik); unknown companies are left out."""
+    has = known.select("cik", F.lit(True).alias("has_history"))
+    return jobs.join(small(companies), "cik").join(has, "cik", "left").withColumn(
+        "has_history", F.coalesce("has_history", F.lit(False)))
 
 
-def cadence_writer(spark: SparkSession, path: str, by: str, order: str, value: str,
-                   width: int = 100_000) -> Callable[[DataFrame, int], None]:
-    """Batch writer for filings in arrival order: ``advance`` is false for one that is not newer
-    than all before it. A batch reads the highest date per company from its predecessor's state and leaves its own,
-    so its work does not grow with the number of batches, and one that is run again finds the same state."""
+def enrich_writer(spark: SparkSession, companies: DataFrame, known_path: str, path: str) -> Callable[[DataFrame, int], None]:
+    """Batch writer of enriched jobs. Of the table of known companies, which the load keeps, a batch opens the buckets
+    of its own companies; no value table is read."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        seen = running_max_before(batch, by, order, value, "inside", width)
-        tops = batch.groupBy(by).agg(F.max(value).alias("top"))
-        if batch_id > 0:
-            old = spark.read.parquet(f"{path}/state/batch={batch_id - 1}")
-            seen = seen.join(old.withColumnRenamed("top", "stored"), by, "left")
-            tops = tops.unionByName(old).groupBy(by).agg(F.max("top").alias("top"))
-        else:
-            seen = seen.withColumn("stored", F.lit(None).cast(batch.schema[value].dataType))
-        before = F.greatest("inside", "stored")
-        out = seen.withColumn("advance", before.isNull() | (F.col(value) > before)).drop("inside", "stored")
-        out.write.mode("overwrite").parquet(f"{path}/out/batch={batch_id}")
-        tops.write.mode("overwrite").parquet(f"{path}/state/batch={batch_id}")
+        known = sinks.known_keys(spark, batch.select("cik"), known_path, "cik")
+        enrich(batch, companies, known).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return write
 
 
-def enrich(jobs: DataFrame, companies: DataFrame, history: DataFrame) -> DataFrame:
-    """Jobs with their company and whether it has stored values; unknown companies are left out."""
-    has = history.select("cik").distinct().withColumn("has_history", F.lit(True))
-    return jobs.join(small(companies), "cik").join(has, "cik", "left").withColumn(
-        "has_history", F.coalesce("has_history", F.lit(False)))
-
-
-def load_writer(spark: SparkSession, path: str, rows: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """Batch writer that turns filings into value rows and upserts them."""
+def load_writer(spark: SparkSession, path: str, rows: Callable[[DataFrame], DataFrame],
+                known_path: str | None = None) -> Callable[[DataFrame, int], None]:
+    """Batch writer that turns filings into value rows, upserts them, and notes their companies as known."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        sinks.upsert_values(spark, rows(batch), path)
+        values = rows(batch)
+        sinks.upsert_values(spark, values, path)
+        if known_path:
+            sinks.remember_keys(spark, values.select("cik"), known_path, "cik")
 
     return write
