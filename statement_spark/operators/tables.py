@@ -13,18 +13,6 @@ def _rx(c: Column, pattern: str) -> Column:
     return c.rlike(P.ci(pattern))
 
 
-def near_nodes(nodes: Column) -> Column:
-    """The last nodes before a table: whole ones, until they reach CONTEXT_CHARS together."""
-    start = F.struct(F.lit(0).alias("taken"), F.lit(0).alias("chars"))
-
-    def step(state: Column, node: Column) -> Column:
-        more = (state["chars"] < P.CONTEXT_CHARS).cast("int")
-        return F.struct((state["taken"] + more).alias("taken"), (state["chars"] + more * F.length(node)).alias("chars"))
-
-    taken = F.aggregate(F.reverse(nodes), start, step, lambda state: state["taken"])
-    return F.slice(nodes, F.size(nodes) - taken + 1, taken)
-
-
 def page_tables(pages: DataFrame) -> DataFrame:
     """One row per table of a segmented page, with its heading and nearest scale caption.
 
@@ -46,7 +34,7 @@ def page_tables(pages: DataFrame) -> DataFrame:
         F.transform("segments", lambda s, i: F.struct(
             i.alias("table_idx"), F.col("doc_scale"),
             last(F.slice("captions", F.lit(1), i + 1)).alias("near_scale"),
-            F.array_join(near_nodes(s["nodes"]), "\n").alias("context"),
+            F.array_join(s["heading"], "\n").alias("context"),
             s["rows"].alias("rows"), s["cols"].alias("cols"),
         )),
         lambda t: t["rows"].isNotNull(),

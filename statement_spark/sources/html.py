@@ -7,6 +7,7 @@ headings, classes and numbers are Column expressions on its output.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import patterns as P, text as T
 
-SEGMENT_TYPE = ("array<struct<nodes:array<string>,rows:array<array<string>>,links:array<array<string>>,"
+SEGMENT_TYPE = ("array<struct<nodes:array<string>,heading:array<string>,rows:array<array<string>>,links:array<array<string>>,"
                 "cols:array<array<int>>>>")
 
 _TAG = re.compile(
@@ -27,6 +28,8 @@ _HREF = re.compile(r"""href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _COLSPAN = re.compile(r"""colspan\s*=\s*["']?(\d{1,3})""", re.I)
 _SPACE = re.compile(r"\s+")
 _NOISE = frozenset(P.NOISE_TAGS)
+_VOID = frozenset(P.VOID_TAGS)
+_BLOCKS = frozenset(P.BLOCK_TAGS)
 _NOISE_TAG = re.compile(rf"<(/?)({'|'.join(sorted(_NOISE))})\b[^<>]*>", re.I)
 
 
@@ -44,6 +47,57 @@ def _noise_ends(html: str) -> dict[int, int]:
     return ends
 
 
+class _Open:
+    """An open element: its name, the first text node inside it, and its children so far as intervals of text nodes.
+
+    Both count from the last table; ``since`` brings an element up to date when it is met again behind one.
+    """
+
+    __slots__ = ("name", "start", "children", "table")
+
+    def __init__(self, name: str, start: int, table: int):
+        self.name, self.start, self.children, self.table = name, start, [], table
+
+    def since(self, table: int) -> "_Open":
+        if self.table != table:
+            self.start, self.children, self.table = 0, [], table
+        return self
+
+
+def _is_heading(line: str) -> bool:
+    """Whether text beside the parent of a table may be its heading: short, begun or worded like one, no disclaimer."""
+    low = line.lower()
+    return (len(line) < P.HEADING_CHARS and (line[0].isupper() or any(w in low for w in P.HEADING_WORDS))
+            and not any(w in low for w in P.NO_HEADING_WORDS))
+
+
+def _nearest(lines: Iterator[str]) -> list[str]:
+    """Lines, given from the nearest on, until they reach CONTEXT_CHARS together; in reading order."""
+    found, chars = [], 0
+    for line in lines:
+        found.append(line)
+        chars += len(line)
+        if chars >= P.CONTEXT_CHARS:
+            break
+    return found[::-1]
+
+
+def heading(nodes: list[str], path: list[_Open], table: int) -> list[str]:
+    """Text nodes that may head a table which opens now.
+
+    The tree is kept as nested intervals: an element is the text nodes since its start. The table's own siblings are the
+    nodes since its parent opened; if there are none, the heading-like siblings of the parent. Nothing further off
+    heads a table.
+    """
+    start = path[-1].since(table).start
+    if len(nodes) > start:
+        return _nearest(nodes[i] for i in range(len(nodes) - 1, start - 1, -1))
+    if len(path) < 2:
+        return []
+    beside = (" ".join(nodes[a:b]) for a, b in reversed(path[-2].since(table).children))
+    return _nearest(line for line in beside if _is_heading(line))
+
+
 def scan(html: str | None) -> list[dict]:
     """Segments of one page, in reading order. Tags need not be balanced."""
     segments: list[dict] = []
@@ -53,12 +107,18 @@ def scan(html: str | None) -> list[dict]:
     cols: list[list[int]] = []  # first column of each cell, and behind the last one the end
     depth = 0
     in_cell = False
+    tables = 0
+    path = [_Open("", 0, 0)]
+    names: Counter = Counter()
+    above: list[str] = []
 
     def flush(with_table: bool) -> None:
-        nonlocal nodes, rows, links, cols, in_cell
+        nonlocal nodes, rows, links, cols, in_cell, tables
+        tables += 1
         if with_table or nodes:
             segments.append({
                 "nodes": nodes,
+                "heading": above if with_table else None,
                 "rows": [[" ".join(c) for c in r] for r in rows if r] if with_table else None,
                 "links": [ln for r, ln in zip(rows, links) if r] if with_table else None,
                 "cols": [c for r, c in zip(rows, cols) if r] if with_table else None,
@@ -72,8 +132,15 @@ def scan(html: str | None) -> list[dict]:
         if depth and in_cell:
             rows[-1][-1].append(clean)
         else:
+            path[-1].since(tables).children.append((len(nodes), len(nodes) + 1))
             nodes.append(clean)
 
+    def close() -> None:
+        element = path.pop().since(tables)
+        names[element.name] -= 1
+        if len(nodes) > element.start:
+            path[-1].since(tables).children.append((element.start, len(nodes)))
+
     html = html or ""
     ends = _noise_ends(html)
     last = html.rfind(">") + 1  # no tag ends behind it
@@ -88,13 +155,27 @@ def scan(html: str | None) -> list[dict]:
             at = max(at, ends.get(m.start(), at))
         elif name == "table":
             if not closing:
+                if not depth:
+                    if path[-1].name == "p":
+                        close()
+                    above = heading(nodes, path, tables)
                 depth += 1
             elif depth:
                 depth -= 1
                 if depth == 0:
                     flush(True)
         elif not depth:
-            continue
+            if not name or name in _VOID or m.group(0).endswith("/>"):
+                continue
+            if not closing:
+                if name in _BLOCKS and path[-1].name == "p":
+                    close()
+                path.append(_Open(name, len(nodes), tables))
+                names[name] += 1
+            elif names[name]:
+                while path[-1].name != name:
+                    close()
+                close()
         elif name == "tr":
             in_cell = False
             if not closing:
@@ -128,6 +209,7 @@ def page_segments(pages: DataFrame, html: str = "html") -> DataFrame:
     out = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in keep)
     seg = pa.list_(pa.struct([
         ("nodes", pa.list_(pa.string())),
+        ("heading", pa.list_(pa.string())),
         ("rows", pa.list_(pa.list_(pa.string()))),
         ("links", pa.list_(pa.list_(pa.string()))),
         ("cols", pa.list_(pa.list_(pa.int32()))),

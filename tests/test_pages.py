@@ -106,3 +106,52 @@ def test_heading_keeps_whole_nodes(spark):
     pages = spark.createDataFrame([("f", page)], "filing_id string, html string")
     table = X.read_tables(pages).first()
     assert table["context"].startswith("CONSOLIDATED") and table["table_type"] == "income_statement"
+
+
+FAR = "<p>This release refers to non-GAAP measures such as Adjusted EBITDA. See the reconciliation.</p>"
+CELLS = "<table><tr><td></td><td>2026</td></tr><tr><td>Line</td><td>5</td></tr></table>"
+
+
+def _classes(spark, page):
+    rows = X.read_tables(_pages(spark, page, date(2026, 3, 31), False)).select("table_idx", "table_type", "context").collect()
+    return [(r.table_type, r.context) for r in sorted(rows, key=lambda r: r.table_idx)]
+
+
+def test_headings_come_from_siblings_then_from_the_parents(spark):
+    own = f"<body>{FAR}<div><p>Consolidated Statements of Income</p>{CELLS}</div></body>"
+    assert _classes(spark, own) == [("income_statement", "Consolidated Statements of Income")]
+    parents = f"<body>{FAR}<p>Consolidated Balance Sheets</p><div>{CELLS}</div></body>"
+    assert _classes(spark, parents) == [("balance_sheet", "Consolidated Balance Sheets")]
+    deep = f"<body>{FAR}<p>Consolidated Balance Sheets</p><div><div>{CELLS}</div></div></body>"
+    assert _classes(spark, deep) == [("other", "")]
+    split = f"<body>{FAR}<p>Statements of <b>cash</b> flows</p><center>{CELLS}</center></body>"
+    assert _classes(spark, split) == [("cash_flow", "Statements of cash flows")]
+
+
+def test_headings_beside_the_parent_are_short_and_no_disclaimers(spark):
+    long = "<p>Income " + "and more words " * 20 + "</p>"
+    page = f"<body><p>Consolidated Statements of Income</p>{long}<p>Note: unaudited</p><p>small print</p><div>{CELLS}</div></body>"
+    assert _classes(spark, page) == [("income_statement", "Consolidated Statements of Income")]
+    again = f"<body><p>Consolidated Statements of Income</p><div>{CELLS}</div><div>{CELLS}</div></body>"
+    assert [t for t, _ in _classes(spark, again)] == ["income_statement", "other"]
+
+
+def test_headings_in_unbalanced_pages():
+    heads = lambda page: [s["heading"] for s in html.scan(page) if s["rows"] is not None]
+    assert heads("<div><p>One<p>Two<table><tr><td>x</table></b></i>Three<table><tr><td>y</table>") == [["One", "Two"], ["Three"]]
+    assert heads("</div></p><br/><hr>Alone<table></table>") == [["Alone"]]
+    assert heads("<p>" + "a" * 390 + "</p><p>" + "b" * 15 + "</p><table></table>") == [["a" * 390, "b" * 15]]
+    assert heads("<p>Far</p><p>" + "a" * 400 + "</p><table></table>") == [["a" * 400]]
+
+
+def test_deep_and_unclosed_pages_take_time_in_proportion():
+    import time
+
+    def seconds(n):
+        page = "<div>" * n + ("</p></span>text<table><tr><td>1</td></tr></table>" * (n // 10)) + "</div>" * n
+        start = time.perf_counter()
+        html.scan(page)
+        return time.perf_counter() - start
+
+    seconds(2000)
+    assert seconds(40_000) < 40 * max(seconds(4000), 0.01)
