@@ -1,7 +1,7 @@
 """Removing duplicate, leaked and malformed metrics, with guards."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import numbers, patterns as P, text as T
 from . import quality
@@ -64,20 +64,32 @@ def guarded_removal(metrics: DataFrame, answers: DataFrame, filing: str = "filin
     """Metrics after the removals that model answers (filing, key, reason) ask for.
 
     An answer that names an unknown key is void as a whole. A removal without a reason or of a
-    mapped key is ignored. If what is left raises a blocking warning that was not there before,
+    mapped key (``protected``) is ignored. If what is left raises a blocking warning that was not there before,
     the answer is void too. Values are never changed.
+
+    The metrics and the answer of a filing, one document's keys, meet on its row in one aggregate; the operands of the
+    warnings are taken twice from that row, with and without the keys to be removed.
     """
-    known = answers.join(
-        metrics.select(filing, "key", "protected").withColumn("known", F.lit(True)), [filing, "key"], "left")
-    valid = known.groupBy(filing).agg(F.bool_and(F.coalesce("known", F.lit(False))).alias("all_known"))
-    legal = known.join(valid.filter("all_known"), filing).filter(
-        (F.trim(F.coalesce("reason", F.lit(""))) != "") & ~F.coalesce("protected", F.lit(False))
-    ).select(filing, "key")
-    kept = metrics.join(legal, [filing, "key"], "left_anti")
-
-    def warnings(m: DataFrame) -> DataFrame:
-        return quality.operands(m, filing).select(filing, F.explode(quality.blocking_warnings()).alias("w"))
-
-    worse = warnings(kept).join(warnings(metrics), [filing, "w"], "left_anti").select(filing).distinct()
-    allowed = legal.join(worse, filing, "left_anti")
-    return metrics.join(allowed, [filing, "key"], "left_anti")
+    columns = metrics.columns
+    names = [c for c in columns if c != filing]
+    rows = metrics.select(filing, F.struct("key_ord", *[c for c in names if c != "key_ord"]).alias("m")).unionByName(
+        answers.select(filing, F.struct("key", F.trim(F.coalesce("reason", F.lit(""))).alias("reason")).alias("a")), allowMissingColumns=True)
+    filed = rows.groupBy(filing).agg(F.array_sort(F.collect_list("m")).alias("rows"), F.collect_list("a").alias("asked"))
+    every = F.transform("rows", lambda m: m["key"])
+    guarded = F.transform(F.filter("rows", lambda m: F.coalesce(m["protected"], F.lit(False))), lambda m: m["key"])
+    reasoned = F.transform(F.filter("asked", lambda a: a["reason"] != ""), lambda a: a["key"])
+    known = F.forall("asked", lambda a: F.array_contains(F.col("every"), a["key"]))
+    legal = F.when(known, F.array_except(reasoned, guarded)).otherwise(F.array().cast("array<string>"))
+    filed = filed.withColumn("every", every).withColumn("legal", legal)
+    filed = filed.withColumn("left", F.filter("rows", lambda m: ~F.array_contains(F.col("legal"), m["key"])))
+
+    def warnings(at: str) -> Column:
+        def first(name: str) -> Column:
+            return F.get(F.filter(at, lambda m: m["key"].rlike(P.ci(P.VALIDATOR_OPERANDS[name]))), F.lit(0))["num_value"]
+
+        return quality.blocking_warnings(first)
+
+    filed = filed.withColumn("before", warnings("rows")).withColumn("after", warnings("left"))
+    worse = F.size(F.array_except("after", "before")) > 0
+    kept = filed.select(filing, F.explode(F.when(worse, F.col("rows")).otherwise(F.col("left"))).alias("m"))
+    return kept.select(filing, *[F.col("m")[c].alias(c) for c in names]).select(*columns)

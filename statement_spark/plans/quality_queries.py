@@ -109,10 +109,10 @@ def composite_keys(spark, sf_dir):
 
 
 _BLOCK = """
-SELECT filing_id, 'Diluted EPS sanity check' AS warning FROM m
+SELECT filing_id, 'Result per share' AS warning FROM m
   WHERE abs(ni / CAST(sh_d AS DOUBLE) - eps_d) > greatest(CAST(0.01 AS DOUBLE), abs(eps_d) * CAST(0.02 AS DOUBLE))
-UNION ALL SELECT filing_id, 'Scale sanity check' FROM m WHERE revenue > 0 AND NOT revenue BETWEEN 100000 AND 10000000000000
-UNION ALL SELECT filing_id, 'Magnitude sanity check' FROM m WHERE revenue > 0 AND abs(ni) > 2 * revenue"""
+UNION ALL SELECT filing_id, 'Revenue range' FROM m WHERE revenue > 0 AND NOT revenue BETWEEN 100000 AND 10000000000000
+UNION ALL SELECT filing_id, 'Income size' FROM m WHERE revenue > 0 AND abs(ni) > 2 * revenue"""
 
 
 @query("blocking_sanity", _M + _BLOCK)
@@ -185,12 +185,12 @@ def cleanup_candidates(spark, sf_dir):
 
 
 @query("cleanup_drops", _M + f"""
-SELECT filing_id, count(*) AS n_left FROM ml JOIN (SELECT filing_id AS f, dup, ni FROM m) ON filing_id = f
+SELECT filing_id, key, key_ord, v AS value FROM ml JOIN (SELECT filing_id AS f, dup, ni FROM m) ON filing_id = f
 WHERE key NOT IN ('Adjusted operating income', 'Diluted EPS and more / Diluted net income')
-  AND NOT (key = 'net  income' AND {_CLOSE.format(a="dup", b="ni")}) GROUP BY 1""")
+  AND NOT (key = 'net  income' AND {_CLOSE.format(a="dup", b="ni")})""")
 def cleanup_drops(spark, sf_dir):
     m = I.metric_rows(spark, sf_dir)
-    return CL.drop_flagged(m, Q.findings(m)).groupBy("filing_id").agg(F.count(F.lit(1)).alias("n_left"))
+    return CL.drop_flagged(m, Q.findings(m)).select("filing_id", "key", "key_ord", F.col("num_value").alias("value"))
 
 
 @query("cleanup_guardrails", _M + """
@@ -200,7 +200,7 @@ def cleanup_drops(spark, sf_dir):
   UNION ALL SELECT filing_id, 'Revenue', 'rule A' FROM m),
  ok AS (SELECT a.filing_id FROM a LEFT JOIN ml USING (filing_id, key) GROUP BY 1 HAVING bool_and(ml.v IS NOT NULL)),
  gone AS (SELECT filing_id, key FROM a WHERE filing_id IN (SELECT filing_id FROM ok) AND reason <> '' AND key <> 'Revenue')
-SELECT filing_id, count(*) AS n_left FROM ml ANTI JOIN gone USING (filing_id, key) GROUP BY 1""")
+SELECT filing_id, key, key_ord, v AS value FROM ml ANTI JOIN gone USING (filing_id, key)""")
 def cleanup_guardrails(spark, sf_dir):
     m = I.metric_rows(spark, sf_dir).withColumn("protected", F.col("key") == "Revenue")
     first = F.when(F.col("n_lines") % 4 == 0, "No such key").otherwise("Sales and marketing")
@@ -210,7 +210,7 @@ def cleanup_guardrails(spark, sf_dir):
         F.struct(F.lit("Free cash flow").alias("key"), F.lit("rule C").alias("reason")),
         F.struct(F.lit("Revenue").alias("key"), F.lit("rule A").alias("reason")))
     answers = I.wide_metrics(spark, sf_dir).select("filing_id", F.inline(asked))
-    return CL.guarded_removal(m, answers).groupBy("filing_id").agg(F.count(F.lit(1)).alias("n_left"))
+    return CL.guarded_removal(m, answers).select("filing_id", "key", "key_ord", F.col("num_value").alias("value"))
 
 
 @query("cleanup_payload", _M + """

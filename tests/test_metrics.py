@@ -106,7 +106,7 @@ def test_blocking_and_corrections(spark):
                         ("Weighted average shares outstanding: diluted", 10e3), ("Free cash flow", 9), ("Net cash provided by operating activities", 5)])
     ops = Q.operands(m)
     warned = {w.split(":")[0] for w in ops.select(Q.blocking_warnings().alias("w")).first().w}
-    assert warned == {"Diluted EPS sanity check", "Scale sanity check", "Magnitude sanity check"}
+    assert warned == {"Result per share", "Revenue range", "Income size"}
     assert "Free cash flow" not in {r["key"] for r in Q.correct_values(m, ops).collect()}
 
 
@@ -126,6 +126,16 @@ def test_guarded_removal(spark):
 
     assert left([("Extra", "rule A"), ("Kept", "rule A"), ("Net income", "")]) == {"Revenue", "Net income", "Kept"}
     assert left([("Extra", "rule A"), ("Ghost", "rule A")]) == {"Revenue", "Net income", "Extra", "Kept"}
+    assert left([]) == {"Revenue", "Net income", "Extra", "Kept"}
+
+
+def test_removal_that_raises_a_warning_is_void(spark):
+    """Without the first net income the second one counts, and that is more than twice the revenue."""
+    m = metrics(spark, [("Revenue", 1e6), ("Net income", 2e5), ("NET INCOME", 9e6), ("Extra", 3)]).withColumn("protected", F.lit(False))
+    a = spark.createDataFrame([("f", "Net income", "rule A"), ("f", "Extra", "rule A")], "filing_id string, key string, reason string")
+    assert {r["key"] for r in CL.guarded_removal(m, a).collect()} == {"Revenue", "Net income", "NET INCOME", "Extra"}
+    plan = CL.guarded_removal(m, a)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
 
 
 CHAIN = [("c1", "Revenue", "revenue"), ("c2", "Cost of revenue", "cost_of_revenue"), ("c3", "Gross profit", "gross_profit"),
