@@ -137,6 +137,41 @@ def entries(tables: DataFrame) -> DataFrame:
     })
 
 
+def order_key(exhibit: Column, table: Column, row: Column) -> Column:
+    """Place of a row in its filing, one number that sorts by exhibit (from 1), table and row: up to 1000 exhibits of a
+    million tables of four thousand million rows."""
+    wide = lambda c, bits: F.shiftleft(c.cast("bigint"), bits)
+    return wide(exhibit - 1, 52) + wide(table, 32) + row
+
+
+def table_key(exhibit: Column, table: Column) -> Column:
+    """Number of a table among all tables of its filing."""
+    return (F.shiftleft(exhibit - 1, 20) + table).cast("int")
+
+
+def read_tables_of_exhibits(tables: DataFrame, filing: str, keep: DataFrame | None = None) -> DataFrame:
+    """Tables whose rows are read, over all exhibits of a filing.
+
+    The main exhibit gives income statements, segments and undecided tables, supplements income statements and
+    relevant segment tables; a supplement without any gives none. Of the undecided ones a response may say no
+    (``keep``: filing, exhibit_no, table_idx, keep), unless that would leave the filing without a table.
+    """
+    main, kind = F.col("exhibit_no") == 1, F.col("table_type")
+    words = F.concat_ws(" ", "context", F.array_join(F.flatten("rows"), " "))
+    relevant = ~main & ((kind == "income_statement") | ((kind == "segment") & _rx(words, P.SUPPLEMENT_RELEVANT)))
+    chosen = tables.filter(relevant | (main & kind.isin("income_statement", "segment", "other")))
+    if keep is None:
+        return chosen
+    place = [filing, "exhibit_no", "table_idx"]
+    pending = (kind == "other") & main
+    flags = tables.select(*place, "table_type", relevant.alias("relevant")).join(keep.select(*place, "keep"), place, "left").withColumn(
+        "keep", F.coalesce("keep", F.lit(True)))
+    per_filing = flags.groupBy(filing).agg(
+        F.bool_or((main & kind.isin(*GAAP, "segment")) | F.col("relevant")).alias("has_gaap"), F.bool_or(pending & F.col("keep")).alias("any_kept"))
+    out = flags.filter(pending & ~F.col("keep")).join(per_filing.filter("has_gaap or any_kept"), filing, "left_semi").select(*place)
+    return chosen.join(out, place, "left_anti")
+
+
 def selected_entries(tables: DataFrame, filing: str, keep: DataFrame | None = None) -> DataFrame:
     """Entries that go on to extraction, main and supplementary exhibits together.
 

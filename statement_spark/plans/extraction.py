@@ -21,13 +21,15 @@ def read_tables(pages: DataFrame) -> DataFrame:
     return TB.classify(TB.page_tables(html.page_segments(pages)))
 
 
-def shaped_tables(tables: DataFrame) -> DataFrame:
+def shaped_tables(tables: DataFrame, filing: str = "filing_id", keep: DataFrame | None = None) -> DataFrame:
     """Tables that go to extraction, with their scale and section.
 
-    ``tables`` carry ``period_end`` and ``annual`` of their filing. A table's own caption comes
-    first, then the nearest one before it, then the page's.
+    ``tables`` carry ``period_end`` and ``annual`` of their filing, and ``exhibit_no`` (from 1) if it has several
+    exhibits. A table's own caption comes first, then the nearest one before it, then the page's.
     """
-    wanted = tables.filter(F.col("table_type").isin("income_statement", "segment", "other"))
+    if "exhibit_no" not in tables.columns:
+        tables = tables.withColumn("exhibit_no", F.lit(1))
+    wanted = TB.read_tables_of_exhibits(tables, filing, keep)
     own = T.dominant_scale(F.concat_ws("\n", "context", F.array_join(F.flatten("rows"), " ")))
     return wanted.withColumns({
         "scale": F.coalesce(own, F.col("near_scale"), F.col("doc_scale"), F.lit("")),
@@ -36,15 +38,15 @@ def shaped_tables(tables: DataFrame) -> DataFrame:
     }).drop("context", "near_scale", "doc_scale", "table_type")
 
 
-def statement_metrics(tables: DataFrame, filing: str = "filing_id") -> DataFrame:
+def statement_metrics(tables: DataFrame, filing: str = "filing_id", keep: DataFrame | None = None) -> DataFrame:
     """Scaled metric rows read from the tables that go to extraction; those of another period are stale."""
-    rows = TB.statement_rows(shaped_tables(tables), F.col("period_end"), F.col("annual"))
+    rows = TB.statement_rows(shaped_tables(tables, filing, keep), F.col("period_end"), F.col("annual"))
     dollars = T.scale_factor(F.col("scale"))
     value = numbers.scaled(F.col("key"), F.col("raw_value"), dollars,
                            F.when(F.col("shares").isNull(), dollars).otherwise(T.scale_factor(F.col("shares"))))
     return rows.select(
-        filing, "cik", F.col("table_idx").alias("chunk_idx"), "section", "key",
-        (F.shiftleft(F.col("table_idx").cast("bigint"), 32) + F.col("row_idx")).alias("key_ord"),
+        filing, "cik", TB.table_key(F.col("exhibit_no"), F.col("table_idx")).alias("chunk_idx"), "section", "key",
+        TB.order_key(F.col("exhibit_no"), F.col("table_idx"), F.col("row_idx")).alias("key_ord"),
         value.alias("num_value"), F.lit(None).cast("string").alias("str_value"),
         "is_stale",
     )
@@ -52,7 +54,7 @@ def statement_metrics(tables: DataFrame, filing: str = "filing_id") -> DataFrame
 
 def statement_rejects(tables: DataFrame, filing: str = "filing_id") -> DataFrame:
     """Rows of the tables that go to extraction which hold numbers but gave no value."""
-    rows = TB.statement_rejects(shaped_tables(tables), F.col("period_end"), F.col("annual"))
+    rows = TB.statement_rejects(shaped_tables(tables, filing), F.col("period_end"), F.col("annual"))
     return rows.select(filing, "cik", "table_idx", "row_idx", "key", "n_cells", "current_end")
 
 
@@ -126,12 +128,19 @@ def extract_from_responses(responses: DataFrame, concepts: DataFrame, **more: Da
     return Extraction(metrics, fill(numeric, concepts, **more), found)
 
 
-def extract(pages: DataFrame, concepts: DataFrame, filing: str = "filing_id") -> Extraction:
-    """Pages (filing, cik, period_end, annual, html) through the whole pipeline.
+def extract(pages: DataFrame, concepts: DataFrame, filing: str = "filing_id", keep: DataFrame | None = None,
+            removals: DataFrame | None = None) -> Extraction:
+    """Pages (filing, cik, period_end, annual, html, and exhibit_no where a filing has several) through the whole pipeline.
 
-    Correction and clean-up run before the mapping, so that what they change is what is saved.
+    Correction and clean-up run before the mapping, so that what they change is what is saved. ``keep`` says which
+    undecided tables are left out; ``removals`` (filing, key, reason) are answers on metrics to be taken out, of which
+    the guards let pass those that harm nothing; a key that is mapped to a concept stays.
     """
-    metrics, found = check(statement_metrics(read_tables(pages), filing), filing)
+    metrics, found = check(statement_metrics(read_tables(pages), filing, keep), filing)
+    if removals is not None:
+        mapped = C.map_metrics(metrics, concepts, filing).select(filing, "key", F.lit(True).alias("protected"))
+        guarded = metrics.join(mapped, [filing, "key"], "left").withColumn("protected", F.coalesce("protected", F.lit(False)))
+        metrics = staged(cleanup.guarded_removal(guarded, removals, filing).drop("protected"), "cleaned")
     return Extraction(metrics, fill(metrics, concepts, filing), found)
 
 

@@ -166,6 +166,27 @@ def statement_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def exhibit_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The statement pages as main exhibits, and two supplements each: one with a segment table that matters, one that
+    does not and a balance sheet, one with a balance sheet alone. (…, exhibit_no)."""
+    main = statement_pages(spark, sf_dir).withColumn("exhibit_no", F.lit(1))
+    f = facts(spark, sf_dir)
+    text = lambda *xs: F.concat(*[x if isinstance(x, Column) else F.lit(x) for x in xs])
+    head = text("<tr><td></td><th>", F.col("fy").cast("string"), "</th><th>", (F.col("fy") - 1).cast("string"), "</th></tr>")
+    row = lambda label, x: text(f"<tr><td>{label}</td><td>", F.format_number(F.floor(x / 1000), 0), "</td><td>1</td></tr>")
+    balance = text("<h2>CONSOLIDATED BALANCE SHEETS</h2><table>", head, row("Total assets", F.col("revenue")), "</table>")
+    second = text(
+        "<html><body><p>Segment results (in thousands)</p><div><table>", head, row("Service charges on accounts", F.col("returned") + 1000),
+        row("Advisory fee revenue", F.col("sm") + 1000), "</table></div>", balance,
+        "<p>Operating segments (in thousands)</p><table>", head, row("Stores of the east", F.col("ga")), "</table></body></html>")
+    third = text("<html><body>", balance, "</body></html>")
+    more = f.select(
+        F.concat_ws("-", "suppkey", "fy").alias("filing_id"), F.col("suppkey").cast("string").alias("cik"),
+        F.make_date("fy", F.lit(12), F.lit(31)).alias("period_end"), F.lit(True).alias("annual"),
+        F.posexplode(F.array(second, third)).alias("pos", "html")).withColumn("exhibit_no", F.col("pos") + 2).drop("pos")
+    return main.unionByName(more)
+
+
 def supplier_concepts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every supplier's concept list."""
     rows = F.array(*[

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import chunks as CH, concepts as C, quality as Q, tables as TB
+from ..operators import chunks as CH, concepts as C, merge as M, quality as Q, tables as TB
 from ..session import spread, work_dir
 from ..sources import html, responses as RS
 from . import extraction as X, inputs as I
@@ -29,32 +29,66 @@ def render_extract(spark, sf_dir):
         "filing_id", "concept_id", (F.floor(F.col("value") * 10000) / 10000).alias("value"), "derived")
 
 
-_VALUES_SQL = f"""{I.FACTS_SQL},
- s AS (SELECT suppkey, fy, CASE WHEN revenue >= 1000000 THEN 1000 ELSE 1 END AS u, * EXCLUDE (suppkey, fy) FROM facts),
- p AS (SELECT suppkey, fy, CAST(revenue // u * u AS DOUBLE) AS c01, CAST(cost // u * u AS DOUBLE) AS c02, CAST(rd // u * u AS DOUBLE) AS c04,
-   CAST(sm // u * u AS DOUBLE) AS c05, CAST(ga // u * u AS DOUBLE) AS c06, CAST(tax // u * u AS DOUBLE) AS c10 FROM s),
- d AS (SELECT *, c01 - c02 AS c03, c01 - c02 - (c04 + c05 + c06) AS c08 FROM p)"""
+@query("two_exhibits", f"""
+WITH {I.FACTS_SQL}, x(k, c, e, t, r) AS (VALUES ('Revenue', 1, 1, 0, 0), ('Cost of Revenue', 2, 1, 0, 1), ('Research and development', 3, 1, 0, 2),
+  ('Sales and marketing', 4, 1, 0, 3), ('General and administrative', 5, 1, 0, 4), ('Income tax expense', 6, 1, 0, 5),
+  ('Weighted average shares outstanding, basic', 7, 1, 0, 6), ('Service charges on accounts', 8, 2, 0, 0), ('Advisory fee revenue', 9, 2, 0, 1)),
+ s AS (SELECT *, CASE WHEN revenue >= 1000000 THEN 1000 ELSE 1 END AS u FROM facts)
+SELECT suppkey || '-' || fy AS filing_id, k AS key, e AS exhibit_no, t AS table_idx, r AS row_idx, CAST(CASE c WHEN 1 THEN revenue // u * u
+  WHEN 2 THEN cost // u * u WHEN 3 THEN rd // u * u WHEN 4 THEN sm // u * u WHEN 5 THEN ga // u * u WHEN 6 THEN tax // u * u
+  WHEN 7 THEN CASE WHEN qty < 100000000 THEN qty * u ELSE qty END WHEN 8 THEN (returned + 1000) // 1000 * 1000
+  ELSE (sm + 1000) // 1000 * 1000 END AS DOUBLE) AS value FROM s, x""")
+def two_exhibits(spark, sf_dir):
+    """Merged metrics of all exhibits, and where in the filing each stood."""
+    merged = M.merge(X.statement_metrics(X.read_tables(I.exhibit_pages(spark, sf_dir))))
+    at = lambda bits, width: F.shiftright("key_ord", bits).bitwiseAND(2**width - 1)
+    return merged.select(
+        "filing_id", "key", (at(52, 10) + 1).alias("exhibit_no"), at(32, 20).alias("table_idx"), at(0, 32).alias("row_idx"),
+        F.col("num_value").alias("value"))
+
+
+@query("exhibit_counts", f"""
+WITH {I.FACTS_SQL} SELECT suppkey || '-' || fy AS filing_id, e AS exhibit_no, t AS table_type, CAST(n AS BIGINT) AS n_tables
+FROM facts, (VALUES (1, 'income_statement', 1), (1, 'non_gaap', 1), (1, 'balance_sheet', 1), (2, 'segment', 2), (2, 'balance_sheet', 1),
+  (3, 'balance_sheet', 1)) x(e, t, n)""")
+def exhibit_counts(spark, sf_dir):
+    return TB.section_counts(X.read_tables(I.exhibit_pages(spark, sf_dir)), "filing_id", "exhibit_no")
 
 
 @query("run_end_to_end", f"""
-WITH {_VALUES_SQL}, v AS (UNPIVOT (SELECT suppkey, fy, c01, c02, c03, c04, c05, c06, c08, c10 FROM d WHERE c01 >= 100000)
-  ON c01, c02, c03, c04, c05, c06, c08, c10 INTO NAME c VALUE value)
-SELECT suppkey || '-' || c AS concept_id, CAST(fy AS INTEGER) AS fiscal_year, value FROM v
-UNION ALL SELECT CAST(suppkey AS VARCHAR), CAST(fy AS INTEGER), -1 FROM d WHERE NOT c01 >= 100000""")
+WITH {I.FACTS_SQL},
+ s AS (SELECT suppkey, fy, CASE WHEN revenue >= 1000000 THEN 1000 ELSE 1 END AS u, * EXCLUDE (suppkey, fy) FROM facts),
+ p AS (SELECT suppkey, fy, CAST(revenue // u * u AS DOUBLE) AS c01, CAST(cost // u * u AS DOUBLE) AS c02, CAST(rd // u * u AS DOUBLE) AS c04,
+   CAST(sm // u * u AS DOUBLE) AS c05, CAST(ga // u * u AS DOUBLE) AS c06, CAST(tax // u * u AS DOUBLE) AS c10,
+   CAST(CASE WHEN qty < 100000000 THEN qty * u ELSE qty END AS DOUBLE) AS c12, CAST((sm + 1000) // 1000 * 1000 AS DOUBLE) AS c15 FROM s),
+ d AS (SELECT *, c01 - c02 AS c03, c01 - c02 - (c04 + c05 + c06) AS c08 FROM p),
+ e AS (SELECT *, c03 - c08 AS c07, c08 AS c09, c08 - c10 AS c11, (c08 - c10) / c12 AS c13, c03 / c01 * 100 AS c14 FROM d),
+ v AS (UNPIVOT (SELECT * FROM e WHERE c01 >= 100000)
+  ON c01, c02, c03, c04, c05, c06, c07, c08, c09, c10, c11, c12, c13, c14, c15 INTO NAME c VALUE value)
+SELECT suppkey || '-' || c AS concept_id, CAST(fy AS INTEGER) AS fiscal_year, floor(value * 10000) / 10000 AS value,
+  c IN ('c03', 'c07', 'c08', 'c09', 'c11', 'c13', 'c14') AS calculated FROM v
+WHERE NOT (c = 'c13' AND abs(value) > 1000) AND NOT (c = 'c14' AND abs(value) > 200)
+UNION ALL SELECT CAST(suppkey AS VARCHAR), CAST(fy AS INTEGER), -1, false FROM e WHERE NOT c01 >= 100000""")
 def run_end_to_end(spark, sf_dir):
-    """Stored values of saved filings, and a row with -1 for each filing that the gate refused."""
-    pages = I.statement_pages(spark, sf_dir)
-    concepts = I.supplier_concepts(spark, sf_dir).withColumn("concept_id", F.concat_ws("-", "cik", "concept_id")).withColumn(
+    """Stored values of saved filings of three exhibits, and a row with -1 for each filing that the gate refused."""
+    pages = I.exhibit_pages(spark, sf_dir)
+    own = I.supplier_concepts(spark, sf_dir)
+    fees = own.filter("concept_id = 'c01'").select(
+        "cik", F.lit("c15").alias("concept_id"), F.lit("x:AdvisoryFees").alias("concept"), F.lit("Advisory fee revenue").alias("label"),
+        F.lit("015").alias("path"), F.lit("x:AdvisoryFees").alias("taxonomy_key"), F.struct(F.lit("015").alias("path"), F.lit("c15").alias("concept_id")).alias("concept_ord"))
+    concepts = own.unionByName(fees).withColumn("concept_id", F.concat_ws("-", "cik", "concept_id")).withColumn(
         "concept_ord", F.struct("path", "concept_id"))
-    filings = pages.select(
+    filings = pages.filter("exhibit_no = 1").select(
         "filing_id", "cik", F.lit("Co").alias("company_name"), F.lit(12).alias("fye_month"), F.lit("1231").alias("fye_code"),
         F.lit("").alias("period_text"), F.col("period_end").alias("report_date"), F.lit("annual").alias("period_override"),
         F.lit("2024-01-01").cast("timestamp").alias("loaded_at"))
     path = work_dir(spark, "values")
     gated = X.save(spark, X.extract(pages, concepts), filings, path)
-    stored = spark.read.parquet(path).filter(F.col("concept_id").rlike("-c(01|02|03|04|05|06|08|10)$"))
-    refused = gated.filter("not saved").select(F.col("cik").alias("concept_id"), F.year("report_date").alias("fiscal_year"), F.lit(-1.0).alias("value"))
-    return stored.select("concept_id", F.col("fiscal_year").cast("int").alias("fiscal_year"), "value").unionByName(refused)
+    stored = spark.read.parquet(path).select(
+        "concept_id", F.col("fiscal_year").cast("int").alias("fiscal_year"), (F.floor(F.col("value") * 10000) / 10000).alias("value"), "calculated")
+    refused = gated.filter("not saved").select(
+        F.col("cik").alias("concept_id"), F.year("report_date").alias("fiscal_year"), F.lit(-1.0).alias("value"), F.lit(False).alias("calculated"))
+    return stored.unionByName(refused)
 
 
 @query("statement_rows", f"""

@@ -113,3 +113,30 @@ def test_resolve_gives_what_roll_up_and_rules_give_apart(spark):
     rows = lambda df: sorted((r["filing_id"], r["concept_id"], round(r["value"], 6), r["derived"]) for r in df.collect())
     together = rows(D.resolve(v, D.company_trees(lists)))
     assert together == rows(apart) and any(r[3] for r in together)
+
+
+def test_keep_flags_over_exhibits(spark):
+    """An undecided table that an answer drops is not read, unless the filing would be left without any."""
+    cells = "<table><tr><td></td><td>2026</td></tr><tr><td>{0}</td><td>1,500</td></tr></table>"
+    income, other = "<p>Consolidated Statements of Income</p>" + cells.format("Revenue"), "<p>Key data</p>" + cells.format("Sales of tools")
+    rows = [("a", 1, income + other), ("a", 2, other), ("b", 1, other), ("b", 2, "<p>Segment</p>" + cells.format("Stores")),
+            ("c", 1, other + "<p>More data</p>" + cells.format("Boats")), ("d", 1, other), ("d", 2, income)]
+    pages = spark.createDataFrame([(f, e, "x", date(2026, 12, 31), True, h) for f, e, h in rows],
+                                  "filing_id string, exhibit_no int, cik string, period_end date, annual boolean, html string")
+    tables = X.read_tables(pages)
+    keys = lambda keep: {(r.filing_id, r.key) for r in X.statement_metrics(tables, keep=keep).collect()}
+    assert keys(None) == {("a", "Revenue"), ("a", "Sales of tools"), ("b", "Sales of tools"), ("c", "Sales of tools"), ("c", "Boats"),
+                          ("d", "Sales of tools"), ("d", "Revenue")}
+    keep = spark.createDataFrame([("a", 1, 1, False), ("b", 1, 0, False), ("c", 1, 0, False), ("d", 1, 0, False)],
+                                 "filing_id string, exhibit_no int, table_idx int, keep boolean")
+    assert keys(keep) == {("a", "Revenue"), ("b", "Sales of tools"), ("c", "Boats"), ("d", "Revenue")}
+
+
+def test_removals_of_answers_in_the_run(spark):
+    page = ("<p>Consolidated Statements of Income (in thousands)</p><table><tr><td></td><td>2026</td></tr><tr><td>Revenue</td><td>90,000</td></tr>"
+            "<tr><td>Extra line</td><td>7</td></tr><tr><td>Net income</td><td>900</td></tr></table>")
+    pages = spark.createDataFrame([("f", "x", date(2026, 12, 31), True, page)], "filing_id string, cik string, period_end date, annual boolean, html string")
+    own = spark.createDataFrame([("x", "c1", "k:R", "Revenue", "1", "k:R")], "cik string, concept_id string, concept string, label string, path string, taxonomy_key string")
+    own = own.withColumn("concept_ord", F.struct("path", "concept_id"))
+    removals = spark.createDataFrame([("f", "Extra line", "rule A"), ("f", "Revenue", "rule A")], "filing_id string, key string, reason string")
+    assert {r["key"] for r in X.extract(pages, own, removals=removals).metrics.collect()} == {"Revenue", "Net income"}
