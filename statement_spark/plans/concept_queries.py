@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import roles
-from ..operators import concepts as C, derive as D, history as H, reports as R
+from ..operators import concepts as C, label_search as LS, derive as D, history as H, reports as R
 from . import inputs as I
 from .catalogue import query
 
@@ -291,3 +291,35 @@ def insertion_summary(spark, sf_dir):
     done = values.select("filing_id", "concept_id", "value", F.lit(False).alias("derived")).unionByName(derived)
     return R.insertion_lines(concepts, done).filter(
         "concept_id in ('c01', 'c02', 'c03', 'c08', 'c15')").select("filing_id", "label", "grp")
+
+
+# label looked for, text around the figure N (and M, twice N), how it is found, and which number of it counts; null where none is to be found
+_SAID = [
+    ("Gross profit", "The year brought a Gross&nbsp;profit of $N, after M before.", 0, "N"),
+    ("Gross profit", "<p>In short</p>\nGross profit | $ M | N\nOther 5,000", 0, "N"),
+    ("Interest Expense, Deposits", "Deposits rose. Interest expense\nLoans 7,000\nDeposits N\n", 1, "N"),
+    ("Interest Expense, Trading Liabilities", "Interest expense:\nTrading account liabilities M\nBorrowings 9,000", 2, "M"),
+    ("Deposits held", "Consolidated Balance Sheets\nDeposits held N\n", 0, None),
+    ("Deposits held", "Deposits held N\nTotal assets M", 0, None),
+    ("Gross profit", "Gross profit grew since 2019 by much.", 0, None),
+    ("Interest Expense, Deposits", "Interest expense " + "and so on " * 70 + "\nDeposits N", 1, None),
+    ("Service fees", "Service feesN were N units; the Service fees came to M in all.", 0, "M"),
+    ("Gross profit", "Gross profit 2019\nlater Gross profit N", 0, None),
+    ("Gross profit", "Gross profitable N and profit, gross N", 0, None),
+]
+
+
+@query("label_search", f"""
+WITH {I.FACTS_SQL}, x(i, how, twice) AS (VALUES {", ".join(f"({i}, {how}, {n == 'M'})" for i, (_, _, how, n) in enumerate(_SAID) if n)}),
+ s AS (SELECT suppkey || '-' || fy AS filing_id, revenue AS n, suppkey % {len(_SAID)} AS i FROM facts)
+SELECT filing_id, 'c' || s.i AS concept_id, CAST(CASE WHEN twice THEN 2 * n ELSE n END AS DOUBLE) AS value, how FROM s JOIN x USING (i)""")
+def label_search(spark, sf_dir):
+    """Concepts found in prose, by label, by child behind the parent, by most words; guards keep the rest out."""
+    f = I.facts(spark, sf_dir).withColumn("i", (F.col("suppkey") % len(_SAID)).cast("int"))
+    filing, figure = F.concat_ws("-", "suppkey", "fy").alias("filing_id"), lambda x: F.format_number(x, 0)
+    pick = lambda k: F.element_at(F.array(*[F.lit(row[k]) for row in _SAID]), F.col("i") + 1)
+    marked = F.regexp_replace(F.regexp_replace(F.replace(pick(1), F.lit("&nbsp;"), F.lit("\u00a0")), r"N(?![a-z])", "\u0001"), r"M(?![a-z])", "\u0002")
+    text = F.replace(F.replace(marked, F.lit("\u0001"), figure(F.col("revenue"))), F.lit("\u0002"), figure(2 * F.col("revenue")))
+    texts = f.select(filing, text.alias("raw_text"))
+    missing = f.select(filing, F.concat(F.lit("c"), F.col("i").cast("string")).alias("concept_id"), pick(0).alias("label"), F.lit(False).alias("is_segment"))
+    return LS.search(missing, texts).select("filing_id", "concept_id", "value", "how")

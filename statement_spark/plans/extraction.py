@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import numbers, text as T
 from ..session import staged
-from ..operators import cleanup, concepts as C, derive as D, merge as M, quality as Q, tables as TB
+from ..operators import cleanup, concepts as C, derive as D, label_search as LS, merge as M, quality as Q, tables as TB
 from ..sources import html, responses as RS, sinks
 
 
@@ -82,26 +82,33 @@ def check(rows: DataFrame, filing: str = "filing_id") -> tuple[DataFrame, DataFr
 
 def fill(metrics: DataFrame, concepts: DataFrame, filing: str = "filing_id",
          semantic: DataFrame | None = None, role_answers: DataFrame | None = None,
-         scan: DataFrame | None = None) -> DataFrame:
+         scan: DataFrame | None = None, texts: DataFrame | None = None) -> DataFrame:
     """(filing, concept_id, value, derived): mapped metrics, roll-ups and derived values.
 
     Optional inputs fill more: ``semantic`` answers (filing, resp_ord, concept_id, key),
-    ``role_answers`` (cik, label, role), and ``scan``, the statement rows (filing, table_idx,
-    row_idx, key, value) in which concepts without a metric are looked for.
+    ``role_answers`` (cik, label, role), ``scan``, the statement rows (filing, table_idx,
+    row_idx, key, value) in which concepts without a metric are looked for, and ``texts`` (filing, raw_text), in which
+    those are looked for that are still without a value.
     """
     owner = metrics.select(filing, "cik").distinct()
     known = C.with_roles(concepts, role_answers).select(
         "cik", "concept_id", "concept_ord", "path", "label", "taxonomy_key", "role")
     mapped = C.map_metrics(metrics, concepts, filing).select(filing, "concept_id", "key", "value", "tier", "key_ord")
+
     if semantic is not None:
         asked = C.semantic_candidates(C.unmapped(owner.join(known, "cik"), mapped, filing))
         mapped = staged(C.apply_semantic_map(mapped, semantic, metrics, asked, filing), "semantic")
+    def missing() -> DataFrame:
+        return C.unmapped(owner.join(known, "cik"), mapped, filing)
+
+    def added(found: DataFrame, tier: int) -> DataFrame:
+        return staged(mapped.unionByName(found.select(
+            filing, "concept_id", F.lit(None).cast("string").alias("key"), "value", F.lit(tier).alias("tier"), F.lit(2**62).alias("key_ord"))), "added")
+
     if scan is not None:
-        missing = C.unmapped(owner.join(known, "cik"), mapped, filing)
-        found = C.scan_rows(missing, C.parent_rows(scan, filing), filing)
-        mapped = mapped.unionByName(found.select(
-            filing, "concept_id", F.lit(None).cast("string").alias("key"), "value",
-            F.lit(4).alias("tier"), F.lit(2**62).alias("key_ord")))
+        mapped = added(C.scan_rows(missing(), C.parent_rows(scan, filing), filing), 4)
+    if texts is not None:
+        mapped = added(LS.search(missing(), texts, filing), 5)
     values = mapped.select(filing, "concept_id", F.col("value").cast("double").alias("value"), "key_ord").join(owner, filing)
     return D.resolve(values, D.company_trees(known), filing)
 
@@ -129,19 +136,37 @@ def extract_from_responses(responses: DataFrame, concepts: DataFrame, **more: Da
 
 
 def extract(pages: DataFrame, concepts: DataFrame, filing: str = "filing_id", keep: DataFrame | None = None,
-            removals: DataFrame | None = None) -> Extraction:
+            removals: DataFrame | None = None, **more: DataFrame) -> Extraction:
     """Pages (filing, cik, period_end, annual, html, and exhibit_no where a filing has several) through the whole pipeline.
 
     Correction and clean-up run before the mapping, so that what they change is what is saved. ``keep`` says which
     undecided tables are left out; ``removals`` (filing, key, reason) are answers on metrics to be taken out, of which
-    the guards let pass those that harm nothing; a key that is mapped to a concept stays.
+    the guards let pass those that harm nothing; a key that is mapped to a concept stays. ``more`` as in ``fill``.
     """
     metrics, found = check(statement_metrics(read_tables(pages), filing, keep), filing)
     if removals is not None:
         mapped = C.map_metrics(metrics, concepts, filing).select(filing, "key", F.lit(True).alias("protected"))
         guarded = metrics.join(mapped, [filing, "key"], "left").withColumn("protected", F.coalesce("protected", F.lit(False)))
         metrics = staged(cleanup.guarded_removal(guarded, removals, filing).drop("protected"), "cleaned")
-    return Extraction(metrics, fill(metrics, concepts, filing), found)
+    return Extraction(metrics, fill(metrics, concepts, filing, **more), found)
+
+
+def scanned_rows(tables: DataFrame, filing: str = "filing_id") -> DataFrame:
+    """All labelled rows of the tables that go to extraction, with or without a value: what ``fill`` scans. ``n_values``
+    is a row's number of cells."""
+    rows = TB.read_rows(shaped_tables(tables, filing), F.col("period_end"), F.col("annual"))
+    return rows.select(
+        filing, TB.table_key(F.col("exhibit_no"), F.col("table_idx")).alias("table_idx"), "row_idx", "key",
+        (F.col("raw_value") * T.scale_factor(F.col("scale"))).alias("value"), F.col("n_cells").alias("n_values"))
+
+
+def exhibit_texts(pages: DataFrame, filing: str = "filing_id") -> DataFrame:
+    """(filing, raw_text): the prose of a filing's exhibits in order, one line per text node."""
+    if "exhibit_no" not in pages.columns:
+        pages = pages.withColumn("exhibit_no", F.lit(1))
+    prose = html.page_segments(pages).select(filing, "exhibit_no", html.prose(F.col("segments")).alias("prose"))
+    return prose.groupBy(filing).agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("exhibit_no", "prose"))), lambda x: x["prose"]), "\n").alias("raw_text"))
 
 
 def save(spark: SparkSession, out: Extraction, filings: DataFrame, path: str, strict: bool = True,
