@@ -3,9 +3,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-
 from ..operators import merge as M
-from ..session import spread
+from ..session import spread, work_dir
 from ..sources import responses as RS
 from . import inputs as I
 from .catalogue import query
@@ -187,6 +186,47 @@ def unanswered_prompts(spark, sf_dir):
     return RS.unanswered(d, d.filter("n_chars < 2000").select("prompt_sha")).select("doc_id", "prompt_sha")
 
 
+@query("model_answers", """
+WITH p AS (SELECT DISTINCT o_custkey % 1000 AS k FROM orders),
+ s AS (SELECT sha256('tag' || chr(10) || 'order ' || k) AS prompt_sha, k,
+   CASE WHEN k % 7 = 0 THEN 'raises' WHEN k % 5 = 0 THEN 'never' WHEN k % 3 = 0 THEN 'late' WHEN k % 11 = 0 THEN 'flaky' ELSE 'good' END AS kind FROM p)
+SELECT prompt_sha, CASE kind WHEN 'raises' THEN 'ok' WHEN 'never' THEN 'failed' WHEN 'late' THEN 'retried' WHEN 'flaky' THEN 'retried' ELSE 'ok' END AS status,
+  CASE kind WHEN 'good' THEN 1 WHEN 'raises' THEN 1 ELSE 2 END AS tries,
+  CASE kind WHEN 'never' THEN 'no JSON object' END AS error, CASE WHEN kind IN ('raises', 'never') THEN 2 ELSE 1 END AS run,
+  CASE kind WHEN 'never' THEN 'sorry' ELSE '{"n": ' || k || '}' END AS text FROM s""")
+def model_answers(spark, sf_dir):
+    """Two runs: the first meets a model that raises on some prompts, the second sends what is still unanswered."""
+    o = I.table(spark, sf_dir, "orders").select(F.concat(F.lit("order "), (F.col("o_custkey") % 1000).cast("string")).alias("prompt"))
+    prompts = o.withColumn("prompt_sha", RS.prompt_key(F.lit("tag"), F.col("prompt")))
+
+    def session(down: bool):
+        def open_session():
+            seen = set()
+
+            def call(prompt):
+                k = int(prompt.split("\n")[0].split()[1])
+                first = k not in seen
+                seen.add(k)
+                if k % 7 == 0:
+                    if down:
+                        raise ConnectionError("the model is down")
+                elif k % 5 == 0:
+                    return "sorry"
+                elif k % 3 == 0 and "ONLY" not in prompt:
+                    return "here you are"
+                elif k % 3 and k % 11 == 0 and first:
+                    raise TimeoutError
+                return f'{{"n": {k}}}'
+
+            return call
+
+        return open_session
+
+    path = work_dir(spark, "answers")
+    RS.answer_prompts(prompts, path, 1, open_session=session(True))
+    return RS.answer_prompts(prompts, path, 2, open_session=session(False))
+
+
 @query("valid_messages", "SELECT o_orderkey, 'T' || o_custkey AS ticker FROM orders WHERE o_orderstatus IN ('F', 'O') AND o_orderpriority <> '5-LOW'")
 def valid_messages(spark, sf_dir):
     o = I.table(spark, sf_dir, "orders")

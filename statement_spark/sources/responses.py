@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import numbers, patterns as P, text as T
 
@@ -130,34 +130,86 @@ def unanswered(prompts: DataFrame, responses: DataFrame) -> DataFrame:
     return prompts.join(responses.select("prompt_sha"), "prompt_sha", "left_anti")
 
 
-def call_model(prompts: DataFrame, call: Callable[[str], str]) -> DataFrame:
-    """Answer prompts inside tasks with an injected function, one stricter retry on bad JSON."""
+ANSWER_ROW = "prompt_sha string, text string, status string, tries int, error string"
+STRICTER = "\n\nReturn ONLY a valid JSON object. No markdown, no commentary."
+ERROR_CHARS = 500
+
+
+def json_object(text: str | None) -> dict | None:
+    """The object between the first and the last brace, or none: the parser a caller may replace."""
     import json
 
-    strict = "\n\nReturn ONLY a valid JSON object. No markdown, no commentary."
+    try:
+        start, end = (text or "").index("{"), (text or "").rindex("}")
+        found = json.loads(text[start:end + 1])
+    except ValueError:
+        return None
+    return found if isinstance(found, dict) else None
+
+
+def call_model(prompts: DataFrame, call: Callable[[str], str] | None = None, open_session: Callable[[], Callable[[str], str]] | None = None,
+               tries: int = 2, parse: Callable[[str], object] = json_object, wait: float = 0.0) -> DataFrame:
+    """(prompt_sha, text, status, tries, error) of prompts answered inside tasks by an injected function.
 
-    def usable(text: str | None) -> bool:
-        try:
-            start, end = (text or "").index("{"), (text or "").rindex("}")
-            return isinstance(json.loads(text[start:end + 1]), dict)
-        except ValueError:
-            return False
+    ``open_session`` makes the function once per task, where a client or a connection belongs to it. An answer that
+    ``parse`` makes nothing of is asked for again with a stricter ending; a call that raises is repeated after ``wait``
+    seconds, longer each time. After ``tries`` calls the prompt is ``failed``: a row with the last error, never a failed
+    task. ``ok`` is an answer at once, ``retried`` a later one.
+    """
+    import time
+
+    if (call is None) == (open_session is None):
+        raise ValueError("either a function or what opens a session")
 
     def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        session, refused = call, None
+        if open_session is not None:
+            try:
+                session = open_session()
+            except Exception as e:  # without a session no prompt of the task has an answer
+                refused = e
+
+        def one(prompt: str) -> tuple[str | None, str, int, str | None]:
+            text, error, stricter = None, None, False
+            for n in range(1, tries + 1):
+                try:
+                    if refused is not None:
+                        raise refused
+                    text = session(prompt + STRICTER if stricter else prompt)
+                    if parse(text) is not None:
+                        return text, "ok" if n == 1 else "retried", n, None
+                    error, stricter = "no JSON object", True
+                except Exception as e:
+                    error = f"{type(e).__name__}: {e}"[:ERROR_CHARS]
+                    if wait and n < tries:
+                        time.sleep(wait * 2 ** (n - 1))
+            return text, "failed", tries, error
+
         for b in batches:
-            texts, status = [], []
-            for prompt in b["prompt"]:
-                out = call(prompt)
-                first = usable(out)
-                if not first:
-                    out = call(prompt + strict)
-                texts.append(out)
-                status.append("ok" if first else "retried" if usable(out) else "failed")
-            yield pd.DataFrame({"prompt_sha": b["prompt_sha"], "text": texts, "status": status})
-
-    return prompts.select("prompt_sha", "prompt").mapInPandas(
-        answer, "prompt_sha string, text string, status string"
-    )
+            rows = [(sha, *one(prompt)) for sha, prompt in zip(b["prompt_sha"], b["prompt"])]
+            yield pd.DataFrame(rows, columns=["prompt_sha", "text", "status", "tries", "error"]).astype({"tries": "int32"})
+
+    return prompts.select("prompt_sha", "prompt").mapInPandas(answer, ANSWER_ROW)
+
+
+def stored_answers(spark: SparkSession, path: str) -> DataFrame:
+    """The newest answer to each prompt at ``path``; none before the first run."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], f"{ANSWER_ROW}, run int")
+    rows = spark.read.schema(f"{ANSWER_ROW}, run int").parquet(path)
+    rest = [c for c in rows.columns if c != "prompt_sha"]
+    return rows.groupBy("prompt_sha").agg(F.max_by(F.struct(*rest), "run").alias("r")).select("prompt_sha", "r.*")
+
+
+def answer_prompts(prompts: DataFrame, path: str, run: int, tries: int = 2, **how) -> DataFrame:
+    """Answers to ``prompts`` (prompt_sha, prompt), stored at ``path`` by prompt key; only those are sent that no earlier run
+    answered, each once. A run that is repeated under its number replaces what it stored."""
+    spark = prompts.sparkSession
+    before = stored_answers(spark, path).filter((F.col("run") < run) & (F.col("status") != "failed"))
+    todo = unanswered(prompts.select("prompt_sha", "prompt").dropDuplicates(["prompt_sha"]), before)
+    call_model(todo, tries=tries, **how).write.mode("overwrite").parquet(f"{path.rstrip('/')}/run={run}")
+    return stored_answers(spark, path).join(prompts.select("prompt_sha").distinct(), "prompt_sha", "left_semi")
 
 
 def parse_message(text: Column) -> Column:

@@ -201,6 +201,23 @@ def test_call_model_retries_once(spark):
     assert got == {"a": "ok", "b": "retried", "c": "failed"}
 
 
+def test_a_raising_model_gives_rows_and_a_rerun_sends_the_rest(spark, tmp_path):
+    prompts = spark.createDataFrame([("a", "one"), ("a", "one"), ("b", "two"), ("c", None)], "prompt_sha string, prompt string")
+
+    def down():
+        raise OSError("no route")
+
+    path = str(tmp_path / "answers")
+    first = {r.prompt_sha: (r.status, r.tries, r.error) for r in RS.answer_prompts(prompts, path, 1, tries=3, open_session=down).collect()}
+    assert first == {k: ("failed", 3, "OSError: no route") for k in "abc"}
+    second = {r.prompt_sha: (r.status, r.text) for r in RS.answer_prompts(prompts, path, 2, call=lambda p: f'{{"p": "{p.upper()}"}}').collect()}
+    assert second == {"a": ("ok", '{"p": "ONE"}'), "b": ("ok", '{"p": "TWO"}'), "c": ("failed", None)}
+    third = RS.answer_prompts(prompts, path, 3, call=lambda p: "{}", parse=lambda text: text).collect()
+    assert {r.prompt_sha: r.run for r in third} == {"a": 2, "b": 2, "c": 3}
+    again = RS.answer_prompts(prompts.filter("prompt_sha = 'c'"), path, 3, call=lambda p: "{}", parse=lambda text: text).collect()
+    assert [r.run for r in again] == [3] and spark.read.parquet(path).filter("run = 3").count() == 1
+
+
 def test_retry_decisions(spark):
     att = spark.createDataFrame([("f", i) for i in (1, 2, 3)] + [("g", 1)], "filing_id string, attempt int")
     found = spark.createDataFrame([("f", 1, "high", "m"), ("f", 2, "high", "m"), ("f", 3, "high", "n")],
