@@ -206,12 +206,14 @@ def model_calls(spark, sf_dir):
 
 def _loads(spark, sf_dir):
     """Two overlapping loads of yearly values; the second one restates what urgent orders hold."""
-    v = I.stored_values(spark, sf_dir).filter("concept_id = 'revenue'")
+    v = I.stored_values(spark, sf_dir)
     filings = v.select(
-        F.concat_ws("-", "cik", "period_type", "end_date").alias("filing_id"), F.col("cik").cast("string").alias("cik"),
+        F.concat_ws("-", "cik", "period_type", "end_date", "concept_id").alias("filing_id"), F.col("cik").cast("string").alias("cik"),
+        F.concat_ws(" ", "cik", "concept_id").alias("concept_id"),
         F.lit("Co").alias("company_name"), F.lit(12).alias("fye_month"), F.lit("1231").alias("fye_code"),
         F.lit("").alias("period_text"), F.col("end_date").alias("report_date"), F.col("period_type").alias("period_override"), "value")
-    values = filings.select("filing_id", F.col("cik").alias("concept_id"), "value", F.lit(False).alias("derived"))
+    values = filings.select("filing_id", "concept_id", "value", F.lit(False).alias("derived"))
+    filings = filings.drop("concept_id")
     first = S.value_rows(values, filings.drop("value").withColumn("loaded_at", F.lit("2024-01-01").cast("timestamp")))
     again = S.value_rows(values.filter("value % 2 = 0").withColumn("value", F.col("value") + 1),
                          filings.drop("value").withColumn("loaded_at", F.lit("2024-02-01").cast("timestamp")))
@@ -219,20 +221,23 @@ def _loads(spark, sf_dir):
 
 
 @query("upsert_values", f"""WITH {I.STORED_SQL}
-SELECT CAST(cik AS VARCHAR) AS concept_id, period_type, fiscal_year, coalesce(quarter, 0) AS quarter,
-  CASE WHEN CAST(value AS BIGINT) % 2 = 0 THEN value + 1 ELSE value END AS value FROM stored WHERE concept_id = 'revenue'""")
+SELECT cik || ' ' || concept_id AS concept_id, period_type, fiscal_year, coalesce(quarter, 0) AS quarter, CAST(cik AS VARCHAR) AS cik,
+  CAST(end_date AS VARCHAR) AS end_date, CASE WHEN period_type = 'annual' THEN '10-K' ELSE '10-Q' END AS form_type,
+  CASE WHEN CAST(value AS BIGINT) % 2 = 0 THEN value + 1 ELSE value END AS value,
+  CASE WHEN CAST(value AS BIGINT) % 2 = 0 THEN 2 ELSE 1 END AS loaded FROM stored""")
 def upsert_values(spark, sf_dir):
     first, again = _loads(spark, sf_dir)
     path = work_dir(spark, "values")
     S.upsert_values(spark, first, path)
     S.upsert_values(spark, again, path)
     return spark.read.schema(first.schema).parquet(path).select(
-        "concept_id", "period_type", "fiscal_year", F.coalesce("quarter", F.lit(0)).alias("quarter"), "value")
+        "concept_id", "period_type", "fiscal_year", F.coalesce("quarter", F.lit(0)).alias("quarter"), "cik",
+        F.col("end_date").cast("string").alias("end_date"), "form_type", "value", F.month("created_at").alias("loaded"))
 
 
 @query("delete_period", f"""WITH {I.STORED_SQL}
-SELECT CAST(cik AS VARCHAR) AS concept_id, period_type, fiscal_year, coalesce(quarter, 0) AS quarter FROM stored
-WHERE concept_id = 'revenue' AND NOT (period_type = 'quarterly' AND quarter = 2) AND NOT (period_type = 'annual' AND fiscal_year = 1999)""")
+SELECT cik || ' ' || concept_id AS concept_id, period_type, fiscal_year, coalesce(quarter, 0) AS quarter, value FROM stored
+WHERE NOT (period_type = 'quarterly' AND quarter = 2) AND NOT (period_type = 'annual' AND fiscal_year = 1999)""")
 def delete_period(spark, sf_dir):
     first, _ = _loads(spark, sf_dir)
     path = work_dir(spark, "values")
@@ -241,7 +246,7 @@ def delete_period(spark, sf_dir):
         "cik", "period_type", "fiscal_year", "quarter")
     S.delete_periods(spark, gone, path, first.schema)
     return spark.read.schema(first.schema).parquet(path).select(
-        "concept_id", "period_type", "fiscal_year", F.coalesce("quarter", F.lit(0)).alias("quarter"))
+        "concept_id", "period_type", "fiscal_year", F.coalesce("quarter", F.lit(0)).alias("quarter"), "value")
 
 
 @query("upsert_runs", f"""WITH {_RUNS_SQL}

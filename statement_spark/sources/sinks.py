@@ -1,12 +1,16 @@
 """Value, run and status tables on partitioned parquet: upsert, delete, save gate.
 
-Parquet has no MERGE, so a change rewrites the partitions it touches, which are buckets of a year or of the run
-table. A load is written twice: as it comes, which ends its lineage, and merged, by dynamic partition overwrite, which
+Parquet has no MERGE, so a change rewrites the partitions it touches: buckets of companies within a year, or of the run
+table, so that a load of few companies rewrites few buckets. How many buckets a table has is settled by its first load, from
+its rows, and kept next to it; ``rebucket`` moves a table that has outgrown them to a new place. A load is written twice:
+as it comes, which ends its lineage, and merged, by dynamic partition overwrite, which
 puts new files in place once all are written. A table has one writer at a time. Rows that lack a partition value can't
-be found again by it; they go to the table's rejects, next to it.
+be found again by it; they go to the table's rejects, next to it, in a folder of the load's own, which a repeated load replaces.
 """
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType, TimestampType
 
@@ -15,9 +19,7 @@ from ..session import small, staged
 
 VALUE_KEY = ["concept_id", "end_date", "form_type", "quarter"]
 VALUE_PARTITIONS = ["period_type", "fiscal_year", "bucket"]
-VALUE_BUCKETS = 16
-RUN_BUCKETS = 64
-KEY_BUCKETS = 64
+ROWS_PER_BUCKET = 200_000
 
 
 def value_rows(values: DataFrame, filings: DataFrame, filing: str = "filing_id") -> DataFrame:
@@ -53,14 +55,47 @@ def bucket(key: str, buckets: int) -> Column:
 
 def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The stored rows; none before the first load."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+    if not _exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path)
 
 
+def _side(path: str, name: str) -> str:
+    return f"{path.rstrip('/')}_{name}"
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def bucket_count(spark: SparkSession, path: str, rows: DataFrame | None = None, by: list[str] | None = None,
+                 rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
+    """The table's number of buckets (one if there is no table). With ``rows`` a table without a number gets one, so
+    that the largest of the groups ``by`` falls into buckets of ``rows_per_bucket``."""
+    side = _side(path, "buckets")
+    if _exists(spark, side):
+        return spark.read.schema("n int").parquet(side).first()["n"]
+    if rows is None:
+        return 1
+    largest = rows.groupBy(*(by or [])).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    return _set_bucket_count(spark, path, max(1, -(-largest // rows_per_bucket)))
+
+
+def _set_bucket_count(spark: SparkSession, path: str, n: int) -> int:
+    spark.createDataFrame([(n,)], "n int").coalesce(1).write.mode("overwrite").parquet(_side(path, "buckets"))
+    return n
+
+
+def rebucket(spark: SparkSession, path: str, to: str, key: str, partitions: list[str], n: int) -> None:
+    """Copy the table to an empty place with another number of buckets; the caller switches over and drops the old one."""
+    rows = spark.read.parquet(path).withColumn("bucket", bucket(key, n))
+    _set_bucket_count(spark, to, n)
+    _replace(rows, to, partitions)
+
+
 def rejects_path(path: str) -> str:
-    return f"{path.rstrip('/')}_rejects"
+    return _side(path, "rejects")
 
 
 def _replace(rows: DataFrame, path: str, partitions: list[str]) -> None:
@@ -84,16 +119,19 @@ def _touched(current: DataFrame, rows: DataFrame, partitions: list[str]) -> Data
     return current.join(small(parts.filter(F.col(partitions[-1]) >= 0)), partitions, "left_semi")
 
 
-def upsert(spark: SparkSession, rows: DataFrame, path: str, keys: list[str], partitions: list[str],
-           order: str = "created_at") -> None:
-    """Insert rows or replace those with the same key. Of equal keys the newest stays."""
+def upsert(spark: SparkSession, rows: DataFrame, path: str, keys: list[str], partitions: list[str], by: str,
+           order: str = "created_at", load: str | int | None = None) -> None:
+    """Insert rows or replace those with the same key. Of equal keys the newest stays. ``by`` deals rows to buckets;
+    ``load`` names the load, such as a stream's batch, for its rejects."""
     rows = staged(rows, "incoming")
+    n = bucket_count(spark, path, rows, [p for p in partitions if p != "bucket"])
+    rows = rows.withColumn("bucket", bucket(by, n))
     lacking = F.lit(False)
     for p in partitions:
         lacking = lacking | F.col(p).isNull()
     refused = rows.filter(lacking)
     if not refused.isEmpty():
-        refused.write.mode("append").parquet(rejects_path(path))
+        refused.write.mode("overwrite").parquet(f"{rejects_path(path)}/load={uuid.uuid4().hex if load is None else load}")
     rows = rows.filter(~lacking)
     current = _touched(_read(spark, path, rows.schema), rows, partitions)
     merged = newest(
@@ -103,14 +141,14 @@ def upsert(spark: SparkSession, rows: DataFrame, path: str, keys: list[str], par
     _replace(merged, path, partitions)
 
 
-def upsert_values(spark: SparkSession, rows: DataFrame, path: str) -> None:
-    upsert(spark, rows.withColumn("bucket", bucket("concept_id", VALUE_BUCKETS)), path, VALUE_KEY, VALUE_PARTITIONS)
+def upsert_values(spark: SparkSession, rows: DataFrame, path: str, load: str | int | None = None) -> None:
+    upsert(spark, rows, path, VALUE_KEY, VALUE_PARTITIONS, "cik", load=load)
 
 
 def delete_periods(spark: SparkSession, periods: DataFrame, path: str, schema: StructType) -> int:
     """Delete the values of (cik, period_type, fiscal_year, quarter) periods; returns how many.
 
-    Every touched partition is rewritten; its rows are marked, counted in one pass, and left out. A partition that
+    Only buckets of these companies are opened. Every touched partition is rewritten; its rows are marked, counted in one pass, and left out. A partition that
     lost all rows loses its folder, as the rows' files name it.
     """
     whole = schema if "bucket" in schema.names else StructType([*schema.fields, StructField("bucket", IntegerType())])
@@ -118,7 +156,8 @@ def delete_periods(spark: SparkSession, periods: DataFrame, path: str, schema: S
     by = ["period_type", "fiscal_year"]
     known = periods.filter("period_type is not null and fiscal_year is not null")
     placed = stored.withColumn("folder", F.regexp_extract(F.input_file_name(), "^(.*)/[^/]*$", 1))
-    touched = _touched(placed, known, by)
+    here = known.withColumn("bucket", bucket("cik", bucket_count(spark, path)))
+    touched = _touched(placed, here, VALUE_PARTITIONS)
     p = known.select("cik", *by, "quarter", F.lit(True).alias("doomed")).distinct().alias("p")
     t = touched.alias("t")
     same = F.col("t.cik").eqNullSafe(F.col("p.cik")) & F.col("t.quarter").eqNullSafe(F.col("p.quarter"))
@@ -146,20 +185,19 @@ def upsert_runs(spark: SparkSession, runs: DataFrame, path: str) -> None:
     """Insert or replace run documents by ``_id`` with the time of writing; a missing id fails."""
     checked = runs.withColumn("_id", F.when(F.col("_id").isNull(), F.raise_error(
         F.lit("run document without _id"))).otherwise(F.col("_id")))
-    stamped = checked.withColumn("scraped_at", F.current_timestamp()).withColumn("bucket", bucket("_id", RUN_BUCKETS))
-    upsert(spark, stamped, path, ["_id"], ["bucket"], "scraped_at")
+    upsert(spark, checked.withColumn("scraped_at", F.current_timestamp()), path, ["_id"], ["bucket"], "_id", "scraped_at")
 
 
 def remember_keys(spark: SparkSession, keys: DataFrame, path: str, key: str) -> None:
     """Note the keys in a slim table of one row per key."""
     rows = keys.select(key).filter(F.col(key).isNotNull()).distinct()
-    upsert(spark, rows.withColumn("created_at", F.current_timestamp()).withColumn("bucket", bucket(key, KEY_BUCKETS)), path, [key], ["bucket"])
+    upsert(spark, rows.withColumn("created_at", F.current_timestamp()), path, [key], ["bucket"], key)
 
 
 def known_keys(spark: SparkSession, wanted: DataFrame, path: str, key: str) -> DataFrame:
     """The noted rows in the buckets of the ``wanted`` keys."""
     schema = StructType([wanted.schema[key], StructField("created_at", TimestampType()), StructField("bucket", IntegerType())])
-    return _touched(_read(spark, path, schema), wanted.select(bucket(key, KEY_BUCKETS).alias("bucket")), ["bucket"])
+    return _touched(_read(spark, path, schema), wanted.select(bucket(key, bucket_count(spark, path)).alias("bucket")), ["bucket"])
 
 
 def find_run(runs: DataFrame, ticker: Column, fiscal_year: Column, quarter: Column) -> DataFrame:

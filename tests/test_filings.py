@@ -136,6 +136,39 @@ def test_upsert_and_delete(spark):
     assert read() == [("a", "2025-06-30", 6.0)]
 
 
+def test_a_load_rewrites_the_buckets_of_its_companies_only(spark):
+    path, n = work_dir(spark, "t"), 40
+    row = lambda i, v, at: (f"c{i}", f"k{i}", "10-Q", d("2025-03-31"), 1, v, datetime.fromisoformat(at), "quarterly", 2025)
+    first = spark.createDataFrame([row(i, 1.0, "2026-01-01") for i in range(n)], VALUE)
+    sinks.bucket_count(spark, path, first, ["fiscal_year"], rows_per_bucket=5)
+    sinks.upsert_values(spark, first, path)
+    assert sinks.bucket_count(spark, path) == 8
+    files = lambda: {f.split("bucket=")[1].split("/")[0]: f for f in spark.read.schema(first.schema).parquet(path).inputFiles()}
+    before = files()
+    sinks.upsert_values(spark, spark.createDataFrame([row(3, 2.0, "2026-01-02")], VALUE), path)
+    changed = {b for b, f in files().items() if before[b] != f}
+    assert len(before) > 4 and len(changed) == 1
+    gone = spark.createDataFrame([("k7", "quarterly", 2025, 1)], "cik string, period_type string, fiscal_year int, quarter int")
+    before = files()
+    assert sinks.delete_periods(spark, gone, path, first.schema) == 1
+    assert len({b for b, f in before.items() if files().get(b) != f}) == 1
+    grown = work_dir(spark, "grown")
+    sinks.rebucket(spark, path, grown, "cik", sinks.VALUE_PARTITIONS, 16)
+    sinks.upsert_values(spark, spark.createDataFrame([row(3, 3.0, "2026-01-03"), row(50, 5.0, "2026-01-03")], VALUE), grown)
+    assert sinks.bucket_count(spark, grown) == 16
+    got = {r.concept_id: r.value for r in spark.read.schema(first.schema).parquet(grown).collect()}
+    assert got == {f"c{i}": 1.0 for i in range(n) if i not in (3, 7)} | {"c3": 3.0, "c50": 5.0}
+
+
+def test_rejects_of_a_repeated_load(spark):
+    path = work_dir(spark, "t")
+    rows = spark.createDataFrame([value("a", "2025-03-31", 1, 1.0, "2026-01-01"), (*value("b", "2025-03-31", 1, 2.0, "2026-01-01")[:-1], None)], VALUE)
+    for load in (0, 1, 1):
+        sinks.upsert_values(spark, rows, path, load)
+    assert sorted((r.load, r.concept_id) for r in spark.read.parquet(sinks.rejects_path(path)).collect()) == [(0, "b"), (1, "b")]
+    assert spark.read.parquet(path).count() == 1
+
+
 def test_run_without_id_fails(spark):
     runs = spark.createDataFrame([(None, "T")], "_id string, ticker string")
     with pytest.raises(Exception, match="_id"):
