@@ -1,5 +1,5 @@
 """Period inference, registry and sinks on small inputs; a hot key against brute force."""
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
