@@ -16,6 +16,7 @@ from ..functions import patterns as P
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
 DAY_MS = 24 * 60 * 60 * 1000
 
 STAGE_KINDS = ("step_start", "step_end", "summary")
@@ -26,9 +27,10 @@ JOB_ROW = ("attempts int, done boolean, started bigint, ended bigint, calls bigi
 
 
 def with_rocksdb(spark: SparkSession) -> None:
-    """Processors with several states, timers or expiry need this store."""
+    """Processors with several states, timers or expiry need this store; a batch writes its changes, not whole files."""
     if spark.conf.get(PROVIDER, "") != ROCKSDB:
         spark.conf.set(PROVIDER, ROCKSDB)
+        spark.conf.set(CHANGELOG, "true")
 
 
 class JobTracker(StatefulProcessor):
