@@ -141,12 +141,20 @@ def retry_scope(spark, sf_dir):
     return RT.retry_scope(chunks, found, prov).select("filing_id", "chunk_idx", "section", "scoped")
 
 
-@query("retry_notes")
+@query("retry_notes", f"""WITH {_PASSES_SQL},
+ b AS (SELECT filing_id,
+   string_agg('  - [REQUIRED] ' || message, chr(10) ORDER BY type) FILTER (WHERE severity = 'high') AS high,
+   string_agg('  - ' || message, chr(10)) FILTER (WHERE severity = 'medium') AS medium FROM p WHERE attempt = 1 GROUP BY 1),
+ c AS (SELECT string_agg('  • Concept ' || lpad(CAST(2 * i + 1 AS VARCHAR), 2, '0'), chr(10) ORDER BY i) FILTER (WHERE i < 10) AS top,
+   string_agg('  • Concept ' || lpad(CAST(2 * i AS VARCHAR), 2, '0'), chr(10) ORDER BY i) AS seg FROM range(12) x(i))
+SELECT filing_id, md5(concat_ws(chr(10), 'Prioritise these metrics:' || chr(10) || high, 'Also locate these if reported:' || chr(10) || medium,
+  'MISSING top-level concepts:' || chr(10) || top, 'MISSING segment concepts:' || chr(10) || seg)) AS h FROM b, c""")
 def retry_notes(spark, sf_dir):
+    """The whole notes of the next pass: required lines, further ones, the first ten missing concepts, missing segments."""
     missing = I.wide_metrics(spark, sf_dir).select("filing_id", F.inline(F.array(*[
         F.struct(F.lit(f"Concept {i:02d}").alias("label"), F.lit(i % 2 == 0).alias("is_segment"), F.lit(i).alias("concept_ord"))
         for i in range(24)])))
-    return RT.extraction_notes(_passes(spark, sf_dir).filter("attempt = 1"), missing)
+    return RT.extraction_notes(_passes(spark, sf_dir).filter("attempt = 1"), missing).select("filing_id", F.md5("notes").alias("h"))
 
 
 def runs(spark, sf_dir):
@@ -188,13 +196,18 @@ def status_totals(spark, sf_dir):
     return R.status_totals(runs(spark, sf_dir))
 
 
-@query("remediation", f"""WITH {_RUNS_SQL}
-SELECT filing_id AS grp, CASE WHEN n_lines % 2 = 0 THEN 1 ELSE 0 END + CASE WHEN qty % 3 = 0 THEN 1 ELSE 0 END
-  + CASE WHEN tax % 5 = 0 THEN 1 ELSE 0 END + 3 AS n FROM r""".replace("+ 3 AS n", "+ 3 AS n_checks"))
+_GUIDES = [(i, d.id, d.remediation.replace("'", "''"), t) for i, d in enumerate(Q.REGISTRY) for t in d.types]
+
+
+@query("remediation", f"""WITH {_RUNS_SQL},
+ g(ord, id, line, type) AS (VALUES {", ".join(f"({i}, '{k}', '- ({k}) {text}', '{t}')" for i, k, text, t in _GUIDES)}),
+ f AS (SELECT filing_id AS grp, type FROM ({" UNION ALL ".join(f"SELECT filing_id, '{t}' AS type FROM r WHERE {c}" for t, _, _, _, c, _ in _PASSES)})),
+ d AS (SELECT DISTINCT grp, ord, line FROM f JOIN g USING (type))
+SELECT grp, md5(string_agg(line, chr(10) ORDER BY ord)) AS h FROM d GROUP BY 1""")
 def remediation(spark, sf_dir):
+    """The whole guidance of a run, in the order of the checks."""
     types = runs(spark, sf_dir).select(F.col("_id").alias("grp"), F.explode("findings").alias("f")).select("grp", F.col("f.type").alias("type"))
-    block = R.remediation_block(types, spark)
-    return block.select("grp", F.size(F.split("block", "\n")).alias("n_checks"))
+    return R.remediation_block(types, spark).select("grp", F.md5("block").alias("h"))
 
 
 @query("model_calls", "SELECT user_id AS load_request_id, count(*) FILTER (WHERE event_type = 'click') AS calls FROM events GROUP BY 1")

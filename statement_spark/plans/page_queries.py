@@ -371,24 +371,40 @@ def key_sections(spark, sf_dir):
         "filing_id", "key", F.coalesce(T.key_section(F.col("key")), F.lit("")).alias("section"))
 
 
-@query("assembled_text", f"""
-WITH {I.FACTS_SQL} SELECT suppkey || '-' || fy AS filing_id, '=== GAAP INCOME STATEMENT ===' AS head,
-  'CONSOLIDATED BALANCE SHEETS' AS tail, CAST(1 AS BIGINT) AS n_sections FROM facts""")
+_CELL = "coalesce('$ | ' || format('{{:,}}', CASE WHEN big AND {scaled} THEN {c} // 1000 ELSE {c} END), ' | —')"
+_PAIR = "CASE WHEN up THEN {a} || ' | ' || {b} ELSE {b} || ' | ' || {a} END"
+
+
+def _row_sql(label: str, c: str) -> str:
+    now, before = (_CELL.format(c=name, scaled="false" if name == "qty" else "true") for name in (c, f"p_{c}"))
+    return f"'| {' '.join(label.split())} | ' || {_PAIR.format(a=now, b=before)} || ' |'"
+
+
+# the texts of the statement pages: their head, the statement as rows of cells, and the prose
+_TEXT_SQL = f"""{I.FACTS_SQL},
+ pair AS (SELECT f.*, {", ".join(f"p.{c} AS p_{c}" for _, c in I.PRINTED)}, f.revenue >= 1000000 AS big, coalesce(p.revenue <= f.revenue, true) AS up
+  FROM facts f LEFT JOIN facts p ON p.suppkey = f.suppkey AND p.fy = f.fy - 1),
+ t AS (SELECT suppkey || '-' || fy AS filing_id, fy, 'Supplier ' || suppkey || ' reports results' || chr(10) || 'CONSOLIDATED STATEMENTS OF OPERATIONS' || chr(10)
+   || CASE WHEN big THEN '(in thousands)' ELSE '(unaudited)' END AS head,
+  concat_ws(chr(10), '|  | Year Ended December 31, |', '|  | ' || {_PAIR.format(a="fy", b="(fy - 1)")} || ' |', {", ".join(_row_sql(label, c) for label, c in I.PRINTED)}) AS md
+  FROM pair),
+ x AS (SELECT *, head || chr(10) || 'Reconciliation of GAAP to Adjusted EBITDA' || chr(10) || 'CONSOLIDATED BALANCE SHEETS' AS prose FROM t)"""
+
+
+@query("assembled_text", f"""WITH {_TEXT_SQL}
+SELECT filing_id, md5('=== GAAP INCOME STATEMENT ===' || chr(10) || head || chr(10) || md || chr(10) || chr(10) || '=== NARRATIVE ===' || chr(10) || prose) AS h FROM x""")
 def assembled_text(spark, sf_dir):
+    """The whole text that a filing without a model's help goes on with."""
     pages = html.page_segments(spread(I.statement_pages(spark, sf_dir)))
     story = pages.select("filing_id", T.strip_boilerplate(html.prose(F.col("segments"))).alias("prose"))
     text = TB.assembled_text(TB.selected_entries(TB.classify(TB.page_tables(pages)), "filing_id"), story, "filing_id")
-    lines = F.split("raw_text", "\n")
-    return text.select(
-        "filing_id", lines[0].alias("head"), F.element_at(lines, -1).alias("tail"),
-        (F.size(F.split("raw_text", "=== GAAP INCOME STATEMENT ===")) - 1).cast("bigint").alias("n_sections"))
+    return text.select("filing_id", F.md5("raw_text").alias("h"))
 
 
-@query("fallback_text", f"""
-WITH {I.FACTS_SQL} SELECT suppkey || '-' || fy AS filing_id, false AS has_balance, true AS has_revenue FROM facts""")
+@query("fallback_text", f"""WITH {_TEXT_SQL}
+SELECT filing_id, md5(concat_ws(chr(10), prose, md, '|  | ' || fy || ' |', '| Revenue | 1 |')) AS h FROM x""")
 def fallback_text(spark, sf_dir):
+    """The whole text of a page read without its classes, balance sheets left out."""
     pages = html.page_segments(spread(I.statement_pages(spark, sf_dir)))
     story = pages.select("filing_id", html.prose(F.col("segments")).alias("prose"))
-    return TB.fallback_text(TB.classify(TB.page_tables(pages)), story, "filing_id").select(
-        "filing_id", F.col("raw_text").contains("Total assets").alias("has_balance"),
-        F.col("raw_text").contains("| Revenue | $ | ").alias("has_revenue"))
+    return TB.fallback_text(TB.classify(TB.page_tables(pages)), story, "filing_id").select("filing_id", F.md5("raw_text").alias("h"))
