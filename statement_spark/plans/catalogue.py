@@ -23,5 +23,5 @@ def load() -> None:
     """Import the modules that register queries."""
     from . import (  # noqa: F401
         concept_queries, filing_queries, history_queries, merge_queries, page_queries, quality_queries,
-        stream_queries,
+        report_queries, stream_queries,
     )
