@@ -10,60 +10,31 @@ Bodies are whole; nothing is shuffled.
 """
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from statement_spark.llm.page_text import read_page
+
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 NO_DATE = "1970-01-01T00:00:00Z"
-# Named characters, with what they stand for; the ampersand comes last.
-ENTITIES = {
-    "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ", "copy": "©", "reg": "®", "trade": "™", "middot": "·",
-    "hellip": "…", "mdash": "—", "ndash": "–", "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”", "bull": "•",
-    "laquo": "«", "raquo": "»", "euro": "€", "pound": "£", "sect": "§", "deg": "°", "times": "×", "eacute": "é", "egrave": "è",
-    "agrave": "à", "ccedil": "ç", "auml": "ä", "ouml": "ö", "uuml": "ü", "szlig": "ß", "ntilde": "ñ", "amp": "&",
-}
-HIDDEN = [rf"(?is)<{tag}[ \t\r\n>].*?</{tag}[ \t\r\n]*>" for tag in ("script", "style", "noscript", "template")]
-BLOCK_TAGS = ("address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|head|header|hr|"
-              "html|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul")
-BLOCK_TAG = rf"(?i)</?(?:{BLOCK_TAGS})(?:[ \t\r\n/][^>]*)?>"
-STEPS = [(r"(?s)<!--.*?-->", " "), *[(p, " ") for p in HIDDEN], (BLOCK_TAG, "\n"), (r"<[A-Za-z/!?][^>]*>", "")]
-NUMBERED = r"&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});"
-LINK = r"""(?i)<a[ \t\r\n][^>]*?href[ \t\r\n]*=[ \t\r\n]*["']([^"'>]*)["']"""
-TITLE = r"(?is)<title[^>]*>(.*?)</title"
-LANG = r"""(?i)<html[^>]*[ \t\r\n]lang[ \t\r\n]*=[ \t\r\n]*["']([^"'>]*)["']"""
-CHARSET = r"""(?i)<meta[^>]*charset[ \t\r\n]*=[ \t\r\n]*["']?([A-Za-z0-9_-]+)"""
-
-
-def _numbered(text: Column) -> Column:
-    """Numeric character references to their characters; those that name none become U+FFFD."""
-    found, gaps = F.regexp_extract_all(text, F.lit(NUMBERED), F.lit(0)), F.split(text, NUMBERED, -1)
-
-    def char(mark: Column) -> Column:
-        body = F.substring(mark, F.lit(3), F.char_length(mark) - 3)
-        hexes = F.lower(F.left(body, F.lit(1))) == "x"
-        number = F.when(hexes, F.conv(F.substring(body, F.lit(2), F.char_length(body)), 16, 10)).otherwise(body).cast("bigint")
-        real = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
-        return F.decode(F.unhex(F.lpad(F.hex(F.when(real, number).otherwise(0xFFFD)), 8, "0")), "UTF-32")
-
-    whole = F.array_join(F.zip_with(gaps, found, lambda gap, mark: F.when(mark.isNull(), gap).otherwise(F.concat(gap, char(mark)))), "")
-    return F.when(F.contains(text, F.lit("&#")), whole).otherwise(text)
-
-
-def decoded(text: Column) -> Column:
-    named = reduce(lambda t, e: F.replace(t, F.lit(f"&{e[0]};"), F.lit(e[1])), list(ENTITIES.items())[:-1], _numbered(text))
-    return F.replace(named, F.lit("&amp;"), F.lit("&"))
+PAGE = "struct<plain:string,title:string,lang:string,charset:string,links:array<string>>"
 
 
-def tidy(text: Column) -> Column:
-    """One blank between words, one line feed between lines, none at the ends."""
-    blanks = F.regexp_replace(text, "[ \t\r\f\u000b ]+", " ")
-    return F.btrim(F.regexp_replace(blanks, " ?\n[ \n]*", "\n"), F.lit(" \n"))
+def page_parts(html: Column) -> Column:
+    """Plain text, title, language, character set and links of each page; a null is an empty page."""
+    kind = pa.struct([("plain", pa.string()), ("title", pa.string()), ("lang", pa.string()), ("charset", pa.string()), ("links", pa.list_(pa.string()))])
 
+    @F.arrow_udf(returnType=PAGE)
+    def read(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            pages = [read_page(v.as_py() or b"") for v in batch]
+            texts = [pa.array([p[f.name] for p in pages], pa.binary()).cast(pa.string()) for f in list(kind)[:-1]]
+            links = pa.array([[u.decode() for u in p["links"]] for p in pages], kind.field("links").type)
+            yield pa.StructArray.from_arrays([*texts, links], fields=list(kind))
 
-def plain_text(html: Column) -> Column:
-    bare = reduce(lambda t, step: F.regexp_replace(t, F.lit(step[0]), F.lit(step[1])), STEPS, html)
-    return tidy(decoded(bare))
+    return read.asNondeterministic()(html.cast("binary"))
 
 
 def sha1_hex(body: Column) -> Column:
@@ -106,21 +77,19 @@ def derive(responses: DataFrame, target: str = "url", body: str = "html", respon
         (F.col(key).cast("string") if key else F.lit(None).cast("string")).alias("own"),
     ).withColumn("payload_sha", sha1_hex(F.col("html"))).withColumn("payload", labelled("payload_sha"))
     source = base.withColumn("source", F.coalesce("given", record_id(F.lit("response"), F.col("own"), F.col("uri"), F.col("payload"))))
-    title = F.nullif(tidy(decoded(F.regexp_replace(F.regexp_extract("html", TITLE, 1), "[\r\n]+", " "))), F.lit(""))
-    links = F.transform(F.regexp_extract_all("html", F.lit(LINK), F.lit(1)), lambda u: F.regexp_replace(decoded(u), "[ \t\r\n]+", ""))
+    source = source.withColumn("page", page_parts(F.col("html")))
     kept = F.array_sort(F.map_keys("headers"))
     fields = F.concat(
-        _line("title", title), _line("lang", F.nullif(F.regexp_extract("html", LANG, 1), F.lit(""))),
-        _line("charset", F.nullif(F.lower(F.regexp_extract("html", CHARSET, 1)), F.lit(""))),
+        *[_line(name, F.nullif(F.col(f"page.{name}"), F.lit(""))) for name in ("title", "lang", "charset")],
         F.array_join(F.transform(kept, lambda k: F.concat(F.lit("source-header: "), k, F.lit(": "), F.coalesce(F.col("headers")[k], F.lit("")), F.lit("\r\n"))), ""),
-        F.array_join(F.transform(links, lambda u: F.concat(F.lit("outlink: "), u, F.lit("\r\n"))), ""),
+        F.array_join(F.transform("page.links", lambda u: F.concat(F.lit("outlink: "), u, F.lit("\r\n"))), ""),
     )
 
     def record(kind: str, content: str, block: Column) -> Column:
         return F.struct(F.lit(kind).alias("warc_type"), F.lit(content).alias("content_type"), block.alias("block"))
 
     both = source.withColumn("r", F.explode(F.array(
-        record("metadata", "application/warc-fields", fields), record("conversion", "text/plain; charset=utf-8", plain_text(F.col("html"))))))
+        record("metadata", "application/warc-fields", fields), record("conversion", "text/plain; charset=utf-8", F.col("page.plain")))))
     hashed = both.withColumn("block_sha", sha1_hex(F.col("r.block")))  # a column of its own: hashed once
     sized = hashed.select(
         *(["_key"] if key else []), "r.*", "uri", "date", "payload", "source",

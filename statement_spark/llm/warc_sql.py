@@ -3,8 +3,17 @@ from __future__ import annotations
 
 from functools import reduce
 
-from statement_spark.llm.warc_derivatives import (
-    BASE32, CHARSET, ENTITIES, LANG, LINK, NO_DATE, NUMBERED, STEPS, TITLE)
+from statement_spark.llm.warc_derivatives import BASE32, NO_DATE
+from statement_spark.llm.warc_patterns import BLOCK_TAGS, ENTITIES, HIDDEN_TAGS
+
+HIDDEN = [rf"(?is)<{tag}[ \t\r\n>].*?</{tag}[ \t\r\n]*>" for tag in HIDDEN_TAGS]
+BLOCK_TAG = rf"(?i)</?(?:{BLOCK_TAGS})(?:[ \t\r\n/][^>]*)?>"
+STEPS = [(r"(?s)<!--.*?-->", " "), *[(p, " ") for p in HIDDEN], (BLOCK_TAG, "\n"), (r"<[A-Za-z/!?][^>]*>", "")]
+NUMBERED = r"&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});"
+LINK = r"""(?i)<a[ \t\r\n][^>]*?href[ \t\r\n]*=[ \t\r\n]*["']([^"'>]*)["']"""
+TITLE = r"(?is)<title[^>]*>(.*?)</title"
+LANG = r"""(?i)<html[^>]*[ \t\r\n]lang[ \t\r\n]*=[ \t\r\n]*["']([^"'>]*)["']"""
+CHARSET = r"""(?i)<meta[^>]*charset[ \t\r\n]*=[ \t\r\n]*["']?([A-Za-z0-9_-]+)"""
 
 
 def lit(text: str) -> str:
