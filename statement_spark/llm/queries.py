@@ -96,7 +96,9 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_suffix_dedup")
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select("doc_id", "dedup.n_bytes", "dedup.n_removed", "dedup.n_spans", F.sha2("dedup.kept", 256).alias("kept_sha256"))
+    return found.select(
+        "doc_id", "dedup.n_bytes", "dedup.n_removed", "dedup.n_spans", F.sha2("dedup.kept", 256).alias("kept_sha256"),
+        F.octet_length("dedup.kept").cast("bigint").alias("n_kept"), F.make_valid_utf8(F.col("dedup.kept").cast("string")).alias("text"))
 
 
 @query("op6_quality_net")
