@@ -100,11 +100,11 @@ def extraction_notes(found: DataFrame, missing: DataFrame, filing: str = "filing
     """
     ev = lambda k: F.try_element_at("evidence", F.lit(k)).try_cast("double")
     implied = F.when((F.col("type") == "identity_violation") & ev("gross_profit").isNotNull(), F.concat(
-        F.lit("\n      DIAGNOSIS: Revenue - Gross profit = "),
+        F.lit("\n      Revenue less gross profit is "),
         F.format_number(ev("revenue") - ev("gross_profit"), 0),
-        F.lit(", the value to expect for Cost of revenue.")))
+        F.lit(", which cost of revenue should show.")))
     line = F.when(F.col("severity") == "high", F.concat(
-        F.lit("  - [REQUIRED] "), "message",
+        F.lit("  - must: "), "message",
         F.coalesce(F.concat(F.lit("\n      -> "), "suggested_action"), F.lit("")),
         F.coalesce(implied, F.lit("")))).otherwise(F.concat(F.lit("  - "), "message"))
     lines = found.filter("severity in ('high', 'medium')").select(
@@ -117,8 +117,8 @@ def extraction_notes(found: DataFrame, missing: DataFrame, filing: str = "filing
         return per.select(filing, F.lit(block).alias("block"), F.posexplode("x").alias("ord", "m")).select(
             filing, "block", "ord", F.concat(F.lit("  • "), "m.label").alias("line"))
 
-    heads = {0: "Prioritise these metrics:", 1: "Also locate these if reported:",
-             2: "MISSING top-level concepts:", 3: "MISSING segment concepts:"}
+    heads = {0: "Needed from this pass:", 1: "Worth a second look:",
+             2: "Concepts still without a value:", 3: "Segments still without a value:"}
     every = lines.unionByName(top(False, 2, top_level)).unionByName(top(True, 3, segments))
     blocks = every.groupBy(filing, "block").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "line"))), lambda x: x["line"]), "\n")
@@ -130,5 +130,5 @@ def extraction_notes(found: DataFrame, missing: DataFrame, filing: str = "filing
     if previous is None:
         return notes
     before = previous.select(filing, F.concat(
-        F.lit("[Attempt "), F.col("attempt").cast("string"), F.lit(" history] "), F.trim("notes"), F.lit("\n\n")).alias("old"))
+        F.lit("After pass "), F.col("attempt").cast("string"), F.lit(": "), F.trim("notes"), F.lit("\n\n")).alias("old"))
     return notes.join(before, filing, "left").select(filing, F.concat(F.coalesce("old", F.lit("")), "notes").alias("notes"))

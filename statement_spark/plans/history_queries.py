@@ -143,12 +143,12 @@ def retry_scope(spark, sf_dir):
 
 @query("retry_notes", f"""WITH {_PASSES_SQL},
  b AS (SELECT filing_id,
-   string_agg('  - [REQUIRED] ' || message, chr(10) ORDER BY type) FILTER (WHERE severity = 'high') AS high,
+   string_agg('  - must: ' || message, chr(10) ORDER BY type) FILTER (WHERE severity = 'high') AS high,
    string_agg('  - ' || message, chr(10)) FILTER (WHERE severity = 'medium') AS medium FROM p WHERE attempt = 1 GROUP BY 1),
  c AS (SELECT string_agg('  • Concept ' || lpad(CAST(2 * i + 1 AS VARCHAR), 2, '0'), chr(10) ORDER BY i) FILTER (WHERE i < 10) AS top,
    string_agg('  • Concept ' || lpad(CAST(2 * i AS VARCHAR), 2, '0'), chr(10) ORDER BY i) AS seg FROM range(12) x(i))
-SELECT filing_id, md5(concat_ws(chr(10), 'Prioritise these metrics:' || chr(10) || high, 'Also locate these if reported:' || chr(10) || medium,
-  'MISSING top-level concepts:' || chr(10) || top, 'MISSING segment concepts:' || chr(10) || seg)) AS h FROM b, c""")
+SELECT filing_id, md5(concat_ws(chr(10), 'Needed from this pass:' || chr(10) || high, 'Worth a second look:' || chr(10) || medium,
+  'Concepts still without a value:' || chr(10) || top, 'Segments still without a value:' || chr(10) || seg)) AS h FROM b, c""")
 def retry_notes(spark, sf_dir):
     """The whole notes of the next pass: required lines, further ones, the first ten missing concepts, missing segments."""
     missing = I.wide_metrics(spark, sf_dir).select("filing_id", F.inline(F.array(*[

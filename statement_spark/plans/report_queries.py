@@ -4,12 +4,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
-from ..operators import chunks as CH, concepts as C, history as H, quality as Q, reports as R, tables as TB
+from ..operators import chunks as CH, concepts as C, history as H, prompts as PR, quality as Q, reports as R, tables as TB
 from ..session import spread, work_dir
 from ..sources import filings as FL, html, responses as RS, sinks as S
 from . import history_queries as HQ, inputs as I
 from .catalogue import query
-from .page_queries import _TEXT_SQL
+from .page_queries import _TEXT_SQL, _TYPE_SQL, _headed_tables
 
 
 @query("company_dimension", """
@@ -141,3 +141,53 @@ def momentum_findings(spark, sf_dir):
     return Q.momentum_findings(rows).select(
         "filing_id", "detector", "type", "severity", F.col("keys")[0].alias("key"), "message",
         F.round(F.col("evidence")["ratio"].cast("double"), 6).alias("ratio"))
+
+
+def _sql_text(template: str, **values: str) -> str:
+    """A template as SQL: its text quoted, its marks replaced by expressions."""
+    out = "'" + template.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
+    for name, value in values.items():
+        out = out.replace("{%s}" % name, f"' || {value} || '")
+    return out
+
+
+@query("role_prompts", f"""
+WITH l AS (SELECT p_brand AS cik, string_agg(DISTINCT '- Sundry ' || p_size, chr(10) ORDER BY '- Sundry ' || p_size) AS labels FROM part WHERE p_size % 4 <> 0 GROUP BY 1)
+SELECT cik, md5({_sql_text(PR.ROLE_TEMPLATE, roles="'" + ", ".join(P.ROLES) + "'", labels="labels")}) AS h FROM l""")
+def role_prompts(spark, sf_dir):
+    concepts = I.table(spark, sf_dir, "part").select(
+        F.col("p_brand").alias("cik"), F.col("p_partkey").alias("concept_id"),
+        F.when(F.col("p_size") % 4 == 0, "Gross profit").otherwise(F.concat(F.lit("Sundry "), F.col("p_size").cast("string"))).alias("label"),
+        F.lit("").alias("taxonomy_key"))
+    return PR.role_prompts(C.role_candidates(C.with_roles(concepts))).select("cik", F.md5("prompt").alias("h"))
+
+
+@query("match_prompts", f"""WITH {I.METRICS_SQL},
+ k AS (SELECT filing_id, string_agg('- ' || key, chr(10) ORDER BY key_ord) AS keys FROM ml GROUP BY 1),
+ c AS (SELECT filing_id, '- c2: Second' || chr(10) || '- c1: First of ' || suppkey AS concepts FROM m WHERE n_lines % 3 <> 0)
+SELECT filing_id, md5({_sql_text(PR.MATCH_TEMPLATE, concepts="concepts", keys="keys")}) AS h FROM k JOIN c USING (filing_id)""")
+def match_prompts(spark, sf_dir):
+    missing = I.wide_metrics(spark, sf_dir).filter("n_lines % 3 <> 0").select("filing_id", F.inline(F.array(
+        F.struct(F.lit("c1").alias("concept_id"), F.concat(F.lit("First of "), F.col("suppkey").cast("string")).alias("label"), F.lit(2).alias("concept_ord")),
+        F.struct(F.lit("c2").alias("concept_id"), F.lit("Second").alias("label"), F.lit(1).alias("concept_ord")))))
+    return PR.match_prompts(missing, I.metric_rows(spark, sf_dir)).select("filing_id", F.md5("prompt").alias("h"))
+
+
+@query("keep_prompts", f"""
+WITH t AS (SELECT o_orderkey AS filing_id, '[0] Key data' || chr(10) || '|  | ' || year(o_orderdate) || ' |' || chr(10) || '| Stores opened | '
+  || format('{{:,}}', CAST(floor(o_totalprice) AS BIGINT)) || ' |' AS tables FROM orders WHERE {_TYPE_SQL} = 'other')
+SELECT filing_id, md5({_sql_text(PR.KEEP_TEMPLATE, tables="tables")}) AS h, 0 AS table_idx, 0 AS cand_idx FROM t""")
+def keep_prompts(spark, sf_dir):
+    asked, candidates = PR.keep_prompts(TB.classify(_headed_tables(spark, sf_dir)))
+    return asked.select("filing_id", F.md5("prompt").alias("h")).join(candidates, "filing_id")
+
+
+@query("cleanup_prompts", f"""WITH {I.METRICS_SQL},
+ k AS (SELECT filing_id, string_agg(key, '|' ORDER BY key_ord) AS keys FROM ml GROUP BY 1)
+SELECT filing_id, keys, md5({_sql_text(PR.CLEAN_TEMPLATE, payload="'{}'")}) AS h FROM k""")
+def cleanup_prompts(spark, sf_dir):
+    """The question about every filing's metrics (all have a pair to look at): its keys in order, and the words around them."""
+    asked = PR.cleanup_prompts(I.metric_rows(spark, sf_dir).withColumn("protected", F.lit(False)))
+    payload = F.regexp_extract("prompt", r"(\{.*?\})\n", 1)
+    return asked.select(
+        "filing_id", F.array_join(F.json_object_keys(payload), "|").alias("keys"), F.md5(F.replace("prompt", payload, F.lit("{}"))).alias("h"))

@@ -78,7 +78,7 @@ def test_notes_carry_history(spark):
     missing = spark.createDataFrame([("f", f"L{i}", False, i) for i in range(12)], "filing_id string, label string, is_segment boolean, concept_ord int")
     old = spark.createDataFrame([("f", 1, "before ")], "filing_id string, attempt int, notes string")
     text = RT.extraction_notes(found, missing, previous=old).first().notes
-    assert text.startswith("[Attempt 1 history] before\n\nPrioritise") and "Revenue - Gross profit = 60" in text
+    assert text.startswith("After pass 1: before\n\nNeeded") and "Revenue less gross profit is 60" in text
     assert "L9" in text and "L10" not in text
 
 
