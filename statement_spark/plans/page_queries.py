@@ -223,11 +223,17 @@ def envelope_strip(spark, sf_dir):
         "page_id", F.md5(F.trim(T.strip_envelope(page))).alias("h"), html.document_type(url).alias("kind"))
 
 
-@query("page_text")
+@query("page_text", r"""
+WITH a AS (SELECT page_id, url, regexp_replace(regexp_replace(html,
+    '(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>|<nav\b.*?</nav>|<footer\b.*?</footer>', chr(1), 'g'), '<[^>]*>', chr(1), 'g') AS t FROM pages),
+ n AS (SELECT page_id, url, list_filter(list_transform(string_split(t, chr(1)), lambda x: trim(regexp_replace(
+    replace(replace(replace(replace(x, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '\s+', ' ', 'g'))), lambda x: x <> '') AS nodes FROM a)
+SELECT page_id, url, md5(array_to_string(nodes, chr(10))) AS h, CAST(len(nodes) AS INTEGER) AS n_nodes FROM n""")
 def page_text(spark, sf_dir):
+    """The whole text of every page outside menus, scripts and the like, a line a text node."""
     segments = html.page_segments(spread(I.table(spark, sf_dir, "pages")).select("page_id", "url", "html"))
-    return segments.select("page_id", "url", html.prose(F.col("segments")).alias("prose"),
-                           F.size("segments").alias("n_segments"))
+    return segments.select("page_id", "url", F.md5(html.prose(F.col("segments"))).alias("h"),
+                           F.size(F.flatten(F.transform("segments", lambda s: s["nodes"]))).alias("n_nodes"))
 
 
 _SIZE, _OVER = 2000, 300
