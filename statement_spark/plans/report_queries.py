@@ -1,10 +1,10 @@
 """Dimensions, look-ups, answers and reports that other plans read one by one."""
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from ..functions import patterns as P
-from ..operators import chunks as CH, concepts as C, history as H, prompts as PR, quality as Q, reports as R, tables as TB
+from ..operators import chunks as CH, concepts as C, derive as D, history as H, prompts as PR, quality as Q, reports as R, tables as TB
 from ..session import spread, work_dir
 from ..sources import filings as FL, html, responses as RS, sinks as S
 from . import history_queries as HQ, inputs as I
@@ -191,3 +191,52 @@ def cleanup_prompts(spark, sf_dir):
     payload = F.regexp_extract("prompt", r"(\{.*?\})\n", 1)
     return asked.select(
         "filing_id", F.array_join(F.json_object_keys(payload), "|").alias("keys"), F.md5(F.replace("prompt", payload, F.lit("{}"))).alias("h"))
+
+
+@query("severity_demotion", f"""WITH {I.METRICS_SQL},
+ none AS (SELECT filing_id FROM ml WHERE key = 'Gross profit' AND v % 2 = 0)
+SELECT filing_id, t AS targeted, CASE WHEN t THEN 'medium' ELSE 'high' END AS severity, 'Gross Profit' AS metric FROM none, (VALUES (true), (false)) x(t)""")
+def severity_demotion(spark, sf_dir):
+    """A missing line of the first tier weighs less in a pass that was aimed at some chunks only."""
+    rows = I.metric_rows(spark, sf_dir).filter("not (key = 'Gross profit' and num_value % 2 = 0)")
+
+    def missing(targeted: bool):
+        found = Q.findings(rows, targeted=targeted).filter("type = 'missing_critical'")
+        return found.select("filing_id", F.lit(targeted).alias("targeted"), "severity", F.col("evidence")["metric"].alias("metric"))
+
+    return missing(True).unionByName(missing(False))
+
+
+_RULES = [
+    ("c1", "revenue"), ("c2", "cost_of_revenue"), ("c3", "gross_profit"), ("c4", "total_opex"), ("c5", "operating_income"), ("c6", "operating_margin_pct"),
+    ("c7", "net_income"), ("c8", "shares_diluted"), ("c9", "eps_diluted"), ("ca", "net_margin_pct"),
+]
+
+
+@query("derive_from_totals", f"""WITH {I.METRICS_SQL},
+ v AS (SELECT filing_id, CAST(revenue AS DOUBLE) AS r, CAST(revenue - cost AS DOUBLE) AS g, CAST(opsub AS DOUBLE) AS o, CAST(ni AS DOUBLE) AS n, CAST(sh_d AS DOUBLE) AS s, n_lines FROM m),
+ d AS (SELECT filing_id, 'c3' AS concept_id, g AS value FROM v
+  UNION ALL SELECT filing_id, 'c5', g - o FROM v WHERE n_lines % 3 <> 0
+  UNION ALL SELECT filing_id, 'c6', (g - o) / r * 100 FROM v WHERE n_lines % 3 <> 0 AND abs((g - o) / r * 100) <= 200
+  UNION ALL SELECT filing_id, 'c9', n / s FROM v WHERE s > 0 AND abs(n / s) <= 1000
+  UNION ALL SELECT filing_id, 'ca', n / r * 100 FROM v WHERE abs(n / r * 100) <= 200)
+SELECT filing_id, concept_id, floor(value * 10000) / 10000 AS value FROM d""")
+def derive_from_totals(spark, sf_dir):
+    """Operating income from a known sum of expenses, its margin, and the diluted result per share."""
+    w = I.wide_metrics(spark, sf_dir)
+    known = [("c1", "revenue"), ("c2", "cost"), ("c4", "opsub"), ("c7", "ni"), ("c8", "sh_d")]
+    values = w.select("filing_id", "n_lines", F.inline(F.array(*[
+        F.struct(F.lit(c).alias("concept_id"), F.col(x).cast("double").alias("value"), F.lit(i).alias("key_ord")) for i, (c, x) in enumerate(known)])))
+    values = values.filter("not (concept_id = 'c4' and n_lines % 3 = 0)").drop("n_lines")
+    concepts = w.select("filing_id", F.inline(F.array(*[
+        F.struct(F.lit(c).alias("concept_id"), F.lit(r).alias("label"), F.lit(c).alias("concept_ord"), F.lit(r).alias("role")) for c, r in _RULES])))
+    return D.derive(values, concepts).select("filing_id", "concept_id", (F.floor(F.col("value") * 10000) / 10000).alias("value"))
+
+
+@query("finding_type_order", f"""WITH {HQ._RUNS_SQL}, t AS ({_RUN_TYPES}),
+ s AS (SELECT type, count(*) AS occurrences, count(DISTINCT ticker) AS n_tickers FROM t WHERE severity IN ('high', 'medium') GROUP BY 1)
+SELECT CAST(row_number() OVER (ORDER BY occurrences DESC, type) AS INTEGER) AS place, type, occurrences, n_tickers FROM s""")
+def finding_type_order(spark, sf_dir):
+    """Finding types by how often they occur, with their place in the report: a row for each kind of finding there is."""
+    totals = R.type_totals(HQ.runs(spark, sf_dir))
+    return totals.select(F.row_number().over(Window.orderBy(F.desc("occurrences"), "type")).alias("place"), "type", "occurrences", "n_tickers")
