@@ -64,6 +64,7 @@ class Bands:
     chunked_from: int = 1024
     chunk_slack: float = 0.93  # chunks of clean text go lower than whole texts of their length
     max_bad_share: float = 0.30
+    fall: float = 0.06
     level: int = 3
     min_words: int = 50
 
@@ -72,7 +73,8 @@ class Bands:
             return None
         bounds = [limits(median, high) for _, median, high in self.classes]
         lengths = [math.log2(length) for length, _, _ in self.classes]
-        return tuple(float(np.interp(math.log2(n_bytes), lengths, side)) for side in zip(*bounds))
+        low, high = (float(np.interp(math.log2(n_bytes), lengths, side)) for side in zip(*bounds))
+        return low * (1 - self.fall) ** max(0.0, math.log2(n_bytes) - lengths[-1]), high
 
 
 def base_counts(text: bytes) -> tuple[int, int, int, int, int]:

@@ -61,3 +61,16 @@ def test_limits_follow_the_table(spark):
     assert compression_bands.fit(docs.where(F.lit(False))) == compression_bands.Bands()
     found = {r["quality"]["verdict"] for r in compression_bands.judge(docs, bands=own).where("doc_id < 60").collect()}
     assert not found & {"repetitive", "incompressible"}
+
+
+def test_long_clean_texts_stay_and_long_repeats_go(bands):
+    """Clean texts of one language joined up to 1 MB and 4 MB; a passage over and over."""
+    sql = ("SELECT lang, string_agg(text, chr(10) ORDER BY doc_id) FROM '/root/testdata/sf0.1/documents.parquet' "
+           "JOIN '/root/testdata/sf0.1/labels.parquet' USING (doc_id) WHERE quality = 1 GROUP BY lang")
+    joined = {lang: text.encode() for lang, text in duckdb.sql(sql).fetchall()}
+    assert len(joined) == 4
+    for b in bands:
+        for text in joined.values():
+            for n in (50_000, 200_000, 800_000, 1_000_000, 4_000_000):
+                assert compression_bands.band_verdict(text[:n], b, PACKER)[2] == "ok"
+            assert compression_bands.band_verdict(text[:30_000] * 40, b, PACKER)[2] == "repetitive"
