@@ -55,7 +55,8 @@ def _spans(words: Column, rule: Column) -> Column:
 
 
 def _settled(spans: Column) -> Column:
-    """Spans left after containment and priority, from left to right."""
+    """Spans left after containment and priority, from left to right: of overlapping spans the one with the stronger (lower)
+    priority, whether or not it lies inside the other; of equal ones the containing one."""
     ordered = F.transform(
         F.array_sort(F.transform(spans, lambda s: F.struct(
             s["start"].alias("start"), (-s["stop"]).alias("back"), s["priority"].alias("priority"),
@@ -69,7 +70,7 @@ def _settled(spans: Column) -> Column:
     def step(state: Column, span: Column) -> Column:
         last = state["last"]
         return (
-            F.when(last.isNotNull() & (span["stop"] <= last["stop"]), state)
+            F.when(last.isNotNull() & (span["stop"] <= last["stop"]) & (span["priority"] >= last["priority"]), state)
             .when(last.isNotNull() & (span["start"] < last["stop"]) & (span["priority"] > last["priority"]), state)
             .when(last.isNotNull() & (span["start"] < last["stop"]) & (span["priority"] < last["priority"]),
                   F.struct(state["kept"].alias("kept"), span.alias("last")))

@@ -112,7 +112,7 @@ def license_labels(text, signatures):
                    if keyword in line for m in re.finditer(pattern, line))
     kept = []
     for start, back, priority, doubt, label in spans:
-        if kept and -back <= kept[-1][1]:
+        if kept and -back <= kept[-1][1] and priority >= kept[-1][2]:
             continue
         if kept and start < kept[-1][1] and priority != kept[-1][2]:
             if priority > kept[-1][2]:
