@@ -1,6 +1,9 @@
 """Helpers shared by the corpus operators: table reads, folds and fixed word alphabets."""
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # What separates words, as a pattern and as bytes.
@@ -36,3 +39,15 @@ def unboxed(rows: DataFrame, columns: list[str], **results: Column) -> DataFrame
     """The columns out of `_row` and the results after them; a result takes the place of a column of its name."""
     kept = [results.pop(c).alias(c) if c in results else F.col(f"_row.`{c}`") for c in columns]
     return rows.select(*kept, *[v.alias(k) for k, v in results.items()])
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """What is run inside gives its rows to Python so many at a time: a batch is limited by rows only, however large they are."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
