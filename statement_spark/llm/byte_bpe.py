@@ -17,7 +17,7 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -68,15 +68,18 @@ class Vocabulary:
 
     def __init__(self, rank_file: str, pattern: str):
         with open(rank_file, "rb") as lines:
-            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        self.split = tiktoken.Encoding("split", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.whole = tiktoken.Encoding("whole", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+            self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        self.split = tiktoken.Encoding("split", pat_str=pattern, mergeable_ranks=self.ranks, special_tokens={})
+
+    @cached_property
+    def whole(self) -> tiktoken.Encoding:
+        """For what is one match by itself; few texts need it."""
+        return tiktoken.Encoding("whole", pat_str=r"[\s\S]+", mergeable_ranks=self.ranks, special_tokens={})
 
     def encode(self, text: str, segment_chars: int = SEGMENT_CHARS) -> bytes:
-        if len(text) <= RUN:
-            return np.array(self.split.encode_ordinary(text), "<u4").tobytes()
-        found = [(self.whole if single else self.split).encode_ordinary(part) for part, single in segments(text, segment_chars)]
-        return b"".join(np.array(ids, "<u4").tobytes() for ids in found)
+        parts = [(text, False)] if len(text) <= RUN else segments(text, segment_chars)
+        ids = ((self.whole if single else self.split).encode_to_numpy(part, disallowed_special=()) for part, single in parts if part)
+        return b"".join(i.astype("<u4").tobytes() for i in ids)
 
     def decode(self, ids: bytes) -> bytes | None:
         if len(ids) % 4:
@@ -119,6 +122,6 @@ def decode(rows: DataFrame, rank_file: str, pattern: str, ids: str = "ids", body
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = vocabulary(rank_file, pattern)
         for batch in batches:
-            yield pa.array([None if v is None else own.decode(v) for v in batch.to_pylist()], pa.binary())
+            yield pa.array([None if (ids := v.as_py()) is None else own.decode(ids) for v in batch], pa.binary())
 
     return _with(rows, F.col(f"`{ids}`"), body, decoded)
