@@ -12,17 +12,18 @@ has no letter gives `und` with score 0. Ties go to the language with more traini
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from statement_spark.llm.common import octets
 
-NOT_LETTERS = re.compile(r"[\W\d_]+")
+NOT_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")  # marks belong to their letters, number signs are none
+LETTER = regex.compile(r"\p{L}")
 MAX_LANGUAGES = 400
 RESULT_DDL = "struct<lang:string,runner_up:string,margin:double,score:double,rejected:boolean>"
 RESULT = pa.struct([
@@ -50,23 +51,28 @@ class Model:
 
 
 def letters(text: str) -> str:
-    return NOT_LETTERS.sub(" ", text.lower()).strip()
+    """The letters of a text with their marks, in lower case; nothing if there are marks alone."""
+    found = NOT_LETTERS.sub(" ", text.lower()).strip()
+    return found if LETTER.search(found) else ""
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", train: Column | None = None,
         settings: Settings = Settings()) -> Model:
-    """Learns from rows with text and language (and `train`). Languages are counted first; then about twice the texts
-    needed are picked by their hash, which bounds what is sorted and collected whatever the size of the table."""
+    """Learns from rows with text and language (and `train`). Languages and their different texts are counted first; then
+    about four times the texts needed are picked by their hash, which bounds what is sorted and collected whatever the size
+    of the table and however often a text is copied."""
     rows = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & (F.lit(True) if train is None else train))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy(F.col(lang).alias("lang")).agg(
-        F.count(F.lit(1)).alias("n")).orderBy(F.desc("n")).limit(MAX_LANGUAGES + 1).collect()}
+    by_text = rows.groupBy(F.col(lang).alias("lang"), F.xxhash64(F.col(text)).alias("digest")).agg(F.count(F.lit(1)).alias("n"))
+    languages = by_text.groupBy("lang").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts")).orderBy(
+        F.desc("n")).limit(MAX_LANGUAGES + 1).collect()
+    counts, texts = {r["lang"]: r["n"] for r in languages}, {r["lang"]: r["texts"] for r in languages}
     if len(counts) > MAX_LANGUAGES:
         raise ValueError(f"over {MAX_LANGUAGES} languages; so many dictionaries are not held at a time")
     digest = F.xxhash64(F.col(text))
     # three slices' length leaves enough once marks are gone
     room = F.greatest(F.char_length(F.col(text)) - 3 * settings.slice_bytes, F.lit(1))
     at = (F.pmod(digest, room.cast("long")) + 1).cast("int")
-    picks = F.create_map(*[F.lit(v) for name, n in counts.items() for v in (name, min(1.0, 4 * settings.sample_docs / n))]) \
+    picks = F.create_map(*[F.lit(v) for name, n in texts.items() for v in (name, min(1.0, 4 * settings.sample_docs / n))]) \
         if counts else F.create_map(F.lit(""), F.lit(0.0))
     wanted = F.pmod(digest, F.lit(1 << 30)) < picks[F.col(lang)] * (1 << 30)
     pieces = rows.where(wanted).groupBy(F.col(lang).alias("lang"), digest.alias("digest")).agg(
@@ -75,7 +81,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", train: Column |
     sample = pieces.withColumn("place", F.row_number().over(first)).where(F.col("place") <= settings.sample_docs).collect()
     cut: dict[str, list[bytes]] = {name: [] for name in counts}
     for row in sorted(sample, key=lambda r: (r["lang"], r["digest"])):
-        cut[row["lang"]].append(letters(row["piece"]).encode()[: settings.slice_bytes])
+        cut[row["lang"]].append(letters(row["piece"]).encode()[: settings.slice_bytes].decode(errors="ignore").encode())
     ranked = sorted(counts, key=lambda name: (-counts[name], name))
     return Model(tuple((name, b" ".join(cut[name])) for name in ranked), settings)
 

@@ -348,3 +348,20 @@ def test_pipeline_on_odd_tables(spark, odd, empty, items, tmp_path):
             if name != corpus_pipeline.STAGES[-1][0]:
                 assert now.columns == docs.columns
         assert now.count() >= 0
+
+
+def test_languages_of_marks_and_number_signs(spark):
+    rows = [(i, "the cat sat on the mat and " * 4, "en") for i in range(4)] + [(10 + i, "हिन्दी भाषा में लिखा हुआ पाठ " * 4, "hi") for i in range(4)]
+    rows += [(20, "² ½ Ⅷ", None), (21, "\u0301\u0302", None), (22, "123 _ !", None), (23, "हिन्दी", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r["doc_id"]: r["language"]["lang"] for r in language_id.identify(docs, language_id.fit(docs)).collect()}
+    assert [found[i] for i in (20, 21, 22)] == ["und"] * 3 and found[0] == "en" and found[10] == "hi" and found[23] == "hi"
+    assert language_id.letters("हिन्दी भाषा²") == "हिन्दी भाषा"
+
+
+def test_licenses_inside_a_weaker_span(spark):
+    rows = [(1, "Copyright 2020 Foo BSD 3-Clause License. All rights reserved."), (2, "Copyright (c) 2020 Foo Inc licensed under Apache 2.0. All rights reserved."),
+            (3, "Copyright 2020 Foo. All rights reserved.")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = {r["doc_id"]: r["licenses"]["labels"] for r in license_rules.scan(docs).collect()}
+    assert "bsd-3-clause" in labels[1] and "apache-2.0" in labels[2] and labels[3] == ["all-rights-reserved"]
