@@ -110,8 +110,9 @@ def mentions(texts: DataFrame, text: str) -> DataFrame:
 
 def canonical(kind: Column, mention: Column) -> Column:
     digits = F.regexp_replace(mention, r"\D", "")
+    dialled = F.regexp_replace(digits, "^00", "")  # a country code tells numbers apart; only that of the ten-digit plan may be left out
     return (
-        F.when(kind == "phone", F.when(F.char_length(digits) > 10, F.right(digits, F.lit(10))).otherwise(digits))
+        F.when(kind == "phone", F.when((F.char_length(dialled) == 11) & dialled.startswith("1"), F.right(dialled, F.lit(10))).otherwise(dialled))
         .when(kind.isin(*DIGIT_TYPES), digits).when(kind == "iban", F.replace(mention, F.lit(" "), F.lit(""))).when((kind == "email") | kind.contains(":"), F.lower(mention)).otherwise(mention)
     )
 

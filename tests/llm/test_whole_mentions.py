@@ -30,3 +30,10 @@ def test_whole_mentions(spark):
     assert re.search(r"Mrs (\w+) (\w+) came\. \2 said that \1 and", rows[4]["text"]) and rows[4]["replaced"] == {"given": 2, "surname": 2}
     assert re.search(r"GB\d\d [A-Z]{4} \d{4} \d{4} \d{4} \d\d AND", rows[5]["text"]) and rows[5]["replaced"] == {"iban": 1}
     assert len(rows[8]["text"]) == len(CASES[8][0]) and rows[8]["replaced"] == {"secret": 1}
+
+
+def test_country_codes_tell_phones_apart(spark):
+    rows = [(1, "call +1 (212) 555-0100 now"), (2, "call +44 2125550100 now"), (3, "call (212) 555-0100 now"), (4, "call 0044 2125550100 now")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r["doc_id"]: "".join(c for c in r["text"] if c.isdigit()) for r in surrogates.replace(docs, "k").collect()}
+    assert out[1][-10:] == out[3][-10:] and out[2][-10:] != out[1][-10:]
