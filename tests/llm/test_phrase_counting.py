@@ -64,7 +64,7 @@ def rows():
 
 
 @pytest.mark.parametrize("settings", [
-    Settings(least=30), Settings(least=12, shards=1), Settings(least=5, shards=7, chunk_bytes=64), Settings(least=30, shards=3, slots=8)])
+    Settings(least=30), Settings(least=12, shards=1), Settings(least=5, shards=7, chunk_bytes=64, scan_words=50), Settings(least=30, shards=4, slots=8)])
 def test_like_counting_all(spark, rows, settings):
     """Also with a filter of eight slots, where nearly every phrase is taken for frequent."""
     got = [tuple(r) for r in phrase_counting.collocations(frame(spark, rows).repartition(3), settings=settings).collect()]
@@ -90,34 +90,52 @@ def test_empty_tables(spark, rows):
     assert phrase_counting.collocations(frame(spark, [("en", None), (None, "")])).collect() == []
 
 
-def test_a_phrase_starts_when_both_subphrases_have(spark):
+def test_a_phrase_starts_when_both_subphrases_have():
     words = phrase_counting.Words("en")
     filter_ = np.full(1 << 16, phrase_counting.NEVER, np.uint8)
+    hashes, own = phrase_counting.split_words(b"a b c d\na b c", words)
+    assert own == {b"a": 2, b"b": 2, b"c": 2, b"d": 1} and [words[w] for w in (b"a", b"b", b"c", b"d", b"\n", b"a", b"b", b"c")] == hashes.tolist()
+    names = {words[w]: w.decode() for w in own}
 
     def frequent(step, *phrases):
         for phrase in phrases:
             h = None
             for w in phrase.split(" "):
-                own = np.array([phrase_counting.word_hash("en", w.encode())], np.uint64)
-                h = own if h is None else phrase_counting.mixed(h, own)
+                one = np.array([words[w.encode()]], np.uint64)
+                h = one if h is None else phrase_counting.mixed(h, one)
             for slot in phrase_counting.slots_of(h, len(filter_)):
                 filter_[slot] = min(filter_[slot][0], step)
 
     def at(step):
-        return {p.decode(): (int(s), int(n)) for phrases, _, start, counts in
-                phrase_counting.chunk_counts(b"a b c d\na b c", words, filter_, step, 4) for p, s, n in zip(phrases, start, counts)}
+        return {" ".join(names[int(h)] for h in phrase): (int(s), int(n)) for columns, start, counts in
+                phrase_counting.phrase_counts(hashes, filter_, step, 4) for phrase, s, n in zip(zip(*columns), start, counts)}
 
-    assert at(0) == {"a": (0, 1 + 1), "b": (0, 2), "c": (0, 2), "d": (0, 1)}
+    assert at(0) == {}
     frequent(1, "a", "b")
-    assert at(1)["a b"] == (1, 2) and "b c" not in at(1) and "a" in at(1)
+    assert at(1) == {"a b": (1, 2)}
     frequent(2, "c", "d")
-    assert at(2)["b c"] == (2, 2) and at(2)["a b"] == (1, 2)
+    assert at(2) == {"a b": (1, 2), "b c": (2, 2), "c d": (2, 1)}
     frequent(4, "a b")
     assert set(at(4)) == {"a b", "b c", "c d"} and at(5).keys() == {"b c", "c d"}
     frequent(6, "b c")
     assert at(6) == {"a b c": (6, 2)} and at(9) == {"a b c": (6, 2)} and at(10) == {}
 
 
+def test_words_with_one_hash_begin_again(spark, rows):
+    """With three bits words share hashes; the counts are those of another seed and all bits."""
+    found, _ = phrase_counting.count_phrases(frame(spark, rows), settings=Settings(least=25, hash_bits=3))
+    assert {(r["lang"], r["phrase"]): r["n"] for r in found.collect()} == {
+        (lang, p): n for lang, f in counted(rows).items() for p, n in f.items() if n >= 25}
+
+
+def test_rows_with_one_code_are_told_apart(monkeypatch):
+    a, b = np.array([1, 2, 1, 3], np.uint64), np.array([5, 6, 5, 5], np.uint64)
+    for code in (phrase_counting.mixed, lambda x, y: x * np.uint64(0)):
+        monkeypatch.setattr(phrase_counting, "mixed", code)
+        first, n = phrase_counting._same([a, b])
+        assert {(int(a[i]), int(b[i])): int(k) for i, k in zip(first, n)} == {(1, 5): 2, (2, 6): 1, (3, 5): 1}
+
+
 def test_long_pieces_are_not_cut():
     body = b"a b " * 50_000
     assert list(phrase_counting.chunks([body, b"c"], 1000)) == [body, b"\nc"]
