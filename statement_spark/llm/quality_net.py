@@ -6,8 +6,9 @@ Besides words, a document's stream holds marker words: for marks, capitals and d
 document, and for lines met before. A network with one hidden layer is trained on the pooled vectors in numpy, and its
 logits are divided by a temperature fitted on a validation part, so that scores are probabilities.
 
-Learning reads at most `sample_docs` labelled documents, chosen by a hash of the id, and at most `sample_chars`
-characters of each; both are parameters, and they bound what the driver holds. Scores read whole texts and nothing but the text. Null and empty texts have the
+Learning reads the whole texts of at most `sample_docs` labelled documents, chosen by a hash of the id. Their neighbours are
+summed up by bucket in tasks, as whole numbers, and their texts are pooled there; the driver gets the buckets' sums and a vector per
+text, whatever the texts' length. Scores read whole texts and nothing but the text. Null and empty texts have the
 zero vector and get the network's score for it. Labels that are null or not 0/1 are not learned from; without labels
 of both kinds every score is the share of label 1 (one half without any). Repeated labels of a document count each.
 """
@@ -24,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from statement_spark.llm.common import octets
+from statement_spark.session import staged
 
 LETTERS = re.compile(r"[^\W\d_]+")
 OTHERS = re.compile(r"[^\w\s]|_")
@@ -32,7 +34,7 @@ OTHERS = re.compile(r"[^\w\s]|_")
 @dataclass(frozen=True)
 class Settings:
     sample_docs: int = 6000
-    sample_chars: int = 16384
+    parts: int = 8
     buckets: int = 1 << 14
     dim: int = 96
     ones: int = 6
@@ -101,28 +103,78 @@ def stream(text: str, words: Words) -> list[int]:
 
 def _index_vectors(settings: Settings) -> np.ndarray:
     rng = np.random.default_rng(settings.seed)
-    vectors = np.zeros((settings.buckets, settings.dim), np.float32)
+    vectors = np.zeros((settings.buckets, settings.dim), np.int32)
     places = rng.integers(0, settings.dim, (settings.buckets, settings.ones))
-    signs = rng.choice(np.array([-1.0, 1.0], np.float32), (settings.buckets, settings.ones))
+    signs = rng.choice(np.array([-1, 1], np.int32), (settings.buckets, settings.ones))
     np.add.at(vectors, (np.arange(settings.buckets)[:, None], places), signs)
     return vectors
 
 
-def word_vectors(streams: list[np.ndarray], settings: Settings) -> np.ndarray:
+SUMMED_PAIRS = 1 << 18
+BLOCK = 256
+
+
+def add_neighbours(near: np.ndarray, ids: np.ndarray, index: np.ndarray, settings: Settings) -> None:
+    """Adds to each bucket's row the index vectors of the words within the window around its words in a text."""
+    for step in range(1, settings.window + 1):
+        for own, other in ((ids[:-step], ids[step:]), (ids[step:], ids[:-step])):
+            kinds, counts = np.unique(own * np.int64(settings.buckets) + other, return_counts=True)
+            for at in range(0, len(kinds), SUMMED_PAIRS):
+                some = kinds[at:at + SUMMED_PAIRS]
+                rows = some // settings.buckets  # ascending
+                starts = np.flatnonzero(np.diff(rows, prepend=-1))
+                near[rows[starts]] += np.add.reduceat(index[some % settings.buckets] * counts[at:at + SUMMED_PAIRS, None], starts, axis=0)
+
+
+def word_vectors(near: np.ndarray, settings: Settings) -> np.ndarray:
     """Own index vector plus the mean of the neighbours', each of unit length."""
-    index = _index_vectors(settings)
-    near = np.zeros_like(index, np.float64)
-    for ids in streams:
-        for step in range(1, settings.window + 1):
-            pairs = np.concatenate([np.stack([ids[:-step], ids[step:]]), np.stack([ids[step:], ids[:-step]])], axis=1)
-            kinds, counts = np.unique(pairs[0] * np.int64(settings.buckets) + pairs[1], return_counts=True)
-            np.add.at(near, kinds // settings.buckets, index[kinds % settings.buckets] * counts[:, None])
+    index = _index_vectors(settings).astype(np.float32)
     norm = np.linalg.norm(near, axis=1, keepdims=True)
-    near = np.divide(near, norm, out=np.zeros_like(near), where=norm > 0)
+    near = np.divide(near, norm, out=np.zeros(near.shape), where=norm > 0)
     own = index / np.maximum(np.linalg.norm(index, axis=1, keepdims=True), 1e-9)
     return (own + 0.5 * near).astype(np.float32)
 
 
+def neighbour_sums(bodies: DataFrame, settings: Settings) -> np.ndarray:
+    """The neighbours' sums of all buckets over the texts (body): partial sums by task, added up by block of buckets."""
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        near, index, words = np.zeros((settings.buckets, settings.dim), np.int64), _index_vectors(settings), Words(settings.buckets)
+        for batch in batches:
+            for body in batch.column("body"):
+                ids = np.array(stream((body.as_py() or b"").decode("utf-8", "replace"), words), np.int64)
+                if len(ids) > settings.window:
+                    add_neighbours(near, ids, index, settings)
+        blocks = range(0, settings.buckets, BLOCK)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(blocks), pa.int32()), pa.array([near[b:b + BLOCK].tobytes() for b in blocks], pa.binary())], ["block", "sums"])
+
+    def added(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(v.as_py(), np.int64) for v in table.column("sums"))
+        return pa.table({"block": table.column("block").slice(0, 1), "sums": pa.array([total.tobytes()], pa.binary())})
+
+    schema = "block int, sums binary"
+    rows = bodies.select("body").mapInArrow(partial, schema).groupBy("block").applyInArrow(added, schema).collect()
+    near = np.zeros((settings.buckets, settings.dim), np.int64)
+    for row in rows:
+        near[row["block"]:row["block"] + BLOCK] = np.frombuffer(row["sums"], np.int64).reshape(-1, settings.dim)
+    return near
+
+
+def pooled_texts(bodies: DataFrame, vectors: np.ndarray, settings: Settings) -> DataFrame:
+    """(id, y, h, features) of the texts (id, y, h, body)."""
+    shared = bodies.sparkSession.sparkContext.broadcast(vectors)  # bounded: buckets x dim numbers
+
+    @F.arrow_udf(returnType="array<float>")
+    def features(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        words = Words(settings.buckets)
+        for batch in batches:
+            texts = ((v.as_py() or b"").decode("utf-8", "replace") for v in batch)
+            yield pa.array([pooled(stream(text, words), shared.value) for text in texts], pa.list_(pa.float32()))
+
+    return bodies.select("id", "y", "h", features.asNondeterministic()("body").alias("features"))
+
+
 def pooled(ids: list[int] | np.ndarray, vectors: np.ndarray) -> np.ndarray:
     if not len(ids):
         return np.zeros(vectors.shape[1], np.float32)
@@ -175,20 +227,19 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     known = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("y")).where(F.col("y").isin(0, 1))
     if learn is not None:
         known = known.where(learn)
-    # which rows to take is settled on the ids, so that texts of chosen rows alone reach the driver
     chosen = known.orderBy(F.xxhash64("id"), "id", "y").limit(settings.sample_docs)
-    texts = docs.select(F.col(doc_id).alias("id"), F.substring(F.col(text), 1, settings.sample_chars).alias("t"))
-    found = texts.join(F.broadcast(chosen), "id").where("t is not null")
-    rows = found.orderBy("id", "y", F.xxhash64("t")).limit(settings.sample_docs).collect()
-    y = np.array([r["y"] for r in rows], np.int64)
-    if len(rows) < 10 or y.min() == y.max():
+    texts = docs.select(F.col(doc_id).alias("id"), octets(text).alias("body")).where("body is not null")
+    bodies = staged(texts.join(F.broadcast(chosen), "id").withColumn("h", F.xxhash64("body")).repartition(settings.parts), "sample")
+    seen = bodies.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()
+    counts = {r["y"]: r["n"] for r in seen}
+    if sum(counts.values()) < 10 or len(counts) < 2:
         empty = np.zeros((settings.buckets, settings.dim), np.float32)
         none = np.zeros(settings.dim)
-        return Model(settings, empty, (empty[:0], none), (none, 0.0), 1.0, none, none, float(y.mean()) if len(y) else 0.5)
-    words = Words(settings.buckets)
-    streams = [np.array(stream(r["t"], words), np.int64) for r in rows]
-    vectors = word_vectors([s for s in streams if len(s) > settings.window], settings)
-    return train(np.stack([pooled(s, vectors) for s in streams]), y, vectors, settings)
+        share = counts.get(1, 0) / sum(counts.values()) if counts else 0.5
+        return Model(settings, empty, (empty[:0], none), (none, 0.0), 1.0, none, none, share)
+    vectors = word_vectors(neighbour_sums(bodies, settings), settings)
+    rows = pooled_texts(bodies, vectors, settings).orderBy("id", "y", "h").limit(settings.sample_docs).collect()
+    return train(np.array([r["features"] for r in rows], np.float32), np.array([r["y"] for r in rows], np.int64), vectors, settings)
 
 
 def probability(features: np.ndarray, model: Model) -> np.ndarray:
