@@ -52,7 +52,7 @@ TO_PIECES = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n\n\n\n\n\n\n\n\n ")
 @dataclass(frozen=True)
 class Settings:
     least: int = 30
-    shards: int = 2
+    shards: int = 3
     slots: int = 1 << 24
     chunk_bytes: int = 1 << 20
     scan_words: int = 1 << 19
