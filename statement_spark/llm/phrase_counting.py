@@ -10,7 +10,8 @@ that was started has completed its cycle.
 Which step a subphrase reached the threshold in is looked up in a filter: `slots` bytes, of which two per phrase hold
 the step they were first set in. Its size is fixed, so it can go to every task, compressed; a slot never changes once it
 is set, so a phrase has the same start in every shard. Two phrases that share their slots start superphrases too early or
-needlessly, which costs counting and changes no result: counts are of whole phrases, over whole cycles. With more frequent
+needlessly, which costs counting and changes no result: no phrase counts as frequent before its own start, so that counts
+are of whole phrases, over whole cycles. With more frequent
 phrases than the slots can tell apart the scans come near to counting everything.
 
 A phrase is known by the 64-bit hashes of its words. That no two words share one is checked on all words once they
@@ -199,7 +200,7 @@ def phrase_counts(hashes: np.ndarray, filter_: np.ndarray, step: int, shards: in
         longer = np.zeros(len(start), np.uint64)
         longer[open_] = mixed(front[open_], hashes[open_ + size - 1])
         since = np.full(len(start), NEVER, np.uint8)
-        since[open_] = reached(filter_, longer[open_])
+        since[open_] = np.maximum(reached(filter_, longer[open_]), start[open_])  # others may have set its slots before its own start
         front = longer
 
 

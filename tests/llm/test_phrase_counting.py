@@ -121,6 +121,22 @@ def test_a_phrase_starts_when_both_subphrases_have():
     assert at(6) == {"a b c": (6, 2)} and at(9) == {"a b c": (6, 2)} and at(10) == {}
 
 
+def test_slots_set_by_others_start_no_phrase_before_its_parts():
+    """The slots of "a b" are set in step 1, "a" reaches the threshold in step 5: "a b c" is counted from step 5 on."""
+    words = phrase_counting.Words("en")
+    hashes, _ = phrase_counting.split_words(b"a b c d", words)
+    filter_ = np.full(1 << 16, phrase_counting.NEVER, np.uint8)
+    pairs = phrase_counting.mixed(hashes[:-1], hashes[1:])
+    for step, phrase in ((5, hashes[:1]), (1, hashes[1:]), (1, pairs)):
+        for slot in phrase_counting.slots_of(phrase, len(filter_)):
+            filter_[slot] = step
+
+    def starts(step):
+        return [(len(columns), s) for columns, start, _ in phrase_counting.phrase_counts(hashes, filter_, step, 3) for s in start.tolist()]
+
+    assert (3, 5) in starts(5) and (3, 5) in starts(7) and 5 not in [s for _, s in starts(8)]
+
+
 def test_words_with_one_hash_begin_again(spark, rows):
     """With three bits words share hashes; the counts are those of another seed and all bits."""
     found, _ = phrase_counting.count_phrases(frame(spark, rows), settings=Settings(least=25, hash_bits=3))
