@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import patterns as P, roles, text as T
+from ..session import matched
 
 
 def is_calculated() -> Column:
@@ -86,7 +87,7 @@ def children(concepts: DataFrame, by: str = "cik") -> DataFrame:
         by, F.col("concept_id").alias("parent_id"), F.col("path").alias("up")
     )
     kids = concepts.select(by, F.col("concept_id").alias("child_id"), parent_path(F.col("path")).alias("up"))
-    return kids.filter("up is not null").join(parents, [by, "up"]).select(by, "parent_id", "child_id")
+    return kids.filter("up is not null").join(matched(parents), [by, "up"]).select(by, "parent_id", "child_id")
 
 
 def prompt_lines(concepts: DataFrame, by: str = "cik") -> DataFrame:
@@ -142,7 +143,7 @@ def map_metrics(metrics: DataFrame, concepts: DataFrame, filing: str = "filing_i
     asked = metrics.filter("num_value is not null").select(
         filing, "cik", "key", "key_ord", "num_value", F.inline(wanted)
     )
-    hits = asked.join(lookup, ["cik", "tier", "form"])
+    hits = asked.join(matched(lookup), ["cik", "tier", "form"])
     per_metric = hits.groupBy(filing, "key").agg(
         F.min_by(F.struct("concept_id", "num_value", "key_ord", "tier"), "tier").alias("m")
     )
@@ -154,7 +155,7 @@ def map_metrics(metrics: DataFrame, concepts: DataFrame, filing: str = "filing_i
 
 def unmapped(concepts: DataFrame, mapped: DataFrame, filing: str = "filing_id") -> DataFrame:
     """Concepts of each filing that have no value; ``is_segment`` marks dimensional ones."""
-    return concepts.join(mapped.select(filing, "concept_id"), [filing, "concept_id"], "left_anti").withColumn(
+    return concepts.join(matched(mapped.select(filing, "concept_id")), [filing, "concept_id"], "left_anti").withColumn(
         "is_segment", F.coalesce(F.col("taxonomy_key").contains("|"), F.lit(False))
     )
 
@@ -170,8 +171,8 @@ def apply_semantic_map(mapped: DataFrame, answers: DataFrame, metrics: DataFrame
 
     Only asked concepts and supplied keys are legal, and a key is used once: the first wins.
     """
-    legal = answers.join(asked.select(filing, "concept_id"), [filing, "concept_id"], "left_semi").join(
-        metrics.filter("num_value is not null").select(filing, "key", "num_value", "key_ord"), [filing, "key"]
+    legal = answers.join(matched(asked.select(filing, "concept_id")), [filing, "concept_id"], "left_semi").join(
+        matched(metrics.filter("num_value is not null").select(filing, "key", "num_value", "key_ord")), [filing, "key"]
     )
     once = legal.groupBy(filing, "key").agg(
         F.min_by(F.struct("concept_id", "num_value", "key_ord"), "resp_ord").alias("m")
@@ -179,7 +180,7 @@ def apply_semantic_map(mapped: DataFrame, answers: DataFrame, metrics: DataFrame
         filing, "m.concept_id", "key", F.col("m.num_value").alias("value"),
         F.lit(3).alias("tier"), "m.key_ord",
     )
-    new = once.join(mapped.select(filing, "concept_id"), [filing, "concept_id"], "left_anti")
+    new = once.join(matched(mapped.select(filing, "concept_id")), [filing, "concept_id"], "left_anti")
     return mapped.unionByName(new)
 
 

@@ -224,3 +224,28 @@ def test_retry_decisions(spark):
                                   "filing_id string, attempt int, severity string, message string")
     got = {(r.filing_id, r.attempt): r.reason for r in RT.decisions(found, att).collect()}
     assert got == {("f", 1): "retry", ("f", 2): "no_progress", ("f", 3): "attempts_used", ("g", 1): "clean"}
+
+
+def test_rows_of_filings_are_never_broadcast(spark):
+    """However small a join's sides look, rows that grow with the filings are joined by sorting."""
+    from statement_spark.operators import reports as R
+
+    concepts = spark.createDataFrame(
+        [("f", "k", "a", "Revenue", "001", "revenue", "us:A"), ("f", "k", "b", "Cost", "002", "cost_of_revenue", "us:B"), ("f", "k", "c", "Gross", "003", "gross_profit", "us:C")],
+        "filing_id string, cik string, concept_id string, label string, path string, role string, taxonomy_key string").selectExpr("*", "path AS concept_ord", "taxonomy_key AS concept")
+    values = spark.createDataFrame([("f", "a", 5.0, 0), ("f", "b", 2.0, 1)], "filing_id string, concept_id string, value double, key_ord int")
+    metrics = spark.createDataFrame([("f", "k", "revenue", 0, 5.0), ("f", "k", "[us:B]", 1, 2.0)], "filing_id string, cik string, key string, key_ord int, num_value double")
+    derived = D.derive(values, concepts)
+    done = values.selectExpr("filing_id", "concept_id", "value", "false AS derived").unionByName(derived.selectExpr("filing_id", "concept_id", "value", "true AS derived"))
+    mapped = C.map_metrics(metrics, concepts)
+    frames = {
+        "derive": derived, "gaps": D.gaps(values.filter("concept_id = 'a'"), concepts), "fill": R.fill_summary(concepts, done),
+        "lines": R.insertion_lines(concepts, done), "mapped": mapped, "unmapped": C.unmapped(concepts, mapped)}
+    for name, df in frames.items():
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString(), name
+    assert [tuple(r) for r in derived.collect()] == [("f", "c", "gross_profit", 3.0)]
+    assert [(r["concept_id"], r["missing"]) for r in frames["gaps"].collect()] == [("c", ["cost_of_revenue"])]
+    assert tuple(frames["fill"].first()) == ("f", 2, 1, 0, 0, 3)
+    assert {r["concept_id"]: r["grp"] for r in frames["lines"].collect()} == {"a": 0, "b": 0, "c": 1}
+    assert {r["concept_id"]: r["tier"] for r in mapped.collect()} == {"a": 2, "b": 0}
+    assert [r["concept_id"] for r in frames["unmapped"].collect()] == ["c"]
