@@ -98,3 +98,30 @@ def test_sketches_never_screen_out_a_linked_pair():
             assert sum((int(v) & 0xFFFFFFFFFFFFFFFF).bit_count() for v in apart) <= len(x ^ y)
         own = near_copies.np.array(sorted(x), "<i8")
         assert (near_copies.folded(a, 256) == near_copies.sketch(own, 256)).all()
+
+
+def test_pairs_are_found_by_fingerprints_first(spark, monkeypatch):
+    """The edges of operator 10 that reach the similarity; none of their pairs is verified a second time."""
+    rng = random.Random(10)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(7)) for _ in range(3000)]
+    texts = {}
+    for i in range(12):
+        base = rng.choices(words, k=900)
+        copy = list(base)
+        copy[i * 7] = rng.choice(words)
+        texts[2 * i], texts[2 * i + 1] = " ".join(base), " ".join(copy)
+    texts |= {100: "a b", 101: "A  B", 102: "", 103: " "}
+    prints = {i: brute.fingerprint(t) for i, t in texts.items()}
+    near = {(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 2}
+    assert len(near) > 4
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    own = near_copies._texts(docs, 5, 80, 1000)
+    ids = {r["node"]: r["first"] for r in own.collect()}
+    edges = {tuple(sorted((ids[r["a"]], ids[r["b"]]))) for r in near_copies.fingerprint_links(docs, own).collect()}
+    assert edges == {(a, b) for a, b in near if near_copies.similar(texts[a].encode(), texts[b].encode())}
+
+    found, verified = [], near_copies._verified
+    monkeypatch.setattr(near_copies, "_verified", lambda *args: found.append(verified(*args)) or found[-1])
+    kept = corpus_pipeline.near_dedup(spark, docs, "")
+    assert {r["doc_id"] for r in kept.collect()} == firsts(texts)
+    assert len(found) == 3 and found[0].count() == len(edges) and found[1].count() == 12 + 2 - len(edges)
