@@ -25,11 +25,15 @@ def merge_values(rows: DataFrame, filing: str = "filing_id", carry: tuple[str, .
     least five times the smallest. Of strings the longest wins, of period labels the one with
     the highest year, and a string never replaces a number.
 
-    Input columns: filing, key, key_ord, section, num_value, str_value, is_stale. Both steps are
-    grouped aggregates, so values are combined before they are shuffled; what the median holds
-    is one value per chunk of one page.
+    Input columns: filing, key, key_ord, section, num_value, str_value, is_stale. Values of a key
+    seldom agree, so combining them first saves little: the rows are shuffled once, by filing, as
+    they are. Both aggregates and what follows per filing find them in place; what the median
+    holds is one value per chunk of one page.
     """
-    ranked = rows.withColumn("prio", section_priority(F.col("section")))
+    ranked = rows.select(
+        filing, "key", "key_ord", "num_value", "str_value", "is_stale",
+        section_priority(F.col("section")).alias("prio"), *carry,
+    ).repartition(filing)
     year = F.coalesce(fiscal.year_in_text(F.col("str_value")), F.lit(0))
     weight = F.when(F.col("key") == "__period__", year).otherwise(F.length("str_value"))
     best_string = F.struct(weight.alias("w"), (-F.col("key_ord")).alias("o"))

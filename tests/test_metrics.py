@@ -67,6 +67,16 @@ def test_merge_rules(spark):
     assert value([("Cost of revenue", "other", 20.0, False), ("Cost of Revenue", "other", 48.0, True)]) == {"Cost of revenue": 20.0}
 
 
+def test_merge_shuffles_rows_once(spark):
+    """All that follows per filing finds its rows where the one shuffle by filing has put them."""
+    rows = spark.createDataFrame([("f", "x", 0, "other", 1.0, None, False), ("f", "y", 1, "other", None, "long", True),
+                                  ("f", "y", 2, "unknown", None, "longest", True), ("g", "x", 0, "other", None, None, False)], LONG)
+    merged = M.merge_values(rows)
+    assert merged._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    got = {(r.filing_id, r["key"], r.key_ord, r.num_value, r.str_value, r.on_target) for r in merged.collect()}
+    assert got == {("f", "x", 0, 1.0, None, True), ("f", "y", 1, None, "longest", False), ("g", "x", 0, None, None, False)}
+
+
 def test_major_metric_repair(spark):
     rows = [("f", "Revenue", 0, "other", 1e9, None, False), ("f", "Net income", 1, "other", 9e5, None, False),
             ("f", "Operating income", 2, "other", 2.0, None, False), ("f", "Tiny item", 3, "other", 5.0, None, False)]
