@@ -100,6 +100,16 @@ def test_sketches_never_screen_out_a_linked_pair():
         assert (near_copies.folded(a, 256) == near_copies.sketch(own, 256)).all()
 
 
+def test_one_python_step_in_a_pass(spark, monkeypatch):
+    """Fingerprints and prefixes read the texts in passes of their own, so that a core holds one Python worker."""
+    plans, staged = [], near_copies.staged
+    monkeypatch.setattr(near_copies, "staged", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or staged(df, name))
+    docs = spark.createDataFrame([(1, "a b c"), (2, None), (3, "a b c"), (None, "d")], "doc_id long, text string")
+    rows = near_copies._texts(docs, 5, 80, 1000).collect()
+    assert [p.split("\n\n")[0].count("ArrowEvalPython") for p in plans] == [1, 1]
+    assert sorted((r["first"] or 0, r["size"]) for r in rows) == [(0, 1), (1, 1), (2, 1)]
+
+
 def test_pairs_are_found_by_fingerprints_first(spark, monkeypatch):
     """The edges of operator 10 that reach the similarity; none of their pairs is verified a second time."""
     rng = random.Random(10)
