@@ -17,7 +17,7 @@ phrases than the slots can tell apart the scans come near to counting everything
 A phrase is known by the 64-bit hashes of its words. That no two words share one is checked on all words once they
 are counted; if two do, counting begins again with another seed. A step adds its counts to those of the phrases still in
 their cycle by one aggregate on these numbers, written to the shared folder; phrases that end their cycle below the
-threshold leave. Strings come back by the words' own rows.
+threshold are not written any more. Strings come back by the words' own rows.
 
 Null texts are empty, a null language is `und`, copies and repeated rows count as often as they come, empty tables give no
 rows. Ties in the order go by count and phrase. A task holds `chunk_bytes` of text, or one piece if it is longer.
@@ -267,12 +267,13 @@ def _new_slots(frequent: DataFrame, slots: int) -> list[tuple[int, bytes]]:
     return [(r["bucket"], bytes(r["bits"])) for r in maps.collect()]
 
 
-def _added(new: DataFrame, old: DataFrame | None, keys: list[str]) -> DataFrame:
-    """Counts of this step put on those before: keys, `n` of the step, `before`; written."""
+def _added(new: DataFrame, old: DataFrame | None, keys: list[str], kept: Column | None = None) -> DataFrame:
+    """Counts of this step put on those before: keys, `n` of the step, `before`; written, where `kept`."""
     rows = new.withColumn("before", F.lit(0).cast("bigint"))
     if old is not None:
         rows = rows.unionByName(old.select(*keys, F.lit(0).cast("bigint").alias("n"), (F.col("before") + F.col("n")).alias("before")))
-    return staged(rows.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("before").alias("before")), "counted")
+    sums = rows.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("before").alias("before"))
+    return staged(sums if kept is None else sums.where(kept), "counted")
 
 
 def count_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", settings: Settings = Settings()) -> tuple[DataFrame, DataFrame]:
@@ -303,9 +304,10 @@ def count_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", setti
                 sent.destroy()  # what it was sent for is written
             sent = spark.sparkContext.broadcast(zlib.compress(filter_, 1))
             going = phrases.where(F.col("start") + settings.shards > step) if phrases is not None else None
+            ended = F.col("start") + settings.shards == step + 1
             with small_batches(spark, settings.batch_chunks):
-                phrases = _added(_scan(shard, sent, step, settings), going, [*KEY, "start"])
-            done.append(phrases.where((F.col("start") + settings.shards == step + 1) & (total >= least)).select(*KEY, total.alias("n")))
+                phrases = _added(_scan(shard, sent, step, settings), going, [*KEY, "start"], ~ended | (total >= least))
+            done.append(phrases.where(ended & (total >= least)).select(*KEY, total.alias("n")))
             news.append(phrases.where(reached_now & (F.col("w4") == 0)).select(*KEY))
         for bucket, bits in _new_slots(reduce(DataFrame.unionByName, news), settings.slots) if news else []:
             on = np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little")) + (bucket - 1) * 8 * len(bits)

@@ -85,6 +85,21 @@ def test_counts_are_of_frequent_phrases_over_one_cycle(spark, rows):
         lang: n for lang, f in expected.items() if (n := sum(c for p, c in f.items() if " " not in p))}
 
 
+def test_phrases_that_end_below_the_threshold_are_not_written(spark, rows, monkeypatch):
+    written, kept = [], phrase_counting.staged
+
+    def staged(df, purpose):
+        written.append(kept(df, purpose))
+        return written[-1]
+
+    monkeypatch.setattr(phrase_counting, "staged", staged)
+    phrase_counting.count_phrases(frame(spark, rows), settings=Settings(least=25))
+    steps = [df.selectExpr("start", "n + before AS n").collect() for df in written if "start" in df.columns]
+    assert len(steps) > 4
+    for step, counts in enumerate(steps, 1):
+        assert all(r["n"] >= 25 or r["start"] + 3 > step + 1 for r in counts)
+
+
 def test_empty_tables(spark, rows):
     assert phrase_counting.collocations(frame(spark, rows).where("false")).collect() == []
     assert phrase_counting.collocations(frame(spark, [("en", None), (None, "")])).collect() == []
